@@ -1,0 +1 @@
+"""Intentionally empty: every analysis here is over finished snapshots."""
