@@ -593,100 +593,137 @@ def scope_leader(t: Tables) -> DataFrame:
 # --- publication -------------------------------------------------------------
 
 
-def _sections(t: Tables) -> dict[str, DataFrame]:
-    base = _base(t)
-    metrics = _metrics(t, "registered")
-    chosen = segments.elite(metrics, MIN_CATEGORIES)
-    units = segments.category_units(segments.of_elite(_bought(t), chosen))
-    made = forecast.walk_forward(_marked(t), HORIZON)
-    elite_rows = segments.anonymous_report(chosen, "Cliente elite")
-    return {
-        "cards": contract.cards(
-            base, t.customers(), t.products(), segments.eligibility(metrics, MIN_CATEGORIES)
-        ),
-        "metadata": contract.metadata(base, _inventory(t)),
-        "monthly": sales.monthly(base),
-        "statuses": sales.breakdown(base, "status"),
-        "channels": sales.breakdown(base, "channel"),
-        "elite": elite_rows,
-        "eligibility": segments.eligibility(metrics, MIN_CATEGORIES),
-        "category_distribution": segments.diversity_histogram(metrics),
-        "elite_categories": segments.category_share(units).withColumnRenamed(
-            "category_id", "category"
-        ),
-        "weekdays": weekdays.weekday_mean(t.orders(), _pos()),
-        "forecast": forecast.report(made),
-        "forecast_summary": _six(forecast.summary(made)),
-        "recommendations": similar_items(t),
-        "checks": _checks(t, privacy.findings(privacy.report({"elite": elite_rows}))),
-        "sources": source_list(t),
-    }
+class Sections:
+    """The published sections over one set of tables, built when asked for."""
+
+    def __init__(self, t: Tables) -> None:
+        self.t = t
+
+    def take(self, *names: str) -> dict[str, DataFrame]:
+        return {name: getattr(self, name)() for name in names}
+
+    def _metrics(self) -> DataFrame:
+        return _metrics(self.t, "registered")
+
+    def _chosen(self) -> DataFrame:
+        return segments.elite(self._metrics(), MIN_CATEGORIES)
+
+    def cards(self) -> DataFrame:
+        t = self.t
+        return contract.cards(_base(t), t.customers(), t.products(), self.eligibility())
+
+    def metadata(self) -> DataFrame:
+        return contract.metadata(_base(self.t), _inventory(self.t))
+
+    def monthly(self) -> DataFrame:
+        return sales.monthly(_base(self.t))
+
+    def statuses(self) -> DataFrame:
+        return sales.breakdown(_base(self.t), "status")
+
+    def channels(self) -> DataFrame:
+        return sales.breakdown(_base(self.t), "channel")
+
+    def elite(self) -> DataFrame:
+        return segments.anonymous_report(self._chosen(), "Cliente elite")
+
+    def eligibility(self) -> DataFrame:
+        return segments.eligibility(self._metrics(), MIN_CATEGORIES)
+
+    def category_distribution(self) -> DataFrame:
+        return segments.diversity_histogram(self._metrics())
+
+    def elite_categories(self) -> DataFrame:
+        units = segments.category_units(segments.of_elite(_bought(self.t), self._chosen()))
+        return segments.category_share(units).withColumnRenamed("category_id", "category")
+
+    def weekdays(self) -> DataFrame:
+        return weekdays.weekday_mean(self.t.orders(), _pos())
+
+    def forecast(self) -> DataFrame:
+        return walk_forward(self.t)
+
+    def forecast_summary(self) -> DataFrame:
+        return forecast_summary(self.t)
+
+    def recommendations(self) -> DataFrame:
+        return similar_items(self.t)
+
+    def checks(self) -> DataFrame:
+        return quality_report(self.t)
+
+    def sources(self) -> DataFrame:
+        return source_list(self.t)
 
 
 @query
 def cards(t: Tables) -> DataFrame:
-    return _sections(t)["cards"]
+    return Sections(t).cards()
 
 
 @query
 def metadata(t: Tables) -> DataFrame:
-    return _sections(t)["metadata"]
+    return Sections(t).metadata()
 
 
 @query
 def view_numbers(t: Tables) -> DataFrame:
-    s = _sections(t)
-    return contract.view_numbers(s["channels"], s["statuses"], s["weekdays"], s["checks"])
+    s = Sections(t)
+    return contract.view_numbers(s.channels(), s.statuses(), s.weekdays(), s.checks())
+
+
+def _view(t: Tables, view: str) -> DataFrame:
+    return sinks.view_export(Sections(t).take(*sinks.view_sections(view)), view)
 
 
 @query
 def tidy_overview(t: Tables) -> DataFrame:
-    return sinks.view_export(_sections(t), "overview")
+    return _view(t, "overview")
 
 
 @query
 def tidy_customers(t: Tables) -> DataFrame:
-    return sinks.view_export(_sections(t), "customers")
+    return _view(t, "customers")
 
 
 @query
 def tidy_operations(t: Tables) -> DataFrame:
-    return sinks.view_export(_sections(t), "operations")
+    return _view(t, "operations")
 
 
 @query
 def tidy_models(t: Tables) -> DataFrame:
-    return sinks.view_export(_sections(t), "models")
+    return _view(t, "models")
 
 
 def published_document(t: Tables) -> DataFrame:
-    s = _sections(t)
+    s = Sections(t)
     rows, one = contract.as_list, contract.as_object
     return contract.document(
         t.spark,
         {
-            "metadata": {"source": one(s["metadata"])},
-            "executive": {"cards": rows(s["cards"], ["position"])},
+            "metadata": {"source": one(s.metadata())},
+            "executive": {"cards": rows(s.cards(), ["position"])},
             "sales": {
-                "monthly": rows(s["monthly"], ["month"]),
-                "statuses": rows(s["statuses"], ["status"]),
-                "channels": rows(s["channels"], ["channel"]),
+                "monthly": rows(s.monthly(), ["month"]),
+                "statuses": rows(s.statuses(), ["status"]),
+                "channels": rows(s.channels(), ["channel"]),
             },
             "customers": {
-                "elite": rows(s["elite"], ["rank"]),
-                "eligibility": one(s["eligibility"]),
-                "category_distribution": rows(s["category_distribution"], ["diversity"]),
-                "elite_categories": rows(s["elite_categories"], ["rank"]),
+                "elite": rows(s.elite(), ["rank"]),
+                "eligibility": one(s.eligibility()),
+                "category_distribution": rows(s.category_distribution(), ["diversity"]),
+                "elite_categories": rows(s.elite_categories(), ["rank"]),
             },
             "operations": {
-                "weekdays": rows(s["weekdays"], ["iso_weekday"]),
-                "forecast": one(s["forecast_summary"]),
-                "forecast_series": rows(s["forecast"], ["month"]),
-                "recommendations": rows(s["recommendations"], ["rank"]),
+                "weekdays": rows(s.weekdays(), ["iso_weekday"]),
+                "forecast": one(s.forecast_summary()),
+                "forecast_series": rows(s.forecast(), ["month"]),
+                "recommendations": rows(s.recommendations(), ["rank"]),
             },
             "quality": {
-                "checks": rows(s["checks"], ["check"]),
-                "sources": rows(s["sources"], ["table_name"]),
+                "checks": rows(s.checks(), ["check"]),
+                "sources": rows(s.sources(), ["table_name"]),
             },
         },
     )
@@ -739,9 +776,11 @@ def locale_decimal(t: Tables) -> DataFrame:
 
 
 @query
-def locale_decimal_text(t: Tables) -> DataFrame:
-    """Which free-text columns of the documents can be read as numbers."""
-    texts = t.raw("documents").select("doc_id", F.col("source").alias("amount"))
+def locale_decimal_props(t: Tables) -> DataFrame:
+    """A number inside a JSON text, read through the same cleaning."""
+    texts = t.raw("events").select(
+        "event_id", F.get_json_object("props", "$.k").alias("amount")
+    )
     return cleaning.cleaned_numbers(texts, "amount").drop("amount")
 
 

@@ -24,6 +24,11 @@ VIEWS = {
 }
 
 
+def view_sections(view: str) -> list[str]:
+    """Sections a view is made of; shares are a second reading of channels."""
+    return ["channels" if block == "channel_shares" else block for block in VIEWS[view]]
+
+
 def fixed_digits(value: str, digits: int) -> Column:
     """A number as text with a fixed count of decimals."""
     return F.format_string(f"%.{digits}f", F.col(value).cast("double")).alias(value)
