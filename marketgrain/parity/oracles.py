@@ -843,3 +843,68 @@ ORACLES["checked_join"] = f"""
 select n_name as nation, count(*) as lines, {big('sum(l_quantity)')} as units
 from lineitem join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey
 join nation on n_nationkey = c_nationkey group by 1"""
+
+# --- intake ------------------------------------------------------------------
+
+COLUMNS = {
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
+    "l_tax l_returnflag l_linestatus l_shipdate",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "conversations": "conv_id turn role text",
+}
+
+
+def _kind(column: str) -> str:
+    """Evidence bit of a value, by shape."""
+    v = f"cast({column} as varchar)"
+    shape = lambda pattern: f"regexp_full_match({v}, '{pattern}')"
+    day = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+    clock = "[T ]([01][0-9]|2[0-3])(:[0-5][0-9](:[0-5][0-9]([.,][0-9]+)?)?)?"
+    return f"""case
+      when {column} is null or {v} = '' then 0
+      when lower({v}) in ('true', 'false') then 1
+      when {shape('[+-]?[0-9]+')} then case
+        when {shape('[+-]?0[0-9]+')} then 128
+        when try_cast({v} as integer) is not null then 2
+        when try_cast({v} as bigint) is not null then 4 else 8 end
+      when {shape('[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')} then 8
+      when {shape(day)} and try_cast({v} as date) is not null then 16
+      when {shape(day + clock)} and try_cast({v} as timestamp) is not null then 32
+      else 128 end"""
+
+
+def _profile(table: str, position: int, column: str) -> str:
+    return f"""
+select '{table}' as table_name, {position} as position, '{column}' as column_name,
+       case when e = 0 then 'UNKNOWN' when e = 1 then 'BOOLEAN' when e = 2 then 'INTEGER'
+            when e & ~6 = 0 then 'BIGINT' when e & ~14 = 0 then 'NUMERIC' when e = 16 then 'DATE'
+            when e & ~48 = 0 then 'TIMESTAMP' else 'TEXT' end as type_name, non_empty
+from (select coalesce(bit_or({_kind(column)}), 0) as e,
+             count(*) filter (where cast({column} as varchar) <> '') as non_empty from {table})"""
+
+
+ORACLES["type_profile"] = " union all ".join(
+    _profile(t, i, c) for t, names in COLUMNS.items() for i, c in enumerate(names.split(), 1)
+)
+ORACLES["csv_type_profile"] = ORACLES["type_profile"]
+
+ORACLES["csv_inventory"] = """
+select 'nation' as table_name, count(*) as rows, 3 as columns from nation
+union all select 'documents', count(*), 5 from documents"""
+
+ORACLES["csv_load_reconcile"] = " union all ".join(
+    f"select '{t}' as table_name, count(*) as source_rows, count(*) as loaded_rows, true as reconciled from {t}"
+    for t in ["orders", "lineitem", "customer", "documents"]
+)
+
+ORACLES["csv_published_tables"] = f"""
+select c_mktsegment, count(*) as orders, {amount(f'sum({TOTAL})')} as revenue,
+       strftime(max(o_orderdate), '%Y-%m-%d') as latest
+from orders join customer on c_custkey = o_custkey group by 1"""
+
+ORACLES["csv_published_texts"] = """
+select doc_id, md5(text) as digest, cast(length(text) as integer) as characters from documents"""

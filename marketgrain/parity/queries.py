@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,8 @@ from marketgrain.plans import (
     segments,
     weekdays,
 )
-from marketgrain.sources import sinks
+from marketgrain.session import scratch_dir
+from marketgrain.sources import csv_files, inference, publish, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -815,3 +817,86 @@ def checked_join(t: Tables) -> DataFrame:
     return named.groupBy("nation").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("quantity").cast("bigint").alias("units")
     )
+
+
+# --- intake ------------------------------------------------------------------
+
+PROFILED = ["orders", "lineitem", "part", "customer", "events", "documents", "conversations"]
+
+
+def _as_text(frame: DataFrame) -> DataFrame:
+    return frame.select(*[F.col(c).cast("string").alias(c) for c in frame.columns])
+
+
+@query
+def type_profile(t: Tables) -> DataFrame:
+    """Inferred types of every column, read as text."""
+    found = [inference.profile(_as_text(t.raw(name)), name) for name in PROFILED]
+    return reduce(DataFrame.unionByName, found).drop("whole_digits", "fraction_digits")
+
+
+def _csv_drop(t: Tables, names: list[str]) -> str:
+    """The tables as a folder of CSV tables below the shared scratch folder."""
+    folder = scratch_dir(t.spark, "drop")
+    for name in names:
+        (
+            t.raw(name)
+            .write.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(f"{folder}/{name}.csv")
+        )
+    return folder
+
+
+@query
+def csv_type_profile(t: Tables) -> DataFrame:
+    """The types found again after a way through CSV, line breaks included."""
+    tables = csv_files.inspect(t.spark, _csv_drop(t, PROFILED))
+    rows = [
+        (p.table, p.position, p.name, p.type_name, p.non_empty)
+        for table in tables
+        for p in table.profiles
+    ]
+    shape = "table_name string, position int, column_name string, type_name string, non_empty bigint"
+    return t.spark.createDataFrame(rows, shape)
+
+
+@query
+def csv_inventory(t: Tables) -> DataFrame:
+    return csv_files.inventory(t.spark, csv_files.inspect(t.spark, _csv_drop(t, ["nation", "documents"])))
+
+
+@query
+def csv_load_reconcile(t: Tables) -> DataFrame:
+    """CSV drop loaded, verified and published; rows on both sides."""
+    folder = _csv_drop(t, ["orders", "lineitem", "customer", "documents"])
+    return publish.load_folder(t.spark, folder, scratch_dir(t.spark, "published"))
+
+
+@query
+def csv_published_tables(t: Tables) -> DataFrame:
+    """Figures from tables that went through CSV, inference and publication."""
+    target = scratch_dir(t.spark, "published")
+    publish.load_folder(t.spark, _csv_drop(t, ["orders", "customer"]), target)
+    orders = publish.open_table(t.spark, target, "orders")
+    customers = publish.open_table(t.spark, target, "customer")
+    return (
+        orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("c_mktsegment")
+        .agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.sum(money.money("o_totalprice")).cast("double").alias("revenue"),
+            F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("latest"),
+        )
+    )
+
+
+@query
+def csv_published_texts(t: Tables) -> DataFrame:
+    """Texts with quotes, commas and line breaks survive unchanged."""
+    target = scratch_dir(t.spark, "published")
+    publish.load_folder(t.spark, _csv_drop(t, ["documents"]), target)
+    texts = publish.open_table(t.spark, target, "documents")
+    return texts.select("doc_id", F.md5(F.col("text")).alias("digest"), F.length("text").alias("characters"))
