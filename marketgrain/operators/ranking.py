@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketgrain.operators.summary import one_row
+
 
 def top(frame: DataFrame, by: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows of an order; each task keeps at most ``n`` rows."""
@@ -34,8 +36,9 @@ def position_of_best(
 ) -> DataFrame:
     """Position of the best member of a class in the order ``measure``
     descending, ``tie`` ascending, without numbering the other rows."""
-    best = top(frame.where(is_member), [F.col(measure).desc(), F.col(tie).asc()], 1)
-    value, identity = best.select(measure).scalar(), best.select(tie).scalar()
+    order = [F.col(measure).desc(), F.col(tie).asc()]
+    best = one_row(top(frame.where(is_member).select(measure, tie), order, 1))
+    value, identity = best[measure], best[tie]
     ahead = (F.col(measure) > value) | ((F.col(measure) == value) & (F.col(tie) < identity))
     return frame.agg(
         F.min(identity).alias(tie),

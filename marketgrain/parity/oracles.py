@@ -208,6 +208,15 @@ select {MIN_CATEGORIES} as minimum_categories, count(*) as customers,
        {pct2(f'count(*) filter (where diversity >= {MIN_CATEGORIES})', 'count(*)')} as eligible_share_pct
 from registered"""
 
+ORACLES["eligibility_of_buyers"] = f"""
+with {METRICS}
+select {MIN_CATEGORIES + 2} as minimum_categories, count(*) as customers,
+       count(*) filter (where frequency > 0) as customers_with_orders,
+       count(*) filter (where diversity >= {MIN_CATEGORIES + 2}) as eligible_customers,
+       {pct2(f'count(*) filter (where diversity >= {MIN_CATEGORIES + 2})', 'count(*)')} as eligible_share_pct
+from (select v.*, coalesce(diversity, 0) as diversity
+      from order_value v left join variety d on d.o_custkey = v.o_custkey)"""
+
 SHARES = f"""
 shares as (
   select category_id, units, row_number() over (order by units desc, category_id) as rank,

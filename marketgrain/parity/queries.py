@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketgrain.functions import cleaning, labels, money
 from marketgrain.operators import calendar, joins
+from marketgrain.operators.summary import materialized
 from marketgrain.parity.roles import (
     AS_OF,
     HORIZON,
@@ -134,15 +135,25 @@ def _context(t: Tables) -> DataFrame:
 
 
 def _bought(t: Tables) -> DataFrame:
-    return segments.purchased(_context(t), t.orders())
+    return segments.purchases(_context(t), t.orders())
 
 
-def _metrics(t: Tables, population: str = "ordering") -> DataFrame:
-    return segments.customer_metrics(t.orders(), _bought(t), t.customers(), population)
+def _stored_bought(t: Tables) -> DataFrame:
+    """For analyses that read the purchases twice."""
+    return materialized(_bought(t), "purchases")
 
 
-def _elite(t: Tables, population: str = "ordering") -> DataFrame:
-    return segments.elite(_metrics(t, population), MIN_CATEGORIES)
+def _metrics(
+    t: Tables, population: str = "ordering", bought: DataFrame | None = None
+) -> DataFrame:
+    known = _bought(t) if bought is None else bought
+    return segments.customer_metrics(t.orders(), known, t.customers(), population)
+
+
+def _elite(
+    t: Tables, population: str = "ordering", bought: DataFrame | None = None
+) -> DataFrame:
+    return segments.elite(_metrics(t, population, bought), MIN_CATEGORIES)
 
 
 @query
@@ -152,13 +163,15 @@ def elite_customers(t: Tables) -> DataFrame:
 
 @query
 def elite_leader(t: Tables) -> DataFrame:
-    units = segments.category_units(segments.of_elite(_bought(t), _elite(t)))
+    bought = _stored_bought(t)
+    units = segments.category_units(segments.of_elite(bought, _elite(t, bought=bought)))
     return segments.leading_categories(units)
 
 
 @query
 def elite_totals(t: Tables) -> DataFrame:
-    return segments.elite_totals(t.orders(), _bought(t), _elite(t))
+    bought = _stored_bought(t)
+    return segments.elite_totals(t.orders(), bought, _elite(t, bought=bought))
 
 
 @query
@@ -183,18 +196,25 @@ def eligibility(t: Tables) -> DataFrame:
     return segments.eligibility(_metrics(t, "registered"), MIN_CATEGORIES)
 
 
+@query
+def eligibility_of_buyers(t: Tables) -> DataFrame:
+    metrics = segments.customer_metrics(
+        t.orders(), _bought(t), population="with_orders", valued_only=True
+    )
+    return segments.eligibility(metrics, MIN_CATEGORIES + 2)
+
+
 @query
 def category_share(t: Tables) -> DataFrame:
-    units = segments.category_units(segments.of_elite(_bought(t), _elite(t, "registered")))
-    return segments.category_share(units)
+    bought = _stored_bought(t)
+    chosen = _elite(t, "registered", bought)
+    return segments.category_share(segments.category_units(segments.of_elite(bought, chosen)))
 
 
 @query
 def category_by_name(t: Tables) -> DataFrame:
-    bought = segments.of_elite(_bought(t), _elite(t, "with_orders"))
-    units = segments.category_units(bought, "product_id").withColumnRenamed(
-        "product_id", "category_id"
-    )
+    by_product = segments.purchases(_context(t), t.orders(), "product_id")
+    units = segments.category_units(segments.of_elite(by_product, _elite(t, "with_orders")))
     names = t.products().select(F.col("product_id").alias("category_id"), F.col("product_name").alias("category"))
     return segments.category_units_by_name(units, names, 6)
 
@@ -207,39 +227,44 @@ def elite_anonymous(t: Tables) -> DataFrame:
 # --- calendar ----------------------------------------------------------------
 
 
+def _base(t: Tables) -> DataFrame:
+    return sales.sales_base(t.orders(), "status", "channel")
+
+
 @query
 def calendar_sales(t: Tables) -> DataFrame:
-    filled = weekdays.calendar_sales(t.orders(), _pos())
+    filled = weekdays.calendar_sales(_base(t), _pos())
     return _day_text(filled).withColumn("sales", F.col("sales").cast("double"))
 
 
 @query
 def weekday_mean(t: Tables) -> DataFrame:
-    return weekdays.weekday_mean(t.orders(), _pos()).drop("mean_recorded", "zero_sales_days")
+    return weekdays.weekday_mean(_base(t), _pos()).drop("mean_recorded", "zero_sales_days")
 
 
 @query
 def weekday_mean_naive_vs_full(t: Tables) -> DataFrame:
-    report = weekdays.weekday_mean(t.orders(), _pos())
+    report = weekdays.weekday_mean(_base(t), _pos())
     return report.select("iso_weekday", "mean_sales", "mean_recorded", "zero_sales_days")
 
 
 @query
 def weekday_by_segment(t: Tables) -> DataFrame:
     orders = t.orders().join(t.customers(), "customer_id").join(t.nations(), "nation_id")
-    filled = weekdays.segment_calendar_sales(orders, "nation", t.nations(), _pos())
+    base = sales.sales_base(orders, "nation", "channel")
+    filled = weekdays.segment_calendar_sales(base, "nation", t.nations(), _pos())
     means = weekdays.weekday_means(filled, "nation")
     return weekdays.weekday_report(means, "nation").drop("weekday")
 
 
 @query
 def weekday_scope(t: Tables) -> DataFrame:
-    return scopes.weekday_by_scope(t.orders(), SCOPES, _pos()).drop("weekday")
+    return scopes.weekday_by_scope(_base(t), SCOPES, _pos()).drop("weekday")
 
 
 @query
 def reconciliation(t: Tables) -> DataFrame:
-    return weekdays.reconcile_calendar(t.orders(), _pos())
+    return weekdays.reconcile_calendar(t.orders(), _base(t), _pos())
 
 
 @query
@@ -247,16 +272,13 @@ def events_weekday(t: Tables) -> DataFrame:
     events = t.raw("events").select(
         F.col("ts").alias("placed_at"), F.col("event_type"), money.money("value").alias("total")
     )
-    return weekdays.weekday_mean(events, F.col("event_type") == "purchase", "en")
+    base = sales.sales_base(events, "event_type")
+    return weekdays.weekday_mean(base, F.col("event_type") == "purchase", "en")
 
 
 # --- sales -------------------------------------------------------------------
 
 
-def _base(t: Tables) -> DataFrame:
-    return sales.sales_base(t.orders(), "status", "channel")
-
-
 @query
 def monthly_sales(t: Tables) -> DataFrame:
     return sales.monthly(_base(t))
@@ -539,8 +561,7 @@ def _checks(t: Tables, published: DataFrame) -> DataFrame:
 
 @query
 def quality_report(t: Tables) -> DataFrame:
-    published = {"elite": segments.anonymous_report(_elite(t), "Cliente elite")}
-    return _checks(t, privacy.findings(privacy.report(published)))
+    return Sections(t).checks()
 
 
 @query
@@ -596,35 +617,47 @@ def scope_leader(t: Tables) -> DataFrame:
 
 
 class Sections:
-    """The published sections over one set of tables, built when asked for."""
+    """The published sections over one set of tables, built when asked for.
+
+    ``stored`` writes the daily sales and the purchases once and derives every
+    section from them; worth it when more than one section reads them."""
 
-    def __init__(self, t: Tables) -> None:
+    def __init__(self, t: Tables, stored: bool = False) -> None:
         self.t = t
+        self.keep = materialized if stored else lambda frame, _: frame
+
+    @cached_property
+    def base(self) -> DataFrame:
+        return self.keep(_base(self.t), "daily-sales")
+
+    @cached_property
+    def bought(self) -> DataFrame:
+        return self.keep(_bought(self.t), "purchases")
 
     def take(self, *names: str) -> dict[str, DataFrame]:
         return {name: getattr(self, name)() for name in names}
 
     def _metrics(self) -> DataFrame:
-        return _metrics(self.t, "registered")
+        return _metrics(self.t, "registered", self.bought)
 
     def _chosen(self) -> DataFrame:
         return segments.elite(self._metrics(), MIN_CATEGORIES)
 
     def cards(self) -> DataFrame:
         t = self.t
-        return contract.cards(_base(t), t.customers(), t.products(), self.eligibility())
+        return contract.cards(self.base, t.customers(), t.products(), self.eligibility())
 
     def metadata(self) -> DataFrame:
-        return contract.metadata(_base(self.t), _inventory(self.t))
+        return contract.metadata(self.base, _inventory(self.t))
 
     def monthly(self) -> DataFrame:
-        return sales.monthly(_base(self.t))
+        return sales.monthly(self.base)
 
     def statuses(self) -> DataFrame:
-        return sales.breakdown(_base(self.t), "status")
+        return sales.breakdown(self.base, "status")
 
     def channels(self) -> DataFrame:
-        return sales.breakdown(_base(self.t), "channel")
+        return sales.breakdown(self.base, "channel")
 
     def elite(self) -> DataFrame:
         return segments.anonymous_report(self._chosen(), "Cliente elite")
@@ -636,11 +669,11 @@ class Sections:
         return segments.diversity_histogram(self._metrics())
 
     def elite_categories(self) -> DataFrame:
-        units = segments.category_units(segments.of_elite(_bought(self.t), self._chosen()))
+        units = segments.category_units(segments.of_elite(self.bought, self._chosen()))
         return segments.category_share(units).withColumnRenamed("category_id", "category")
 
     def weekdays(self) -> DataFrame:
-        return weekdays.weekday_mean(self.t.orders(), _pos())
+        return weekdays.weekday_mean(self.base, _pos())
 
     def forecast(self) -> DataFrame:
         return walk_forward(self.t)
@@ -652,7 +685,8 @@ class Sections:
         return similar_items(self.t)
 
     def checks(self) -> DataFrame:
-        return quality_report(self.t)
+        published = privacy.report({"elite": self.elite()})
+        return _checks(self.t, privacy.findings(published))
 
     def sources(self) -> DataFrame:
         return source_list(self.t)
@@ -670,12 +704,12 @@ def metadata(t: Tables) -> DataFrame:
 
 @query
 def view_numbers(t: Tables) -> DataFrame:
-    s = Sections(t)
+    s = Sections(t, stored=True)
     return contract.view_numbers(s.channels(), s.statuses(), s.weekdays(), s.checks())
 
 
 def _view(t: Tables, view: str) -> DataFrame:
-    return sinks.view_export(Sections(t).take(*sinks.view_sections(view)), view)
+    return sinks.view_export(Sections(t, stored=True).take(*sinks.view_sections(view)), view)
 
 
 @query
@@ -699,7 +733,7 @@ def tidy_models(t: Tables) -> DataFrame:
 
 
 def published_document(t: Tables) -> DataFrame:
-    s = Sections(t)
+    s = Sections(t, stored=True)
     rows, one = contract.as_list, contract.as_object
     return contract.document(
         t.spark,

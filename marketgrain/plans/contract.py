@@ -1,8 +1,8 @@
 """The published summary: sections, cards, metadata and one JSON document.
 
-Every section is a small DataFrame. Sales sections share one daily summary of
-the orders and the item sections one item context, so within one query Spark
-reads the shuffled summary again instead of the orders.
+Every section is a small DataFrame. The sales sections are derived from one
+daily summary of the orders and the customer sections from one summary of the
+items, so a full publication passes over the facts once each.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from marketgrain.errors import AnalyticsError
 from marketgrain.functions.money import display, mean, percent
+from marketgrain.operators.summary import one_row
 
 # The sections a published document must have.
 REQUIRED_SECTIONS = ("metadata", "executive", "sales", "customers", "operations", "quality")
@@ -75,7 +76,9 @@ def cards(
 
 def metadata(base: DataFrame, inventory: DataFrame) -> DataFrame:
     """Period, statuses and record totals of the sources."""
-    records = inventory.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+    records = one_row(
+        inventory.agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"))
+    )
     return base.agg(
         F.date_format(F.min("day"), "yyyy-MM-dd").alias("period_start"),
         F.date_format(F.max("day"), "yyyy-MM-dd").alias("period_end"),
@@ -84,8 +87,8 @@ def metadata(base: DataFrame, inventory: DataFrame) -> DataFrame:
         "period_start",
         "period_end",
         "statuses",
-        records.select("files").scalar().alias("source_files"),
-        records.select("rows").scalar().alias("total_records"),
+        records["files"].alias("source_files"),
+        records["rows"].alias("total_records"),
     )
 
 
@@ -109,11 +112,13 @@ def view_numbers(
     passed = F.count_if(F.col("status").rlike("(?i)pass|ok|success|valid"))
     lowest = F.min(F.when(F.col("is_lowest"), F.col("mean_sales")))
     other = F.min(F.when(F.col("iso_weekday") == compared_weekday, F.col("mean_sales")))
-    gap = weekdays.agg(
-        F.round(F.abs(lowest - other), 2).alias("gap"),
-        F.round(
-            F.lit(100) * F.abs(lowest - other) / F.greatest(other, F.lit(1.0)), 2
-        ).alias("pct"),
+    gap = one_row(
+        weekdays.agg(
+            F.round(F.abs(lowest - other), 2).alias("gap"),
+            F.round(
+                F.lit(100) * F.abs(lowest - other) / F.greatest(other, F.lit(1.0)), 2
+            ).alias("pct"),
+        )
     )
     return checks.agg(percent(passed, F.count(F.lit(1))).alias("pass_rate_pct")).select(
         channels.agg(F.sum(F.col("revenue").cast("decimal(28,2)")).cast("double"))
@@ -121,8 +126,8 @@ def view_numbers(
         .alias("channel_total"),
         statuses.agg(F.max("order_share_pct")).scalar().alias("dominant_status_pct"),
         "pass_rate_pct",
-        gap.select("gap").scalar().alias("weekday_gap"),
-        gap.select("pct").scalar().alias("weekday_gap_pct"),
+        gap["gap"].alias("weekday_gap"),
+        gap["pct"].alias("weekday_gap_pct"),
     )
 
 
@@ -149,7 +154,7 @@ def as_list(frame: DataFrame, order: Sequence[str]) -> Column:
 
 def as_object(frame: DataFrame) -> Column:
     """A one-row section as a struct."""
-    return finite(frame).select(F.struct("*")).scalar()
+    return one_row(finite(frame))
 
 
 def document(spark: SparkSession, sections: Mapping[str, Mapping[str, Column]]) -> DataFrame:

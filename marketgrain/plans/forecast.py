@@ -18,6 +18,7 @@ from marketgrain.errors import AnalyticsError
 from marketgrain.functions.labels import month_text
 from marketgrain.operators import calendar
 from marketgrain.operators.joins import checked_join, guard, members
+from marketgrain.operators.summary import one_row
 
 
 @dataclass(frozen=True)
@@ -96,14 +97,25 @@ def monthly_units(
     a best-selling product is no larger than any other.
     """
     keys = list(by)
-    facts = sold.groupBy(*keys, "month").agg(F.sum("quantity").cast("bigint").alias("units"))
-    if keys:
-        known = (facts if series is None else series).select(*keys).distinct()
-    else:
-        known = sold.sparkSession.range(1)
-    bounds = known.select(*keys, first.alias("first_day"), last.alias("last_day"))
-    every = calendar.months(bounds, *keys)
-    return calendar.fill(every, facts, [*keys, "month"], ["units"]).select(*keys, "month", "units")
+    dated = sold.where(F.col("month").isNotNull())
+    facts = dated.groupBy(*keys, "month").agg(F.sum("quantity").cast("bigint").alias("units"))
+    # A series is at most one entry per month, so it fits a map in one row.
+    # Filling it there keeps the rows partitioned by series for the windows
+    # that follow; joining a calendar would shuffle every filled month again.
+    entries = F.collect_list(F.struct("month", "units"))
+    sparse = facts.groupBy(*keys).agg(F.map_from_entries(entries).alias("sold"))
+    if keys and series is not None:
+        sparse = series.select(*keys).distinct().join(sparse, keys, "left")
+    calendar_months = F.sequence(
+        F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month")
+    )
+    filled = F.transform(
+        "calendar",
+        lambda m: F.struct(
+            m.alias("month"), F.coalesce(F.try_element_at("sold", m), F.lit(0)).alias("units")
+        ),
+    )
+    return sparse.withColumn("calendar", calendar_months).select(*keys, F.inline(filled))
 
 
 def split(series: DataFrame, horizon: Horizon, by: Sequence[str] = ()) -> DataFrame:
@@ -114,7 +126,12 @@ def split(series: DataFrame, horizon: Horizon, by: Sequence[str] = ()) -> DataFr
         month.between(F.lit(horizon.test_start), F.lit(horizon.test_end)), "test"
     )
     marked = series.withColumn("period", period).where(F.col("period").isNotNull())
-    whole = Window.partitionBy(*by)
+    # The same order as the forecasts use, so one sort serves both windows.
+    whole = (
+        Window.partitionBy(*by)
+        .orderBy("month")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
     counted = marked.withColumns(
         {
             "_train": F.count_if(F.col("period") == "train").over(whole),
@@ -237,9 +254,11 @@ def dataset_profile(unified: DataFrame, marked: DataFrame, horizon: Horizon, uni
     placed = F.col("month")
     train = placed <= F.lit(horizon.train_end)
     test = placed.between(F.lit(horizon.test_start), F.lit(horizon.test_end))
-    zero = marked.agg(
-        F.count_if((F.col("units") == 0) & (F.col("period") == "train")).alias("train"),
-        F.count_if((F.col("units") == 0) & (F.col("period") == "test")).alias("test"),
+    zero = one_row(
+        marked.agg(
+            F.count_if((F.col("units") == 0) & (F.col("period") == "train")).alias("train"),
+            F.count_if((F.col("units") == 0) & (F.col("period") == "test")).alias("test"),
+        )
     )
     return unified.agg(
         F.count_if(train).alias("train_lines"),
@@ -249,6 +268,6 @@ def dataset_profile(unified: DataFrame, marked: DataFrame, horizon: Horizon, uni
         F.count_distinct(unit).alias("distinct_keys"),
     ).select(
         "*",
-        zero.select("train").scalar().alias("train_zero_months"),
-        zero.select("test").scalar().alias("test_zero_months"),
+        zero["train"].alias("train_zero_months"),
+        zero["test"].alias("test_zero_months"),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marketgrain.functions.money import CENT, display, mean, percent
 from marketgrain.operators import quantiles as q
 from marketgrain.operators.joins import duplicate_keys
+from marketgrain.operators.summary import one_row
 
 
 def stacked(frame: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
@@ -131,7 +132,8 @@ def tukey(
     row = q.quantiles(counts, thirds) if accuracy is None else q.approximate(
         frame, amount, thirds, accuracy
     )
-    low, mid, high = (row.select(c).scalar() for c in ("q0", "q1", "q2"))
+    found = one_row(row)
+    low, mid, high = found["q0"], found["q1"], found["q2"]
     width = high - low
     lower, upper = low - F.lit(factor) * width, high + F.lit(factor) * width
     outside = (F.col("value") < lower) | (F.col("value") > upper)

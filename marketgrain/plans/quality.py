@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketgrain.errors import AnalyticsError
 from marketgrain.functions.money import CENT, percent
-from marketgrain.operators.joins import duplicate_keys, orphans
+from marketgrain.operators.joins import orphans
 from marketgrain.plans.profile import duplicates
 
 
@@ -32,15 +32,17 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def key_report(keyed: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Null and repeated keys per table."""
+    """Null and repeated keys per table, from one pass over each key column."""
     rows = []
     for name, (frame, key) in keyed.items():
-        repeats = duplicate_keys(frame.where(F.col(key).isNotNull()), key)
-        extra = repeats.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).cast("bigint"))
+        present = F.col("key").isNotNull()
+        counted = frame.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
         rows.append(
-            frame.agg(F.count_if(F.col(key).isNull()).alias("null_keys")).select(
-                F.lit(name).alias("table_name"), "null_keys", extra.scalar().alias("extra_rows")
-            )
+            counted.agg(
+                total(F.when(~present, F.col("rows"))).alias("null_keys"),
+                total(F.when(present, F.col("rows") - 1)).alias("extra_rows"),
+            ).select(F.lit(name).alias("table_name"), "null_keys", "extra_rows")
         )
     return _union(rows)
 
@@ -60,18 +62,17 @@ def orphan_report(edges: Sequence[Edge]) -> DataFrame:
     )
 
 
-def missing_core(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+def missing_core(columns: Sequence[str]) -> Column:
     """All nulls in the columns no analysis can do without, as one number."""
-    nulls = [F.count_if(F.col(c).isNull()) for c in columns]
-    return frame.agg(reduce(Column.__add__, nulls).alias("value"))
+    return reduce(Column.__add__, [F.count_if(F.col(c).isNull()) for c in columns])
 
 
-def total_differences(orders: DataFrame, *, strict: bool = False) -> DataFrame:
+def total_differences(*, strict: bool = False) -> Column:
     """Orders whose parts differ from the total by a cent or more; ``strict``
     counts only differences above a cent."""
     gap = F.abs(F.col("subtotal") - F.col("discount") - F.col("total"))
     limit = F.lit(CENT).cast("decimal(18,2)")
-    return orders.agg(F.count_if(gap > limit if strict else gap >= limit).alias("value"))
+    return F.count_if(gap > limit if strict else gap >= limit)
 
 
 def check(name: str, value: Column, failed: str | None) -> tuple[Column, Column, Column]:
@@ -94,6 +95,17 @@ def quality_checks(
     ``privacy_findings`` has one row per finding."""
     present = inventory.where(F.col("table_name").isin(list(required)))
     one = F.count(F.lit(1))
+    # Both order checks come from a single pass over the orders.
+    order_checks = orders.agg(
+        missing_core(core).alias("missing"), total_differences(strict=True).alias("differing")
+    ).select(
+        F.inline(
+            F.array(
+                F.struct(*check("core_completeness", F.col("missing"), "fail")),
+                F.struct(*check("order_arithmetic", F.col("differing"), "warning")),
+            )
+        )
+    )
     rows = [
         inventory.agg(one.alias("value")).select(*check("inventory", F.col("value"), None)),
         present.agg((F.lit(len(set(required))) - one).alias("value")).select(
@@ -105,10 +117,7 @@ def quality_checks(
         orphan_report(edges)
         .agg(F.sum("orphan_rows").alias("value"))
         .select(*check("foreign_keys", F.col("value"), "fail")),
-        missing_core(orders, core).select(*check("core_completeness", F.col("value"), "fail")),
-        total_differences(orders, strict=True).select(
-            *check("order_arithmetic", F.col("value"), "warning")
-        ),
+        order_checks,
         privacy_findings.agg(one.alias("value")).select(*check("privacy", F.col("value"), "fail")),
     ]
     return _union(rows)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketgrain.functions.labels import month_text
 from marketgrain.functions.money import display, mean, percent
 from marketgrain.operators import calendar
+from marketgrain.operators.summary import one_row
 
 
 def sales_base(orders: DataFrame, *dimensions: str) -> DataFrame:
@@ -22,7 +23,8 @@ def sales_base(orders: DataFrame, *dimensions: str) -> DataFrame:
 def monthly(base: DataFrame, *, zero_months: bool = True) -> DataFrame:
     """Orders, value and mean ticket per month. Months without orders appear
     with zeros unless ``zero_months`` is off."""
-    facts = base.groupBy(calendar.as_month("day").alias("month")).agg(
+    dated = base.where(F.col("day").isNotNull())
+    facts = dated.groupBy(calendar.as_month("day").alias("month")).agg(
         F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")
     )
     if zero_months:
@@ -44,15 +46,15 @@ def breakdown(base: DataFrame, dimension: str, order: str = "orders") -> DataFra
     facts = base.groupBy(dimension).agg(
         F.sum("orders").alias("orders"), F.sum("revenue").alias("value")
     )
-    whole = facts.agg(F.sum("orders").alias("orders"), F.sum("value").alias("value"))
+    whole = one_row(facts.agg(F.sum("orders").alias("orders"), F.sum("value").alias("value")))
     first = F.col("orders") if order == "orders" else F.col("value")
     return facts.orderBy(first.desc(), F.col(dimension).asc()).select(
         dimension,
         "orders",
         F.col("value").cast("double").alias("revenue"),
         display(mean(F.col("value"), F.col("orders"))).alias("average_ticket"),
-        percent(F.col("orders"), whole.select("orders").scalar()).alias("order_share_pct"),
-        percent(F.col("value"), whole.select("value").scalar()).alias("revenue_share_pct"),
+        percent(F.col("orders"), whole["orders"]).alias("order_share_pct"),
+        percent(F.col("value"), whole["value"]).alias("revenue_share_pct"),
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marketgrain.functions.money import display, mean
 from marketgrain.operators import calendar
 from marketgrain.plans.segments import by_ticket
-from marketgrain.plans.weekdays import weekday_means, weekday_report
+from marketgrain.plans.weekdays import daily_sales, weekday_means, weekday_report
 
 Scopes = Mapping[str, Sequence[str] | None]
 
@@ -98,18 +98,16 @@ def leader_by_scope(
     return units.join(best, ["scope", "units"], "left_semi").orderBy("scope", "category_id")
 
 
-def weekday_by_scope(orders: DataFrame, scopes: Scopes, selected: Column | None = None) -> DataFrame:
-    """Weekday means per scope over the calendar of all orders."""
-    kept = orders if selected is None else orders.where(selected)
-    daily = kept.groupBy("status", calendar.as_day("placed_at").alias("day")).agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total").alias("sales")
-    )
+def weekday_by_scope(base: DataFrame, scopes: Scopes, selected: Column | None = None) -> DataFrame:
+    """Weekday means per scope over the calendar of all orders. ``base`` is the
+    daily summary of the orders with their status."""
+    daily = daily_sales(base, selected, "status")
     facts = per_scope(daily, scopes).groupBy("scope", "day").agg(
         F.sum("orders").alias("orders"), F.sum("sales").alias("sales")
     )
     names = F.array(*map(F.lit, scopes))
     every_day = calendar.days(
-        calendar.span(orders, "placed_at").withColumn("scope", F.explode(names)), "scope"
+        calendar.span(base, "day").withColumn("scope", F.explode(names)), "scope"
     )
     filled = calendar.fill(every_day, facts, ["scope", "day"], ["orders", "sales"])
     return weekday_report(weekday_means(filled, "scope"), "scope")

@@ -13,6 +13,7 @@ from marketgrain.functions.labels import ordinal_label
 from marketgrain.functions.money import display, mean, percent
 from marketgrain.operators.joins import checked_join, members
 from marketgrain.operators.ranking import leaders, numbered, top
+from marketgrain.operators.summary import one_row
 
 
 def item_context(
@@ -33,23 +34,34 @@ def item_context(
     )
 
 
-def order_metrics(orders: DataFrame) -> DataFrame:
-    """Revenue, frequency and exact mean ticket per customer."""
+def order_metrics(orders: DataFrame, *, valued_only: bool = False) -> DataFrame:
+    """Revenue, frequency and exact mean ticket per customer. ``valued_only``
+    counts distinct orders and divides by those that have a total."""
+    frequency = F.count_distinct("order_id") if valued_only else F.count("order_id")
+    divisor = F.count("total") if valued_only else F.count("order_id")
     return orders.groupBy("customer_id").agg(
         F.sum("total").alias("revenue"),
-        F.count("order_id").alias("frequency"),
-        mean(F.sum("total"), F.count("order_id")).alias("ticket"),
+        frequency.alias("frequency"),
+        mean(F.sum("total"), divisor).alias("ticket"),
     )
 
 
-def purchased(context: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items with the customer who bought them."""
-    return context.join(orders.select("order_id", "customer_id"), "order_id")
+def purchases(context: DataFrame, orders: DataFrame, category: str = "category_id") -> DataFrame:
+    """Lines and units per customer and category.
+
+    This is the only pass over the items. Diversity counts its rows, and the
+    units of any group of customers add up from it. Both keys take part in the
+    shuffle and rows are combined before it, so neither a customer nor a
+    category with a third of all items makes a large group."""
+    bought = context.join(orders.select("order_id", "customer_id"), "order_id")
+    return bought.groupBy("customer_id", F.col(category).alias("category_id")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("quantity").cast("bigint").alias("units")
+    )
 
 
-def diversity(bought: DataFrame, category: str = "category_id") -> DataFrame:
-    """Distinct categories per customer."""
-    return bought.groupBy("customer_id").agg(F.count_distinct(category).alias("diversity"))
+def diversity(bought: DataFrame) -> DataFrame:
+    """Distinct categories per customer, from ``purchases``."""
+    return bought.groupBy("customer_id").agg(F.count("category_id").alias("diversity"))
 
 
 def customer_metrics(
@@ -57,14 +69,17 @@ def customer_metrics(
     bought: DataFrame,
     customers: DataFrame | None = None,
     population: str = "registered",
+    *,
+    valued_only: bool = False,
 ) -> DataFrame:
-    """One row per customer of the chosen population.
+    """One row per customer of the chosen population; ``bought`` is the result
+    of ``purchases``.
 
     ``"registered"``: every row of ``customers``, zeros without orders;
     ``"ordering"``: customers with at least one order that has items;
     ``"with_orders"``: customers with orders, diversity zero without items.
     """
-    value, variety = order_metrics(orders), diversity(bought)
+    value, variety = order_metrics(orders, valued_only=valued_only), diversity(bought)
     if population == "ordering":
         return value.join(variety, "customer_id")
     if population == "with_orders":
@@ -115,13 +130,13 @@ def anonymous_report(chosen: DataFrame, prefix: str) -> DataFrame:
 
 
 def of_elite(bought: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Items of the elite. ``chosen`` has as many rows as the elite was asked
+    """Purchases of the elite. ``chosen`` has as many rows as the elite was asked
     to have, which bounds the broadcast."""
     return members(bought, F.broadcast(chosen.select("customer_id")), "customer_id")
 
 
-def category_units(bought: DataFrame, category: str = "category_id") -> DataFrame:
-    return bought.groupBy(category).agg(F.sum("quantity").cast("bigint").alias("units"))
+def category_units(bought: DataFrame) -> DataFrame:
+    return bought.groupBy("category_id").agg(F.sum("units").cast("bigint").alias("units"))
 
 
 def named(frame: DataFrame, categories: DataFrame | None, category: str = "category_id") -> DataFrame:
@@ -176,17 +191,19 @@ def eligibility(metrics: DataFrame, minimum: int) -> DataFrame:
 def elite_totals(orders: DataFrame, bought: DataFrame, chosen: DataFrame) -> DataFrame:
     """Orders, lines and units of the elite and the share of its leader."""
     items = of_elite(bought, chosen)
-    units = category_units(items)
-    of_orders = members(orders, F.broadcast(chosen.select("customer_id")), "customer_id").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total").cast("double").alias("revenue")
+    leader = category_units(items).agg(F.max("units")).scalar()
+    of_orders = one_row(
+        members(orders, F.broadcast(chosen.select("customer_id")), "customer_id").agg(
+            F.count(F.lit(1)).alias("orders"), F.sum("total").cast("double").alias("revenue")
+        )
     )
     return items.agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("quantity").cast("bigint").alias("units")
+        F.sum("lines").alias("lines"), F.sum("units").cast("bigint").alias("units")
     ).select(
-        of_orders.select("orders").scalar().alias("orders"),
-        of_orders.select("revenue").scalar().alias("revenue"),
+        of_orders["orders"].alias("orders"),
+        of_orders["revenue"].alias("revenue"),
         "lines",
         "units",
-        units.agg(F.max("units")).scalar().alias("leader_units"),
-        percent(units.agg(F.max("units")).scalar(), F.col("units")).alias("leader_share_pct"),
+        leader.alias("leader_units"),
+        percent(leader, F.col("units")).alias("leader_share_pct"),
     )

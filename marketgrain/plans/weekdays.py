@@ -1,4 +1,8 @@
-"""Average daily sales per weekday over a calendar without gaps."""
+"""Average daily sales per weekday over a calendar without gaps.
+
+``base`` is the daily summary of the orders (``sales.sales_base``) with the
+dimensions a selection or a segment refers to.
+"""
 
 from __future__ import annotations
 
@@ -8,44 +12,46 @@ from pyspark.sql import functions as F
 from marketgrain.functions.labels import iso_weekday, weekday_name
 from marketgrain.functions.money import display, mean
 from marketgrain.operators import calendar
+from marketgrain.operators.summary import one_row
 
 
-def daily_sales(orders: DataFrame, selected: Column | None = None, *by: str) -> DataFrame:
-    """Orders and their value per day (and segment); the selection is applied
-    to the records, before any calendar is joined."""
-    kept = orders if selected is None else orders.where(selected)
-    return kept.groupBy(*by, calendar.as_day("placed_at").alias("day")).agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total").alias("sales")
+def daily_sales(base: DataFrame, selected: Column | None = None, *by: str) -> DataFrame:
+    """Orders and their value per day (and segment). The selection is applied
+    to the records, before any calendar is joined; over a base that is not
+    stored it reaches the scan of the orders."""
+    kept = base if selected is None else base.where(selected)
+    return kept.groupBy(*by, "day").agg(
+        F.sum("orders").alias("orders"), F.sum("revenue").alias("sales")
     )
 
 
 def calendar_sales(
-    orders: DataFrame, selected: Column | None = None, language: str = "pt"
+    base: DataFrame, selected: Column | None = None, language: str = "pt"
 ) -> DataFrame:
     """One row per calendar day of the whole order period with the selected
     sales; days without a selected record carry zero."""
-    every_day = calendar.dimension(calendar.days(calendar.span(orders, "placed_at")), language)
-    return calendar.fill(every_day, daily_sales(orders, selected), ["day"], ["orders", "sales"])
+    every_day = calendar.dimension(calendar.days(calendar.span(base, "day")), language)
+    return calendar.fill(every_day, daily_sales(base, selected), ["day"], ["orders", "sales"])
 
 
 def segment_calendar_sales(
-    orders: DataFrame, segment: str, segments: DataFrame | None = None,
+    base: DataFrame, segment: str, segments: DataFrame | None = None,
     selected: Column | None = None,
 ) -> DataFrame:
     """The same per segment: every segment gets the full calendar, also the
     segments that sold nothing. ``segments`` is the dimension to cover; without
-    it the segments seen in the orders are covered."""
-    bounds = calendar.span(orders, "placed_at")
-    known = (orders if segments is None else segments).select(segment).distinct()
+    it the segments seen in the base are covered."""
+    bounds = one_row(calendar.span(base, "day"))
+    known = (base if segments is None else segments).select(segment).distinct()
     per_segment = known.select(
         segment,
-        bounds.select("first_day").scalar().alias("first_day"),
-        bounds.select("last_day").scalar().alias("last_day"),
+        bounds["first_day"].alias("first_day"),
+        bounds["last_day"].alias("last_day"),
     )
     every_day = calendar.days(per_segment, segment)
     return calendar.fill(
         every_day,
-        daily_sales(orders, selected, segment),
+        daily_sales(base, selected, segment),
         [segment, "day"],
         ["orders", "sales"],
     )
@@ -92,41 +98,45 @@ def weekday_report(means: DataFrame, *by: str, language: str = "pt") -> DataFram
 
 
 def weekday_mean(
-    orders: DataFrame, selected: Column | None = None, language: str = "pt"
+    base: DataFrame, selected: Column | None = None, language: str = "pt"
 ) -> DataFrame:
     """The weekday report of the selected orders, weakest weekday first."""
-    means = weekday_means(calendar_sales(orders, selected, language))
+    means = weekday_means(calendar_sales(base, selected, language))
     return weekday_report(means, language=language)
 
 
-def reconcile_calendar(orders: DataFrame, selected: Column | None = None) -> DataFrame:
-    """Proof that the calendar neither lost nor duplicated anything."""
+def reconcile_calendar(
+    orders: DataFrame, base: DataFrame, selected: Column | None = None
+) -> DataFrame:
+    """Proof that the calendar neither lost nor duplicated anything: figures
+    straight from the orders against those after the calendar."""
     kept = orders if selected is None else orders.where(selected)
-    facts = kept.agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.coalesce(F.sum("total"), F.lit(0)).cast("decimal(28,2)").alias("sales"),
-    )
-    bounds = calendar.span(orders, "placed_at").select(
-        (F.date_diff("last_day", "first_day") + 1).cast("bigint").alias("n")
+    before = one_row(
+        kept.agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.coalesce(F.sum("total"), F.lit(0)).cast("decimal(28,2)").alias("sales"),
+        )
     )
-    result = calendar_sales(orders, selected).agg(
+    bounds = one_row(calendar.span(orders, "placed_at"))
+    expected = (F.date_diff(bounds["last_day"], bounds["first_day"]) + 1).cast("bigint")
+    after = calendar_sales(base, selected).agg(
         F.count(F.lit(1)).alias("calendar_days"),
         F.count_distinct("day").alias("distinct_days"),
         F.sum("orders").alias("orders_after"),
         F.sum("sales").cast("decimal(28,2)").alias("sales_after"),
     )
-    return result.select(
+    return after.select(
         "calendar_days",
         "distinct_days",
-        bounds.scalar().alias("expected_days"),
-        facts.select("orders").scalar().alias("orders_before"),
+        expected.alias("expected_days"),
+        before["orders"].alias("orders_before"),
         "orders_after",
-        facts.select(F.col("sales").cast("double")).scalar().alias("sales_before"),
+        before["sales"].cast("double").alias("sales_before"),
         F.col("sales_after").cast("double").alias("sales_after"),
         (
             (F.col("calendar_days") == F.col("distinct_days"))
-            & (F.col("calendar_days") == bounds.scalar())
-            & (F.col("orders_after") == facts.select("orders").scalar())
-            & (F.col("sales_after") == facts.select("sales").scalar())
+            & (F.col("calendar_days") == expected)
+            & (F.col("orders_after") == before["orders"])
+            & (F.col("sales_after") == before["sales"])
         ).alias("balanced"),
     )
