@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketgrain.functions.columns import literal_column
+
 
 def locale_number(text: Column) -> Column:
     """Read amounts such as ``R$ 1.234,56``, ``1234,56`` and ``1234.56``.
@@ -49,7 +51,7 @@ def first_alias(
     folded = {c.lower(): c for c in frame.columns}
     loose = [folded[n.lower()] for n in names if n.lower() in folded]
     chosen = list(dict.fromkeys(exact + loose))
-    options = [F.col(f"`{c}`") for c in chosen] + ([] if default is None else [default])
+    options = [literal_column(c) for c in chosen] + ([] if default is None else [default])
     return F.coalesce(*options) if options else F.lit(None)
 
 

@@ -817,6 +817,27 @@ ORACLES["tidy_models"] = (
     ]
 )
 
+ORACLES["exported_forecast"] = f"""
+with {ONE}, {FORWARD}
+select month, printf('%.6f', round(prediction, 6)) as prediction, cast(actual as varchar) as actual,
+       printf('%.6f', round(absolute_error, 6)) as absolute_error
+from forward"""
+
+ORACLES["exported_similarity"] = f"""
+with {ANCHORED}
+select cast(product_id as varchar) as product_id, printf('%.8f', similarity) as similarity from scored"""
+
+ORACLES["exported_view"] = f"""
+select 'secao;dimensao;periodo;metrica;valor;detalhe' as line
+union all
+select concat_ws(';', secao, dimensao, periodo, metrica, valor,
+  case when contains(detalhe, ';') then '"' || detalhe || '"' else detalhe end)
+from ({ORACLES["tidy_customers"]})"""
+
+ORACLES["overlay_document"] = f"""
+with {METRICS}, {CARDS}
+select id, case when id = 'orders' then value + 1 else value end as value from cards"""
+
 ORACLES["overlay_monthly"] = f"""
 with {MONTHLY}, published as (
   select strftime(o_orderdate, '%Y-%m') as month, count(*) as orders, sum({TOTAL}) as value

@@ -732,6 +732,48 @@ def tidy_models(t: Tables) -> DataFrame:
     return _view(t, "models")
 
 
+@query
+def exported_forecast(t: Tables) -> DataFrame:
+    """The forecast as written to CSV, read back as text."""
+    path = scratch_dir(t.spark, "forecast")
+    digits = {"prediction": 6, "absolute_error": 6}
+    sinks.write_csv(walk_forward(t), path, digits)
+    return t.spark.read.option("header", True).csv(path)
+
+
+@query
+def exported_similarity(t: Tables) -> DataFrame:
+    """Similarities to the target as written to CSV, read back as text."""
+    path = scratch_dir(t.spark, "similarity")
+    scored = similarity_to_target(t).select("product_id", "similarity")
+    sinks.write_csv(scored, path, {"similarity": 8})
+    return t.spark.read.option("header", True).csv(path)
+
+
+@query
+def exported_view(t: Tables) -> DataFrame:
+    """A view export as its physical lines: separators, quoting, line ends."""
+    path = scratch_dir(t.spark, "view")
+    sinks.write_view(tidy_customers(t), path)
+    return t.spark.read.option("lineSep", "\r\n").text(path).withColumnRenamed("value", "line")
+
+
+@query
+def overlay_document(t: Tables) -> DataFrame:
+    """A document written and read again: its cards over recomputed ones."""
+    path = scratch_dir(t.spark, "document")
+    s = Sections(t, stored=True)
+    doc = contract.document(
+        t.spark,
+        {"executive": {"cards": contract.as_list(s.cards().where("id <> 'orders'"), ["position"])}},
+    )
+    contract.as_json(doc).coalesce(1).write.text(path)
+    base = s.cards().withColumn("value", F.col("value") + F.lit(1.0)).select("id", "value")
+    found = overlay.published_sections(t.spark, path, doc.schema)
+    published = found.select(F.inline("executive.cards")).select("id", "value")
+    return overlay.overlay_values(base, published, ["id"], ["value"])
+
+
 def published_document(t: Tables) -> DataFrame:
     s = Sections(t, stored=True)
     rows, one = contract.as_list, contract.as_object

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def overlay_values(
@@ -22,3 +24,14 @@ def overlay_sections(base: DataFrame, published: DataFrame, section: str = "sect
     sections that were not published stay."""
     kept = base.join(published.select(section).distinct(), section, "left_anti")
     return kept.unionByName(published.select(*base.columns))
+
+
+def published_sections(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A written document, or ``None`` where there is none that can be read, in
+    which case the recomputed sections stand alone."""
+    try:
+        found = spark.read.schema(schema).json(path)
+    except AnalysisException:
+        return None
+    readable = found.na.drop("all")
+    return None if readable.isEmpty() else readable

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketgrain.functions.columns import literal_column
 from marketgrain.functions.money import CENT, display, mean, percent
 from marketgrain.operators import quantiles as q
 from marketgrain.operators.joins import duplicate_keys
@@ -42,17 +43,20 @@ def overview(orders: DataFrame, amount: str = "total", moment: str = "placed_at"
 
 def null_profile(frame: DataFrame) -> DataFrame:
     """Nulls of every column, from a single wide aggregate."""
-    names = frame.columns
-    counts = frame.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(c)).alias(c) for c in names])
-    entries = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("column_name"),
-            (F.col("_rows") - F.col(c)).alias("nulls"),
-            percent(F.col("_rows") - F.col(c), F.col("_rows")).alias("null_pct"),
+    names = list(enumerate(frame.columns, start=1))
+    present = [F.count(literal_column(c)).alias(f"present_{i}") for i, c in names]
+    counts = frame.agg(F.count(F.lit(1)).alias("rows"), *present)
+    entries = []
+    for i, c in names:
+        nulls = F.col("rows") - F.col(f"present_{i}")
+        entries.append(
+            F.struct(
+                F.lit(i).alias("position"),
+                F.lit(c).alias("column_name"),
+                nulls.alias("nulls"),
+                percent(nulls, F.col("rows")).alias("null_pct"),
+            )
         )
-        for i, c in enumerate(names, start=1)
-    ]
     return counts.select(F.inline(F.array(*entries)))
 
 

@@ -15,7 +15,7 @@ from marketgrain.operators import calendar
 from marketgrain.operators.summary import one_row
 
 
-def daily_sales(base: DataFrame, selected: Column | None = None, *by: str) -> DataFrame:
+def daily_sales(base: DataFrame, selected: Column | str | None = None, *by: str) -> DataFrame:
     """Orders and their value per day (and segment). The selection is applied
     to the records, before any calendar is joined; over a base that is not
     stored it reaches the scan of the orders."""
@@ -26,7 +26,7 @@ def daily_sales(base: DataFrame, selected: Column | None = None, *by: str) -> Da
 
 
 def calendar_sales(
-    base: DataFrame, selected: Column | None = None, language: str = "pt"
+    base: DataFrame, selected: Column | str | None = None, language: str = "pt"
 ) -> DataFrame:
     """One row per calendar day of the whole order period with the selected
     sales; days without a selected record carry zero."""
@@ -36,7 +36,7 @@ def calendar_sales(
 
 def segment_calendar_sales(
     base: DataFrame, segment: str, segments: DataFrame | None = None,
-    selected: Column | None = None,
+    selected: Column | str | None = None,
 ) -> DataFrame:
     """The same per segment: every segment gets the full calendar, also the
     segments that sold nothing. ``segments`` is the dimension to cover; without
@@ -98,7 +98,7 @@ def weekday_report(means: DataFrame, *by: str, language: str = "pt") -> DataFram
 
 
 def weekday_mean(
-    base: DataFrame, selected: Column | None = None, language: str = "pt"
+    base: DataFrame, selected: Column | str | None = None, language: str = "pt"
 ) -> DataFrame:
     """The weekday report of the selected orders, weakest weekday first."""
     means = weekday_means(calendar_sales(base, selected, language))
@@ -106,7 +106,7 @@ def weekday_mean(
 
 
 def reconcile_calendar(
-    orders: DataFrame, base: DataFrame, selected: Column | None = None
+    orders: DataFrame, base: DataFrame, selected: Column | str | None = None
 ) -> DataFrame:
     """Proof that the calendar neither lost nor duplicated anything: figures
     straight from the orders against those after the calendar."""
