@@ -85,10 +85,14 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
     """Foreign-key values without a parent, with the child rows behind each.
 
     Child rows collapse to one row per key value before the shuffle, so a hot
-    foreign key costs a single row per task. A null key counts as an orphan.
+    foreign key costs a single row per task. The lookup is an outer join with a
+    marker: an anti join would be pushed below the aggregation and shuffle
+    every child row. A null key counts as an orphan.
     """
     references = child.groupBy(F.col(child_key).alias("reference")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    known = parent.select(F.col(parent_key).alias("reference")).where(F.col(parent_key).isNotNull())
-    return references.join(known, "reference", "left_anti")
+    known = parent.select(F.col(parent_key).alias("reference"), F.lit(True).alias("known"))
+    return (
+        references.join(known, "reference", "left").where(F.col("known").isNull()).drop("known")
+    )

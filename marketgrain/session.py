@@ -50,6 +50,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="marketgrain-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marketgrain-"))
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

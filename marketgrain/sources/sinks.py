@@ -145,19 +145,26 @@ def view_export(sections: Mapping[str, DataFrame], view: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [blocks[name] for name in VIEWS[view]])
 
 
+def view_lines(frame: DataFrame) -> DataFrame:
+    """The export as text lines below a header line. A cell is quoted only if
+    it holds a separator, a quote or a line break; content is not altered."""
+
+    def cell(name: str) -> Column:
+        value = F.coalesce(F.col(name), F.lit(""))
+        doubled = F.replace(value, F.lit('"'), F.lit('""'))
+        wrapped = F.concat(F.lit('"'), doubled, F.lit('"'))
+        return F.when(value.rlike('[;"\\n\\r]'), wrapped).otherwise(value)
+
+    header = frame.sparkSession.range(1).select(F.lit(";".join(TIDY_COLUMNS)).alias("line"))
+    body = frame.select(F.concat_ws(";", *[cell(c) for c in TIDY_COLUMNS]).alias("line"))
+    return header.unionByName(body)
+
+
 def write_view(frame: DataFrame, path: str) -> None:
-    """Semicolons, CRLF and doubled quotes, only where a cell needs quoting."""
-    (
-        frame.coalesce(1)
-        .write.mode("errorifexists")
-        .option("header", True)
-        .option("sep", ";")
-        .option("lineSep", "\r\n")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    """One file of semicolon-separated lines ending in CRLF, in view order."""
+    placed = view_lines(frame).withColumn("place", F.monotonically_increasing_id())
+    ordered = placed.orderBy("place").select("line").coalesce(1)
+    ordered.write.mode("errorifexists").option("lineSep", "\r\n").text(path)
 
 
 def write_document(doc: DataFrame, path: str, sections: Mapping[str, DataFrame]) -> None:
