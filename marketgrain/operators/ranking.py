@@ -1,8 +1,8 @@
 """Top rows, leaders and positions.
 
-A position over a whole relation would need every row in one task, so numbers
-are only given to relations already cut to a stated length; a leader is found
-by its value, which is a plain distributed aggregate.
+A window over a whole relation would need every row in one task, so it is only
+used on relations already cut to a stated length. Others are numbered range by
+range, and a leader is found by its value, a plain distributed aggregate.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketgrain.operators.summary import one_row
+from marketgrain.operators.summary import materialized, one_row
 
 
 def top(frame: DataFrame, by: Sequence[Column], n: int) -> DataFrame:
@@ -21,10 +21,29 @@ def top(frame: DataFrame, by: Sequence[Column], n: int) -> DataFrame:
 
 
 def numbered(frame: DataFrame, by: Sequence[Column], name: str = "rank") -> DataFrame:
-    """Consecutive positions for a relation of summary size."""
+    """Consecutive positions for a relation cut to a stated length."""
     return frame.withColumn(name, F.row_number().over(Window.orderBy(*by)))
 
 
+def positions(frame: DataFrame, by: Sequence[Column], name: str = "rank") -> DataFrame:
+    """Consecutive positions for a relation of any size.
+
+    The relation is sorted into range partitions and stored, one file per
+    range. A row's position is its place in its file plus the rows of the files
+    before it, so only the list of files is ever numbered as a whole. The order
+    must be total, which also keeps equal values from filling one range.
+    """
+    stored = materialized(frame.orderBy(*by), "ordered")
+    placed = stored.select("*", F.col("_metadata.file_name").alias("_file"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = files.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_ahead"))
+    inside = F.row_number().over(Window.partitionBy("_file").orderBy(*by))
+    return placed.join(ahead, "_file").select(
+        *frame.columns, (F.col("_ahead") + inside).alias(name)
+    )
+
+
 def leaders(frame: DataFrame, measure: str) -> DataFrame:
     """All rows holding the largest value; ties are kept."""
     best = frame.agg(F.max(measure).alias("best"))

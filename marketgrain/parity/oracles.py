@@ -674,7 +674,12 @@ def _hygiene(table: str, columns: list[str]) -> str:
 
 
 ORACLES["text_hygiene"] = _hygiene("documents", ["text", "lang", "source"])
-ORACLES["text_hygiene_pages"] = _hygiene("pages", ["url", "html"])
+PIECES = """
+pieces as (
+  select 'sentence' as kind, unnest(string_split_regex(text, '[.]')) as piece from documents
+  union all
+  select 'markup', unnest(string_split_regex(html, '[<>]')) from pages)"""
+ORACLES["text_hygiene_pieces"] = f"with {PIECES} {_hygiene('pieces', ['kind', 'piece'])}"
 
 ORACLES["privacy_gate"] = """
 select 'documents' as section, '' as forbidden_fields,
@@ -846,6 +851,22 @@ select coalesce(m.month, p.month) as month, coalesce(p.orders, m.orders) as orde
        {amount('coalesce(p.value, m.value)')} as revenue
 from monthly m full join published p on p.month = m.month"""
 
+ORACLES["json_contract_monthly"] = ORACLES["monthly_sales"]
+ORACLES["json_contract_sizes"] = f"""
+with {METRICS}, {MONTHLY}
+select 'executive.cards' as section, 6 as entries
+union all select 'sales.monthly', cast(count(*) as integer) from monthly
+union all select 'sales.statuses', cast(count(distinct o_orderstatus) as integer) from orders
+union all select 'sales.channels', cast(count(distinct o_orderpriority) as integer) from orders
+union all select 'customers.elite', cast(count(*) as integer) from elite
+union all select 'customers.category_distribution', cast(count(distinct diversity) as integer) from registered
+union all select 'customers.elite_categories', cast(count(*) as integer) from brand_units
+union all select 'operations.weekdays', 7
+union all select 'operations.forecast_series', 3
+union all select 'operations.recommendations', 5
+union all select 'quality.checks', 7
+union all select 'quality.sources', {len(WIDTHS)}"""
+
 URGENT = _breakdown("o_orderpriority", "channel", f"where o_orderpriority = '{POS}'")
 ORACLES["overlay_sections"] = f"""
 select 'statuses' as section, status as label, orders, revenue from {STATUSES}

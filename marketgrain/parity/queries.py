@@ -455,7 +455,7 @@ def interactions(t: Tables) -> DataFrame:
 
 @query
 def pair_cosine(t: Tables) -> DataFrame:
-    return affinity.pair_cosine(_links(t))
+    return affinity.pair_cosine(materialized(_links(t), "interactions"))
 
 
 @query
@@ -580,8 +580,15 @@ def text_hygiene(t: Tables) -> DataFrame:
 
 
 @query
-def text_hygiene_pages(t: Tables) -> DataFrame:
-    return quality.text_hygiene(t.raw("pages"), ["url", "html"])
+def text_hygiene_pieces(t: Tables) -> DataFrame:
+    """The same over the pieces of all texts and pages, which do have blanks."""
+    texts = t.raw("documents").select(
+        F.lit("sentence").alias("kind"), F.explode(F.split("text", "[.]")).alias("piece")
+    )
+    pages = t.raw("pages").select(
+        F.lit("markup").alias("kind"), F.explode(F.split("html", "[<>]")).alias("piece")
+    )
+    return quality.text_hygiene(texts.unionByName(pages), ["kind", "piece"])
 
 
 @query
@@ -599,18 +606,23 @@ def privacy_gate(t: Tables) -> DataFrame:
 # --- scopes ------------------------------------------------------------------
 
 
-def _scope_elite(t: Tables) -> DataFrame:
-    return scopes.elite_by_scope(t.orders(), _context(t), SCOPES, MIN_CATEGORIES // 2)
+def _bought_by_status(t: Tables) -> DataFrame:
+    return segments.purchases(_context(t), t.orders(), by=["status"])
+
+
+def _scope_elite(t: Tables, bought: DataFrame) -> DataFrame:
+    return scopes.elite_by_scope(t.orders(), bought, SCOPES, MIN_CATEGORIES // 2)
 
 
 @query
 def scope_sensitivity(t: Tables) -> DataFrame:
-    return scopes.elite_report(_scope_elite(t))
+    return scopes.elite_report(_scope_elite(t, _bought_by_status(t)))
 
 
 @query
 def scope_leader(t: Tables) -> DataFrame:
-    return scopes.leader_by_scope(t.orders(), _context(t), _scope_elite(t), SCOPES)
+    bought = materialized(_bought_by_status(t), "purchases")
+    return scopes.leader_by_scope(bought, _scope_elite(t, bought), SCOPES)
 
 
 # --- publication -------------------------------------------------------------
@@ -814,6 +826,40 @@ def json_contract(t: Tables) -> DataFrame:
     return contract.as_json(doc)
 
 
+@query
+def json_contract_monthly(t: Tables) -> DataFrame:
+    """The monthly section as a reader of the JSON document gets it."""
+    doc = published_document(t)
+    parsed = contract.as_json(doc).select(F.from_json("document", doc.schema).alias("d"))
+    return parsed.select(F.inline("d.sales.monthly"))
+
+
+@query
+def json_contract_sizes(t: Tables) -> DataFrame:
+    """Entries per list of the JSON document."""
+    doc = published_document(t)
+    parsed = contract.as_json(doc).select(F.from_json("document", doc.schema).alias("d"))
+    lists = [
+        "executive.cards",
+        "sales.monthly",
+        "sales.statuses",
+        "sales.channels",
+        "customers.elite",
+        "customers.category_distribution",
+        "customers.elite_categories",
+        "operations.weekdays",
+        "operations.forecast_series",
+        "operations.recommendations",
+        "quality.checks",
+        "quality.sources",
+    ]
+    sizes = [
+        F.struct(F.lit(name).alias("section"), F.size(f"d.{name}").alias("entries"))
+        for name in lists
+    ]
+    return parsed.select(F.inline(F.array(*sizes)))
+
+
 @query
 def overlay_monthly(t: Tables) -> DataFrame:
     """Monthly figures of the urgent orders laid over those of all orders."""

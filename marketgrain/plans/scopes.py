@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketgrain.functions.money import display, mean
 from marketgrain.operators import calendar
+from marketgrain.operators.joins import members
 from marketgrain.plans.segments import by_ticket
 from marketgrain.plans.weekdays import daily_sales, weekday_means, weekday_report
 
@@ -34,9 +35,10 @@ def per_scope(frame: DataFrame, scopes: Scopes) -> DataFrame:
 
 
 def elite_by_scope(
-    orders: DataFrame, context: DataFrame, scopes: Scopes, minimum: int, n: int = 10
+    orders: DataFrame, bought: DataFrame, scopes: Scopes, minimum: int, n: int = 10
 ) -> DataFrame:
-    """The elite of every scope, with its exact ticket."""
+    """The elite of every scope, with its exact ticket. ``bought`` holds the
+    purchases per customer, status and category."""
     value = (
         per_scope(
             orders.groupBy("customer_id", "status").agg(
@@ -50,13 +52,8 @@ def elite_by_scope(
             mean(F.sum("total"), F.sum("orders")).alias("ticket"),
         )
     )
-    seen = (
-        context.join(orders.select("order_id", "customer_id", "status"), "order_id")
-        .select("customer_id", "status", "category_id")
-        .distinct()
-    )
     variety = (
-        per_scope(seen, scopes)
+        per_scope(bought, scopes)
         .groupBy("scope", "customer_id")
         .agg(F.count_distinct("category_id").alias("diversity"))
         .where(F.col("diversity") >= minimum)
@@ -82,18 +79,15 @@ def elite_report(chosen: DataFrame) -> DataFrame:
     ).orderBy("scope", "rank")
 
 
-def leader_by_scope(
-    orders: DataFrame, context: DataFrame, chosen: DataFrame, scopes: Scopes
-) -> DataFrame:
+def leader_by_scope(bought: DataFrame, chosen: DataFrame, scopes: Scopes) -> DataFrame:
     """Leading category of each scope's elite, ties kept. ``chosen`` holds at
-    most n rows per scope, which bounds the broadcast."""
-    sold = per_scope(orders.select("order_id", "customer_id", "status"), scopes)
-    kept = sold.join(F.broadcast(chosen.select("scope", "customer_id")), ["scope", "customer_id"])
-    units = (
-        context.join(kept, "order_id")
-        .groupBy("scope", "category_id")
-        .agg(F.sum("quantity").cast("bigint").alias("units"))
+    most n rows per scope, which bounds the broadcasts. Purchases of other
+    customers are dropped before any row is repeated per scope."""
+    of_chosen = members(bought, F.broadcast(chosen.select("customer_id")), "customer_id")
+    elite = per_scope(of_chosen, scopes).join(
+        F.broadcast(chosen.select("scope", "customer_id")), ["scope", "customer_id"]
     )
+    units = elite.groupBy("scope", "category_id").agg(F.sum("units").cast("bigint").alias("units"))
     best = units.groupBy("scope").agg(F.max("units").alias("units"))
     return units.join(best, ["scope", "units"], "left_semi").orderBy("scope", "category_id")
 

@@ -6,13 +6,15 @@ as one row per customer, so an order total is never repeated per item.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketgrain.functions.labels import ordinal_label
 from marketgrain.functions.money import display, mean, percent
 from marketgrain.operators.joins import checked_join, members
-from marketgrain.operators.ranking import leaders, numbered, top
+from marketgrain.operators.ranking import leaders, numbered, positions, top
 from marketgrain.operators.summary import one_row
 
 
@@ -46,15 +48,17 @@ def order_metrics(orders: DataFrame, *, valued_only: bool = False) -> DataFrame:
     )
 
 
-def purchases(context: DataFrame, orders: DataFrame, category: str = "category_id") -> DataFrame:
-    """Lines and units per customer and category.
+def purchases(
+    context: DataFrame, orders: DataFrame, category: str = "category_id", *, by: Sequence[str] = ()
+) -> DataFrame:
+    """Lines and units per customer, category and the order columns ``by``.
 
     This is the only pass over the items. Diversity counts its rows, and the
     units of any group of customers add up from it. Both keys take part in the
     shuffle and rows are combined before it, so neither a customer nor a
     category with a third of all items makes a large group."""
-    bought = context.join(orders.select("order_id", "customer_id"), "order_id")
-    return bought.groupBy("customer_id", F.col(category).alias("category_id")).agg(
+    bought = context.join(orders.select("order_id", "customer_id", *by), "order_id")
+    return bought.groupBy("customer_id", *by, F.col(category).alias("category_id")).agg(
         F.count(F.lit(1)).alias("lines"), F.sum("quantity").cast("bigint").alias("units")
     )
 
@@ -157,7 +161,8 @@ def leading_categories(
 def category_share(units: DataFrame, categories: DataFrame | None = None) -> DataFrame:
     """Ranked categories with their share of all units."""
     whole = units.agg(F.sum("units"))
-    ranked = numbered(named(units, categories), [F.col("units").desc(), F.col("category_id").asc()])
+    order = [F.col("units").desc(), F.col("category_id").asc()]
+    ranked = positions(named(units, categories), order)
     return ranked.withColumn("share_pct", percent(F.col("units"), whole.scalar()))
 
 

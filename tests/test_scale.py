@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from marketgrain.operators import ranking
 from marketgrain.parity.queries import REGISTRY
 from marketgrain.plans import affinity, forecast, profile, quality, sales, scopes, segments
 from marketgrain.session import scratch_dir, tune
@@ -129,7 +130,8 @@ def test_foreign_keys_collapse_before_the_shuffle(spark, hot):
 def test_top_per_scope_is_cut_before_the_shuffle(spark, hot):
     items, orders, products = hot
     context = segments.item_context(items, products, validate=None)
-    chosen = scopes.elite_by_scope(orders, context, {"all": None, "paid": ["paid"]}, 1, 5)
+    bought = segments.purchases(context, orders, by=["status"])
+    chosen = scopes.elite_by_scope(orders, bought, {"all": None, "paid": ["paid"]}, 1, 5)
     assert "WindowGroupLimit" in final_plan(chosen) and chosen.count() == 10
 
 
@@ -202,3 +204,17 @@ def test_scratch_folder_without_a_named_one(spark):
     first, second = scratch_dir(session, "x"), scratch_dir(session, "y")
     assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] == session.folder
     assert tune(spark) is spark
+
+
+def test_positions_over_many_ranges(spark):
+    """A full ranking equals the sorted list, also with equal values."""
+    frame = spark.range(0, 5000, 1, 9).select("id", (F.col("id") % 7).alias("units"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = ranking.positions(frame, [F.col("units").desc(), F.col("id").asc()])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    found = sorted((r["rank"], r["units"], r["id"]) for r in ranked.collect())
+    ordered = sorted(((i % 7, i) for i in range(5000)), key=lambda p: (-p[0], p[1]))
+    assert found == [(n, u, i) for n, (u, i) in enumerate(ordered, 1)]
+    assert len(ranked.inputFiles()) > 1

@@ -140,8 +140,9 @@ def test_dangling_keys_by_policy(shop):
 
 def test_scopes_share_one_pass(shop):
     names = {"all": None, "paid": ["paid"]}
-    chosen = scopes.elite_by_scope(shop["orders"], shop["context"], names, 1, 2)
+    bought = segments.purchases(shop["context"], shop["orders"], by=["status"])
+    chosen = scopes.elite_by_scope(shop["orders"], bought, names, 1, 2)
     report = [(r["scope"], r["rank"], r["customer_id"]) for r in scopes.elite_report(chosen).collect()]
     assert report == [("all", 1, 1), ("all", 2, 2), ("paid", 1, 1), ("paid", 2, 2)]
-    leaders = scopes.leader_by_scope(shop["orders"], shop["context"], chosen, names)
+    leaders = scopes.leader_by_scope(bought, chosen, names)
     assert {(r["scope"], r["category_id"], r["units"]) for r in leaders.collect()} == {("all", 1, 12), ("paid", 1, 12)}
