@@ -19,8 +19,9 @@ def locale_number(text: Column) -> Column:
     """
     bare = F.regexp_replace(text, r"R\$| |\A\s+|\s+\z", "")
     has_comma, has_point = bare.contains(","), bare.contains(".")
+    ungrouped = F.replace(bare, F.lit("."), F.lit(""))
     plain = (
-        F.when(has_comma & has_point, F.replace(F.replace(bare, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+        F.when(has_comma & has_point, F.replace(ungrouped, F.lit(","), F.lit(".")))
         .when(has_comma, F.replace(bare, F.lit(","), F.lit(".")))
         .otherwise(bare)
     )
@@ -36,9 +37,8 @@ def cleaned_numbers(
     flagged and stays null, or becomes ``default`` where one is given."""
     number = locale_number(F.col(column))
     value = number if default is None else F.coalesce(number, F.lit(float(default)))
-    return frame.withColumns(
-        {f"{column}_number": value, f"{column}_rejected": F.col(column).isNotNull() & number.isNull()}
-    )
+    rejected = F.col(column).isNotNull() & number.isNull()
+    return frame.withColumns({f"{column}_number": value, f"{column}_rejected": rejected})
 
 
 def first_alias(

@@ -82,7 +82,9 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     return found.select(*interpolated)
 
 
-def approximate(frame: DataFrame, value: str, probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+def approximate(
+    frame: DataFrame, value: str, probabilities: Sequence[float], accuracy: int = 10_000
+) -> DataFrame:
     """The same row from one mergeable sketch, when an error of 1/accuracy of
     the ranks is acceptable."""
     if not all(math.isfinite(p) and 0 <= p <= 1 for p in probabilities):

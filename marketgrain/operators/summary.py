@@ -27,3 +27,12 @@ def materialized(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows of a small source over all cores, ahead of work that costs more
+    than moving them. A source with splits for at least half of the cores is
+    left alone, so no large input is ever shuffled for this."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    few = frame.rdd.getNumPartitions() * 2 <= cores
+    return frame.repartition(cores) if few else frame

@@ -215,7 +215,9 @@ def category_share(t: Tables) -> DataFrame:
 def category_by_name(t: Tables) -> DataFrame:
     by_product = segments.purchases(_context(t), t.orders(), "product_id")
     units = segments.category_units(segments.of_elite(by_product, _elite(t, "with_orders")))
-    names = t.products().select(F.col("product_id").alias("category_id"), F.col("product_name").alias("category"))
+    names = t.products().select(
+        F.col("product_id").alias("category_id"), F.col("product_name").alias("category")
+    )
     return segments.category_units_by_name(units, names, 6)
 
 
@@ -987,7 +989,8 @@ def csv_type_profile(t: Tables) -> DataFrame:
 
 @query
 def csv_inventory(t: Tables) -> DataFrame:
-    return csv_files.inventory(t.spark, csv_files.inspect(t.spark, _csv_drop(t, ["nation", "documents"])))
+    folder = _csv_drop(t, ["nation", "documents"])
+    return csv_files.inventory(t.spark, csv_files.inspect(t.spark, folder))
 
 
 @query
@@ -1021,4 +1024,6 @@ def csv_published_texts(t: Tables) -> DataFrame:
     target = scratch_dir(t.spark, "published")
     publish.load_folder(t.spark, _csv_drop(t, ["documents"]), target)
     texts = publish.open_table(t.spark, target, "documents")
-    return texts.select("doc_id", F.md5(F.col("text")).alias("digest"), F.length("text").alias("characters"))
+    return texts.select(
+        "doc_id", F.md5(F.col("text")).alias("digest"), F.length("text").alias("characters")
+    )

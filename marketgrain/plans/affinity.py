@@ -74,7 +74,8 @@ def target_id(products: DataFrame, name: str) -> int:
     """Id of the one product with this exact name."""
     found = products.where(F.col("product_name") == name).select("product_id").limit(2).collect()
     if len(found) != 1:
-        raise AnalyticsError(f"expected one product called {name!r}, found {'several' if found else 'none'}")
+        count = "several" if found else "none"
+        raise AnalyticsError(f"expected one product called {name!r}, found {count}")
     return found[0][0]
 
 
@@ -118,7 +119,9 @@ def similar_products(links: DataFrame, products: DataFrame, target: int, n: int
     return numbered(best, by_similarity())
 
 
-def class_position(links: DataFrame, products: DataFrame, target: int, is_member: Column) -> DataFrame:
+def class_position(
+    links: DataFrame, products: DataFrame, target: int, is_member: Column
+) -> DataFrame:
     """Where the first product of a class stands in the similarity order."""
     return position_of_best(
         similarity_to(links, products, target), is_member, "similarity", "product_id"

@@ -137,9 +137,11 @@ def finite(frame: DataFrame) -> DataFrame:
     def safe(name: str) -> Column:
         value = F.col(name)
         broken = F.isnan(value) | (F.abs(value) == float("inf"))
-        return F.when(broken, F.raise_error(F.lit(f"{name} is not a finite number"))).otherwise(value)
+        message = F.lit(f"{name} is not a finite number")
+        return F.when(broken, F.raise_error(message)).otherwise(value)
 
-    doubles = [f.name for f in frame.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    real = (T.DoubleType, T.FloatType)
+    doubles = [f.name for f in frame.schema.fields if isinstance(f.dataType, real)]
     return frame.withColumns({name: safe(name) for name in doubles}) if doubles else frame
 
 

@@ -213,7 +213,9 @@ def recursive(marked: DataFrame, horizon: Horizon, by: Sequence[str] = ()) -> Da
     return _scored(joined, by, F.element_at("path", steps + F.lit(k + 1)))
 
 
-def seasonal(marked: DataFrame, horizon: Horizon, by: Sequence[str] = (), season: int = 12) -> DataFrame:
+def seasonal(
+    marked: DataFrame, horizon: Horizon, by: Sequence[str] = (), season: int = 12
+) -> DataFrame:
     """The value of the same month one season earlier; needs a dense series."""
     earlier = F.lag("units", season).over(Window.partitionBy(*by).orderBy("month"))
     return _scored(
@@ -260,11 +262,15 @@ def dataset_profile(unified: DataFrame, marked: DataFrame, horizon: Horizon, uni
             F.count_if((F.col("units") == 0) & (F.col("period") == "test")).alias("test"),
         )
     )
+
+    def units(period: Column) -> Column:
+        return F.coalesce(F.sum(F.when(period, F.col("quantity"))), F.lit(0)).cast("bigint")
+
     return unified.agg(
         F.count_if(train).alias("train_lines"),
         F.count_if(test).alias("test_lines"),
-        F.coalesce(F.sum(F.when(train, F.col("quantity"))), F.lit(0)).cast("bigint").alias("train_units"),
-        F.coalesce(F.sum(F.when(test, F.col("quantity"))), F.lit(0)).cast("bigint").alias("test_units"),
+        units(train).alias("train_units"),
+        units(test).alias("test_units"),
         F.count_distinct(unit).alias("distinct_keys"),
     ).select(
         "*",

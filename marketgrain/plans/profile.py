@@ -141,9 +141,13 @@ def tukey(
     width = high - low
     lower, upper = low - F.lit(factor) * width, high + F.lit(factor) * width
     outside = (F.col("value") < lower) | (F.col("value") > upper)
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0)).cast("bigint")
+
     return counts.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("evaluated"),
-        F.coalesce(F.sum(F.when(outside, F.col("rows"))), F.lit(0)).cast("bigint").alias("candidates"),
+        total(F.col("rows")).alias("evaluated"),
+        total(F.when(outside, F.col("rows"))).alias("candidates"),
     ).select(
         low.alias("q1"),
         mid.alias("median"),

@@ -92,7 +92,9 @@ def leader_by_scope(bought: DataFrame, chosen: DataFrame, scopes: Scopes) -> Dat
     return units.join(best, ["scope", "units"], "left_semi").orderBy("scope", "category_id")
 
 
-def weekday_by_scope(base: DataFrame, scopes: Scopes, selected: Column | str | None = None) -> DataFrame:
+def weekday_by_scope(
+    base: DataFrame, scopes: Scopes, selected: Column | str | None = None
+) -> DataFrame:
     """Weekday means per scope over the calendar of all orders. ``base`` is the
     daily summary of the orders with their status."""
     daily = daily_sales(base, selected, "status")

@@ -96,8 +96,8 @@ def customer_metrics(
         )
     else:
         raise ValueError(f"population {population!r} needs a customer table or is unknown")
-    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("revenue", "frequency", "ticket", "diversity")}
-    return joined.withColumns(zero)
+    measures = ("revenue", "frequency", "ticket", "diversity")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in measures})
 
 
 def by_ticket() -> list[Column]:
@@ -129,7 +129,10 @@ def anonymous_report(chosen: DataFrame, prefix: str) -> DataFrame:
     return elite_report(chosen).select(
         "rank",
         ordinal_label(prefix, F.col("rank")).alias("label"),
-        *[c for c in ("revenue", "frequency", "average_ticket", "diversity")],
+        "revenue",
+        "frequency",
+        "average_ticket",
+        "diversity",
     )
 
 
@@ -143,9 +146,9 @@ def category_units(bought: DataFrame) -> DataFrame:
     return bought.groupBy("category_id").agg(F.sum("units").cast("bigint").alias("units"))
 
 
-def named(frame: DataFrame, categories: DataFrame | None, category: str = "category_id") -> DataFrame:
+def named(frame: DataFrame, categories: DataFrame | None) -> DataFrame:
     """Attach category names where a category table exists."""
-    return frame if categories is None else frame.join(categories, category)
+    return frame if categories is None else frame.join(categories, "category_id")
 
 
 def leading_categories(

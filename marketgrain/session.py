@@ -27,6 +27,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Start shuffles with partitions of about ``target_bytes`` for an input of
+    this size; adaptive execution merges those that turn out small. Returns the
+    number of partitions set."""
+    count = max(8, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
+    return count
+
+
 def local_session(cores: int | str = 8, app: str = "marketgrain") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketgrain.operators import ranking
 from marketgrain.parity.queries import REGISTRY
 from marketgrain.plans import affinity, forecast, profile, quality, sales, scopes, segments
-from marketgrain.session import scratch_dir, tune
+from marketgrain.session import scratch_dir, size_shuffles, tune
 from tests.conftest import rows
 
 
@@ -206,6 +206,16 @@ def test_scratch_folder_without_a_named_one(spark):
     assert tune(spark) is spark
 
 
+def test_shuffles_are_sized_by_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffles(spark, 100 << 40) == 819_200
+        assert size_shuffles(spark, 1) == 8
+        assert spark.conf.get(key) == "8"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_positions_over_many_ranges(spark):
     """A full ranking equals the sorted list, also with equal values."""
     frame = spark.range(0, 5000, 1, 9).select("id", (F.col("id") % 7).alias("units"))
