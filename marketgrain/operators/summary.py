@@ -32,7 +32,10 @@ def materialized(frame: DataFrame, label: str) -> DataFrame:
 def spread(frame: DataFrame) -> DataFrame:
     """Rows of a small source over all cores, ahead of work that costs more
     than moving them. A source with splits for at least half of the cores is
-    left alone, so no large input is ever shuffled for this."""
+    left alone, so no large input is ever shuffled for this.
+
+    Only for frames without a shuffle of their own: counting the partitions of
+    any other frame would run it."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
     few = frame.rdd.getNumPartitions() * 2 <= cores
     return frame.repartition(cores) if few else frame

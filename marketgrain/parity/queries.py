@@ -955,7 +955,7 @@ def _as_text(frame: DataFrame) -> DataFrame:
 @query
 def type_profile(t: Tables) -> DataFrame:
     """Inferred types of every column, read as text."""
-    found = [inference.profile(_as_text(t.raw(name)), name) for name in PROFILED]
+    found = [inference.profile(_as_text(t.raw(name)), name, is_scan=True) for name in PROFILED]
     return reduce(DataFrame.unionByName, found).drop("whole_digits", "fraction_digits")
 
 

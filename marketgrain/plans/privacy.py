@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketgrain.errors import AnalyticsError
+from marketgrain.functions.columns import literal_column
 
 # Fields that must not appear in a publication, compared without
 # case and underscores.
@@ -50,10 +51,17 @@ def forbidden_fields(frame: DataFrame, denied: Iterable[str] = FORBIDDEN) -> lis
 
 def report(sections: Mapping[str, DataFrame], denied: Iterable[str] = FORBIDDEN) -> DataFrame:
     """Per section: forbidden fields in the schema and rows whose text holds an
-    ``@``. Nested values are searched through their JSON form."""
+    ``@``. Only text columns are read; nested ones are searched as JSON."""
     rows = []
     for name, frame in sections.items():
-        hit = F.to_json(F.struct("*")).contains("@")
+        hit = F.lit(False)
+        for field in frame.schema.fields:
+            value = literal_column(field.name)
+            if isinstance(field.dataType, T.StringType):
+                hit = hit | F.coalesce(value.contains("@"), F.lit(False))
+            elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+                as_text = F.to_json(F.struct(value))
+                hit = hit | as_text.contains("@")
         rows.append(
             frame.agg(F.count_if(hit).alias("rows_with_at_sign")).select(
                 F.lit(name).alias("section"),
