@@ -6,11 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketgrain.llm import op1_repair_ids, op7_token_counts, op8_linear_grouping
+from marketgrain.llm import (
+    op1_repair_ids,
+    op2_pivot_topk,
+    op5_kneser_ney_lid,
+    op7_token_counts,
+    op8_linear_grouping,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_ids": op1_repair_ids.query,
+    "op2_pivot_topk": op2_pivot_topk.query,
+    "op5_kneser_ney_lid": op5_kneser_ney_lid.query,
     "op7_token_counts": op7_token_counts.query,
     "op8_linear_grouping": op8_linear_grouping.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_pivot_topk": op2_pivot_topk.SQL}
