@@ -11,7 +11,7 @@ import numpy as np
 
 from marketgrain.llm import textarrays as ta
 
-START, END, STOP = 1, 2, 3  # marks before and after a word; a text's end
+START, END = 1, 2  # marks before and after a word
 _STEP = ta.U(0xD6E8FEB86659FD93)
 
 

@@ -12,6 +12,7 @@ from marketgrain.llm import (
     op5_kneser_ney_lid,
     op7_token_counts,
     op8_linear_grouping,
+    op10_suffix_tree,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_kneser_ney_lid": op5_kneser_ney_lid.query,
     "op7_token_counts": op7_token_counts.query,
     "op8_linear_grouping": op8_linear_grouping.query,
+    "op10_suffix_tree": op10_suffix_tree.query,
 }
 ORACLES: dict[str, str] = {"op2_pivot_topk": op2_pivot_topk.SQL}
