@@ -10,6 +10,7 @@ from marketgrain.llm import (
     op1_repair_ids,
     op2_pivot_topk,
     op3_prob_minhash,
+    op4_co_training,
     op5_kneser_ney_lid,
     op7_token_counts,
     op8_linear_grouping,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair_ids": op1_repair_ids.query,
     "op2_pivot_topk": op2_pivot_topk.query,
     "op3_prob_minhash": op3_prob_minhash.query,
+    "op4_co_training": op4_co_training.query,
     "op5_kneser_ney_lid": op5_kneser_ney_lid.query,
     "op7_token_counts": op7_token_counts.query,
     "op8_linear_grouping": op8_linear_grouping.query,

@@ -23,6 +23,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+NO_LETTER = np.ones(256, dtype=bool)  # bytes of no letter; all beyond ASCII count as letters
+NO_LETTER[65:91] = NO_LETTER[97:123] = NO_LETTER[128:] = False
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -73,8 +75,9 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             start = stop
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
-    """(starts, ends, row, hash) of every run of bytes that are not white space.
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, breaks: np.ndarray = SPACE):
+    """(starts, ends, row, hash) of every run of bytes that do not break words
+    (white space, unless said otherwise).
 
     ``row`` is the number of the text. A-Z count as a-z if ``lower``. Words never
     span two texts.
@@ -83,7 +86,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     empty = np.zeros(0, np.int64)
     if n == 0:
         return empty, empty, empty, np.zeros(0, np.uint64)
-    solid = ~SPACE[data]
+    solid = ~breaks[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     first = solid.copy()

@@ -14,7 +14,7 @@ def docs(spark):
     def make(texts, ids=None):
         ids = list(range(len(texts))) if ids is None else ids
         rows = [(i, t, "en", "s", 1, 2, 3) for i, t in zip(ids, texts, strict=True)]
-        schema = "doc_id bigint, text string, lang string, source string, n_tokens int, length int, row int"
+        schema = "doc_id bigint, text string, lang string, source string, n_chars int, length int, row int"
         return spark.createDataFrame(rows, schema)
 
     return make
