@@ -12,8 +12,10 @@ from marketgrain.llm import (
     op3_prob_minhash,
     op4_co_training,
     op5_kneser_ney_lid,
+    op6_pseudonyms,
     op7_token_counts,
     op8_linear_grouping,
+    op9_latent_semantic,
     op10_suffix_tree,
 )
 
@@ -23,8 +25,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_prob_minhash": op3_prob_minhash.query,
     "op4_co_training": op4_co_training.query,
     "op5_kneser_ney_lid": op5_kneser_ney_lid.query,
+    "op6_pseudonyms": op6_pseudonyms.query,
     "op7_token_counts": op7_token_counts.query,
     "op8_linear_grouping": op8_linear_grouping.query,
+    "op9_latent_semantic": op9_latent_semantic.query,
     "op10_suffix_tree": op10_suffix_tree.query,
 }
 ORACLES: dict[str, str] = {"op2_pivot_topk": op2_pivot_topk.SQL}
