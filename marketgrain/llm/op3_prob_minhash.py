@@ -266,5 +266,18 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
     return links
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: of each class the
+    row with the least id, and of repeated rows one. Rows without words all stay."""
+    names = docs.columns
+    others = classes(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
+    others = common.stored(others, "dropped")
+    marked = fingerprinted(docs)
+    blank = marked.where("print is null").select(*names)
+    said = marked.where("print is not null")
+    said = said.join(others, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), "left_anti")
+    return said.dropDuplicates(["doc_id", "print"]).select(*names).unionAll(blank)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return classes(common.table(spark, folder, "documents")).select("doc_id", "class_id", "kept")

@@ -296,5 +296,24 @@ def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     return docs.select(*COLUMNS).mapInArrow(score, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean")
 
 
+def kept(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not rejected. Scoring and choice
+    are one scan; a column named rejected may be among the others."""
+    spark = docs.sparkSession
+    common.ship(spark)
+    model = fit(docs, labels, labelled, pool)
+    if model is None:
+        return docs
+    sent = spark.sparkContext.broadcast(model)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = {name: unpacked(m) for name, m in sent.value.items()}
+        for batch in ta.slices(batches):
+            worst = np.maximum(*(rate(model[t], batch)[:, 2] for t in TARGETS))
+            yield batch.filter(pa.array(worst < LIMIT))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return judge(common.table(spark, folder, "documents"), common.table(spark, folder, "labels"))

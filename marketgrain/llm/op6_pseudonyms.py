@@ -242,6 +242,20 @@ def replaced(text: str, key: bytes, by: int = 1) -> tuple[str, list[tuple[str, i
     return ("".join(out) + text[done:], spans) if spans else (text, spans)
 
 
+def new_texts(column: pa.Array, key: bytes) -> tuple[pa.Array, list[list]]:
+    """The texts with pseudonyms, and what was found in each."""
+    data, offsets = ta.flat(column)
+    # only texts with a digit or an @ can hold anything
+    marks = np.concatenate([[0], np.cumsum(((data >= 48) & (data <= 57)) | (data == 64))])
+    texts, found = None, [[] for _ in range(len(column))]
+    for i in np.flatnonzero(marks[offsets[1:]] > marks[offsets[:-1]]).tolist():
+        new, found[i] = replaced(column[i].as_py(), key)
+        if found[i]:
+            texts = column.to_pylist() if texts is None else texts
+            texts[i] = new
+    return column if texts is None else pa.array(texts, column.type), found
+
+
 def key_of(spark: SparkSession) -> bytes:
     return spark.conf.get(KEY_SETTING, "for tests only").encode()[:64]
 
@@ -264,29 +278,36 @@ def pseudonymised(docs: DataFrame, key: bytes | None = None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in ta.slices(batches):
-            column = batch.column(1)
-            data, offsets = ta.flat(column)
-            # only texts with a digit or an @ can hold anything
-            marks = np.concatenate([[0], np.cumsum(((data >= 48) & (data <= 57)) | (data == 64))])
-            some = np.flatnonzero(marks[offsets[1:]] > marks[offsets[:-1]])
-            texts, found = None, [[] for _ in range(batch.num_rows)]
-            for i in some.tolist():
-                old = column[i].as_py()
-                new, spans = replaced(old, key)
-                if spans:
-                    texts = column.to_pylist() if texts is None else texts
-                    texts[i], found[i] = new, [{"kind": k, "start": s, "length": n} for k, s, n in spans]
+            texts, found = new_texts(batch.column(1), key)
+            spans = [[{"kind": k, "start": s, "length": n} for k, s, n in f] for f in found]
             yield pa.record_batch(
-                [
-                    batch.column(0), column if texts is None else pa.array(texts, column.type),
-                    pa.array([len(f) for f in found], pa.int32()), pa.array(found, found_type),
-                ],
+                [batch.column(0), texts, pa.array([len(f) for f in found], pa.int32()), pa.array(spans, found_type)],
                 names=["doc_id", "text", "n_found", "found"],
-            )
+            )
 
     schema = f"doc_id {kind}, text string, n_found int, found array<struct<kind:string,start:int,length:int>>"
     return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
+def with_pseudonyms(docs: DataFrame, key: bytes | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, with pseudonyms in the text; a non-null
+    ``n_chars``, if there is one, follows a text that changed."""
+    spark = docs.sparkSession
+    common.ship(spark)
+    key = key or key_of(spark)
+    names = docs.columns
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in ta.slices(batches):
+            columns = dict(zip(names, batch.columns, strict=True))
+            columns["text"], found = new_texts(columns["text"], key)
+            if "n_chars" in columns and any(found):
+                sizes = zip(columns["n_chars"].to_pylist(), columns["text"].to_pylist(), found, strict=True)
+                columns["n_chars"] = pa.array([len(t) if f and n is not None else n for n, t, f in sizes], columns["n_chars"].type)
+            yield pa.record_batch([columns[n] for n in names], names=names)
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonymised(common.table(spark, folder, "documents"))

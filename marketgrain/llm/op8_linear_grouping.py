@@ -274,6 +274,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.select(*columns, "_rank").mapInArrow(place, schema + ", sequence_id bigint, offset bigint").unionByName(full)
 
 
+def packed(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
+    """Documents cut and packed; see cut and pack."""
+    return pack(common.stored(cut(docs, vocabulary, capacity), "pieces"), capacity)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    pieces = common.stored(cut(common.table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "pieces")
-    return pack(pieces)
+    return packed(common.table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -328,5 +328,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
     return out
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, in which nothing was found. Hits are by
+    id; a row without an id is judged by a hash of its text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
+    found = leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_key")).distinct()
+    found = common.stored(found, "leaks")
+    return docs.withColumn("_row", key).join(found, F.col("_row") == F.col("_key"), "left_anti").select(*docs.columns)
+
+
 def query(spark: SparkSession, folder: str) -> DataFrame:
     return leaks(common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"))
