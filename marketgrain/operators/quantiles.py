@@ -2,8 +2,10 @@
 
 The built-in exact percentile keeps every distinct value of a group in one
 buffer. Here the column is first collapsed to (value, rows), which is an
-ordinary pre-aggregated shuffle. Values are then laid out in fine logarithmic
-bins; only the bins that hold a wanted position are sorted.
+ordinary pre-aggregated shuffle, and stored in ranges of the value. The rows of
+the ranges are summed up, and only the ranges that hold a wanted position are
+sorted out. Ranges are balanced by the values there are, so it does not matter
+how they are distributed.
 """
 
 from __future__ import annotations
@@ -14,23 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bins per factor of e: a bin spans 0.01 % of its value. Amounts up to 10^15 need
-# at most 350,000 bins per sign, whatever the number of rows.
-BINS_PER_E = 10_000
+from marketgrain.operators.summary import materialized
 
 
 def value_counts(frame: DataFrame, value: str) -> DataFrame:
-    """Distinct non-null values with their number of rows."""
-    return (
+    """Distinct non-null values with their number of rows, stored in ranges."""
+    counts = (
         frame.where(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("value"))
+        .groupBy(F.col(value).alias("value"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-
-
-def _bin(value: Column) -> Column:
-    magnitude = F.floor(F.log1p(F.abs(value)) * F.lit(BINS_PER_E))
-    return F.when(value < 0, -magnitude - 1).otherwise(magnitude)
+    return materialized(counts.orderBy("value"), "values")
 
 
 def quantiles(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
@@ -39,15 +35,15 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     The position of probability p among n rows is p·(n−1), counted from zero;
     its two neighbours are order statistics found by cumulative row counts.
     """
-    binned = counts.withColumn("bin", _bin(F.col("value")))
-    bins = binned.groupBy("bin").agg(F.sum("rows").alias("bin_rows"))
-    ahead = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    offsets = bins.select(
-        "bin",
-        "bin_rows",
-        F.coalesce(F.sum("bin_rows").over(ahead), F.lit(0)).alias("offset"),
-        F.sum("bin_rows").over(everything).alias("n"),
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"\Apart-([0-9]+)", 1).cast("bigint")
+    placed = counts.select("value", "rows", part.alias("part"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy("part").agg(F.sum("rows").alias("range_rows"))
+    offsets = ranges.select(
+        "part",
+        "range_rows",
+        F.coalesce(F.sum("range_rows").over(ahead), F.lit(0)).alias("offset"),
+        F.sum("range_rows").over(Window.partitionBy()).alias("n"),
     )
 
     def neighbours(p: float) -> tuple[Column, Column]:
@@ -60,19 +56,20 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     wanted = F.lit(False)
     for p in probabilities:
         for rank in neighbours(p):
-            wanted = wanted | inside(rank, "offset", "bin_rows")
-    # At most two bins per probability are left, which bounds the broadcast.
+            wanted = wanted | inside(rank, "offset", "range_rows")
+    # At most two ranges per probability are left, which bounds the broadcast.
     hit = F.broadcast(offsets.where(wanted))
-    before = Window.partitionBy("bin").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    placed = binned.join(hit, "bin").withColumn(
+    before = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    opened = placed.join(hit, "part").withColumn(
         "start", F.col("offset") + F.coalesce(F.sum("rows").over(before), F.lit(0))
     )
+    value = F.col("value").cast("double")
     picks = []
     for i, p in enumerate(probabilities):
         low, high = neighbours(p)
-        picks.append(F.max(F.when(inside(low, "start", "rows"), F.col("value"))).alias(f"low{i}"))
-        picks.append(F.max(F.when(inside(high, "start", "rows"), F.col("value"))).alias(f"high{i}"))
-    found = placed.agg(F.max("n").alias("n"), *picks)
+        picks.append(F.max(F.when(inside(low, "start", "rows"), value)).alias(f"low{i}"))
+        picks.append(F.max(F.when(inside(high, "start", "rows"), value)).alias(f"high{i}"))
+    found = opened.agg(F.max("n").alias("n"), *picks)
     interpolated = []
     for i, p in enumerate(probabilities):
         position = F.lit(p) * (F.col("n") - 1).cast("double")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketgrain.operators.summary import materialized, one_row
+from marketgrain.operators.summary import materialized
 
 
 def top(frame: DataFrame, by: Sequence[Column], n: int) -> DataFrame:
@@ -34,7 +34,9 @@ def positions(frame: DataFrame, by: Sequence[Column], name: str = "rank") -> Dat
     must be total, which also keeps equal values from filling one range.
     """
     stored = materialized(frame.orderBy(*by), "ordered")
-    placed = stored.select("*", F.col("_metadata.file_name").alias("_file"))
+    # files are in the order of their part numbers, which may outgrow their padding
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"\Apart-([0-9]+)", 1).cast("bigint")
+    placed = stored.select("*", part.alias("_file"))
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
     ahead = files.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_ahead"))
@@ -56,10 +58,12 @@ def position_of_best(
     """Position of the best member of a class in the order ``measure``
     descending, ``tie`` ascending, without numbering the other rows."""
     order = [F.col(measure).desc(), F.col(tie).asc()]
-    best = one_row(top(frame.where(is_member).select(measure, tie), order, 1))
-    value, identity = best[measure], best[tie]
+    best = top(frame.where(is_member).select(measure, tie), order, 1)
+    best = best.select(F.col(measure).alias("_value"), F.col(tie).alias("_identity"))
+    value, identity = F.col("_value"), F.col("_identity")
     ahead = (F.col(measure) > value) | ((F.col(measure) == value) & (F.col(tie) < identity))
-    return frame.agg(
+    # The one best row stands beside every other.
+    return frame.join(F.broadcast(best), how="cross").agg(
         F.min(identity).alias(tie),
         F.min(value).alias(measure),
         F.when(F.min(identity).isNotNull(), F.count_if(ahead) + 1).alias("position"),

@@ -31,7 +31,9 @@ def published_sections(spark: SparkSession, path: str, schema: T.StructType) ->
     which case the recomputed sections stand alone."""
     try:
         found = spark.read.schema(schema).json(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     readable = found.na.drop("all")
     return None if readable.isEmpty() else readable

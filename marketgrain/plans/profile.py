@@ -12,7 +12,6 @@ from marketgrain.functions.columns import literal_column
 from marketgrain.functions.money import CENT, display, mean, percent
 from marketgrain.operators import quantiles as q
 from marketgrain.operators.joins import duplicate_keys
-from marketgrain.operators.summary import one_row
 
 
 def stacked(frame: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
@@ -136,26 +135,24 @@ def tukey(
     row = q.quantiles(counts, thirds) if accuracy is None else q.approximate(
         frame, amount, thirds, accuracy
     )
-    found = one_row(row)
-    low, mid, high = found["q0"], found["q1"], found["q2"]
+    low, mid, high = F.col("q0"), F.col("q1"), F.col("q2")
     width = high - low
     lower, upper = low - F.lit(factor) * width, high + F.lit(factor) * width
-    outside = (F.col("value") < lower) | (F.col("value") > upper)
+    value = F.col("value").cast("double")
+    outside = (value < lower) | (value > upper)
 
     def total(rows: Column) -> Column:
         return F.coalesce(F.sum(rows), F.lit(0)).cast("bigint")
 
-    return counts.agg(
+    # The one row of quartiles stands beside every value.
+    return counts.join(F.broadcast(row), how="cross").agg(
+        F.min(low).alias("q1"),
+        F.min(mid).alias("median"),
+        F.min(high).alias("q3"),
+        F.min(lower).alias("lower_fence"),
+        F.min(upper).alias("upper_fence"),
         total(F.col("rows")).alias("evaluated"),
         total(F.when(outside, F.col("rows"))).alias("candidates"),
-    ).select(
-        low.alias("q1"),
-        mid.alias("median"),
-        high.alias("q3"),
-        lower.alias("lower_fence"),
-        upper.alias("upper_fence"),
-        "evaluated",
-        "candidates",
     )
 
 

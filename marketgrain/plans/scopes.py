@@ -80,12 +80,11 @@ def elite_report(chosen: DataFrame) -> DataFrame:
 
 
 def leader_by_scope(bought: DataFrame, chosen: DataFrame, scopes: Scopes) -> DataFrame:
-    """Leading category of each scope's elite, ties kept. ``chosen`` holds at
-    most n rows per scope, which bounds the broadcasts. Purchases of other
+    """Leading category of each scope's elite, ties kept. Purchases of other
     customers are dropped before any row is repeated per scope."""
-    of_chosen = members(bought, F.broadcast(chosen.select("customer_id")), "customer_id")
+    of_chosen = members(bought, chosen.select("customer_id"), "customer_id")
     elite = per_scope(of_chosen, scopes).join(
-        F.broadcast(chosen.select("scope", "customer_id")), ["scope", "customer_id"]
+        chosen.select("scope", "customer_id"), ["scope", "customer_id"]
     )
     units = elite.groupBy("scope", "category_id").agg(F.sum("units").cast("bigint").alias("units"))
     best = units.groupBy("scope").agg(F.max("units").alias("units"))

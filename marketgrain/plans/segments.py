@@ -137,9 +137,8 @@ def anonymous_report(chosen: DataFrame, prefix: str) -> DataFrame:
 
 
 def of_elite(bought: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Purchases of the elite. ``chosen`` has as many rows as the elite was asked
-    to have, which bounds the broadcast."""
-    return members(bought, F.broadcast(chosen.select("customer_id")), "customer_id")
+    """Purchases of the elite."""
+    return members(bought, chosen.select("customer_id"), "customer_id")
 
 
 def category_units(bought: DataFrame) -> DataFrame:
@@ -201,7 +200,7 @@ def elite_totals(orders: DataFrame, bought: DataFrame, chosen: DataFrame) -> Dat
     items = of_elite(bought, chosen)
     leader = category_units(items).agg(F.max("units")).scalar()
     of_orders = one_row(
-        members(orders, F.broadcast(chosen.select("customer_id")), "customer_id").agg(
+        members(orders, chosen.select("customer_id"), "customer_id").agg(
             F.count(F.lit(1)).alias("orders"), F.sum("total").cast("double").alias("revenue")
         )
     )

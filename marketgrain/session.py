@@ -27,15 +27,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
-    """Start shuffles with partitions of about ``target_bytes`` for an input of
-    this size; adaptive execution merges those that turn out small. Returns the
-    number of partitions set."""
-    count = max(8, -(-input_bytes // target_bytes))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(count))
-    return count
-
-
 def local_session(cores: int | str = 8, app: str = "marketgrain") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
@@ -54,13 +45,18 @@ def local_session(cores: int | str = 8, app: str = "marketgrain") -> SparkSessio
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared checkpoint folder of the cluster.
 
-    The folder named by ``spark.checkpoint.dir`` is used as it is. Only a
-    session without one, as in tests, gets a machine-local folder.
+    The folder named by ``spark.checkpoint.dir`` is used as it is. Without one a
+    session whose tasks all run in this process, as in tests, gets a folder of
+    its own; any other is refused, because its executors would each write to
+    their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="marketgrain-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from marketgrain.operators import ranking
+from marketgrain.operators import quantiles, ranking
 from marketgrain.parity.queries import REGISTRY
 from marketgrain.plans import affinity, forecast, profile, quality, sales, scopes, segments
-from marketgrain.session import scratch_dir, size_shuffles, tune
+from marketgrain.session import scratch_dir, tune
 from tests.conftest import rows
 
 
@@ -149,7 +149,8 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_no_cross_joins(spark):
-    for name in ("weekday_by_segment", "tukey", "similar_items", "forecast_recursive", "scope_leader", "pair_cosine"):
+    # tukey lays one row beside every value, which is a broadcast of one row
+    for name in ("weekday_by_segment", "similar_items", "forecast_recursive", "scope_leader", "pair_cosine"):
         plan = final_plan(REGISTRY[name](spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
@@ -159,8 +160,34 @@ def test_every_broadcast_hint_is_bounded(spark):
     import pathlib
 
     root = pathlib.Path(__file__).parent.parent / "marketgrain"
-    hits = [(p.name, line) for p in root.rglob("*.py") for line in p.read_text().splitlines() if "F.broadcast(" in line]
-    assert hits and all("chosen" in line or "offsets.where(wanted)" in line for _, line in hits)
+    files = [p for folder in ("operators", "plans", "sources", "functions") for p in (root / folder).glob("*.py")]
+    hits = [(p.name, line) for p in files for line in p.read_text().splitlines() if "F.broadcast(" in line]
+    # one row, or the few ranges that hold a wanted position
+    one_row = ("F.broadcast(row)", "F.broadcast(best)")
+    assert hits and all("offsets.where(wanted)" in line or any(x in line for x in one_row) for _, line in hits)
+
+
+def test_quantiles_of_a_narrow_range(spark):
+    """A million values in [0, 1e-6] are spread evenly; no range holds more than its share."""
+    frame = spark.range(1_000_000).select((F.col("id") * 1e-12).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = quantiles.value_counts(frame, "v")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in counts.groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    (row,) = quantiles.quantiles(counts, [0.25, 0.5, 0.99]).collect()
+    assert [row[i] for i in range(3)] == pytest.approx([249999.75e-12, 499999.5e-12, 989999.01e-12])
+
+
+def test_part_numbers_beyond_their_padding(spark, tmp_path):
+    """Files are ordered by number: 99,999 before 100,000."""
+    names = [f"part-{n:05d}-x.parquet" for n in (99_999, 100_000)]
+    assert sorted(names) != names
+    number = F.regexp_extract(F.col("name"), r"\Apart-([0-9]+)", 1).cast("bigint")
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    assert [r["name"] for r in frame.orderBy(number).collect()] == names
 
 
 def test_dense_series_are_not_shuffled_again(spark, hot):
@@ -206,16 +233,6 @@ def test_scratch_folder_without_a_named_one(spark):
     assert tune(spark) is spark
 
 
-def test_shuffles_are_sized_by_the_input(spark):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    try:
-        assert size_shuffles(spark, 100 << 40) == 819_200
-        assert size_shuffles(spark, 1) == 8
-        assert spark.conf.get(key) == "8"
-    finally:
-        spark.conf.unset(key)
-
-
 def test_positions_over_many_ranges(spark):
     """A full ranking equals the sorted list, also with equal values."""
     frame = spark.range(0, 5000, 1, 9).select("id", (F.col("id") % 7).alias("units"))
