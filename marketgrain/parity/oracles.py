@@ -7,7 +7,14 @@ sides without depending on how a decimal division is carried out.
 from __future__ import annotations
 
 from marketgrain.functions.labels import WEEKDAYS
-from marketgrain.parity.roles import MIN_CATEGORIES, POS, TARGET_CLASS, TARGET_NAME, TARGET_PRODUCT
+from marketgrain.parity.roles import (
+    MIN_CATEGORIES,
+    POS,
+    SIMILAR_FROM,
+    TARGET_CLASS,
+    TARGET_NAME,
+    TARGET_PRODUCT,
+)
 
 ORACLES: dict[str, str] = {}
 
@@ -136,6 +143,11 @@ from f"""
 ORACLES["tukey"] = _tukey("orders", "o_totalprice")
 ORACLES["tukey_events"] = _tukey("events", "value")
 
+ORACLES["tukey_discount"] = _tukey("lineitem", "l_discount")
+ORACLES["tukey_moments"] = _tukey(
+    "(select epoch(o_orderdate) as seconds from orders)", "seconds"
+)
+
 ORACLES["by_status"] = f"""
 select o_orderstatus as status, count(*) as rows, min(o_totalprice) as smallest,
        max(o_totalprice) as largest, {mean2(f'sum({TOTAL})', 'count(o_totalprice)')} as average
@@ -535,6 +547,21 @@ select x as product_a, y as product_b, common,
        common / sqrt(cast(sx.n as double) * cast(sy.n as double)) as similarity
 from counted join support sx on sx.p = x join support sy on sy.p = y"""
 
+ORACLES["similar_pairs"] = f"""
+select * from ({ORACLES["pair_cosine"]}) where similarity >= {SIMILAR_FROM}"""
+
+ORACLES["most_similar"] = f"""
+with pairs as ({ORACLES["pair_cosine"]}),
+both_ways as (
+  select product_a as product_id, product_b as other_id, common, similarity from pairs
+  union all select product_b, product_a, common, similarity from pairs),
+placed as (
+  select *, cast(row_number() over (
+    partition by product_id order by similarity desc, other_id) as integer) as rank
+  from both_ways)
+select product_id, rank, other_id, common, round(similarity, 8) as similarity
+from placed where rank <= 3"""
+
 ANCHORED = f"""
 {LINKS},
 buyers as (select c from links where p = {TARGET_PRODUCT}),
@@ -941,6 +968,16 @@ from (select coalesce(bit_or({_kind(column)}), 0) as e,
 ORACLES["type_profile"] = " union all ".join(
     _profile(t, i, c) for t, names in COLUMNS.items() for i, c in enumerate(names.split(), 1)
 )
+ORACLES["value_kinds"] = """
+select case o_orderkey % 8 when 0 then 'TIMESTAMPTZ' when 1 then 'TIMESTAMP' when 2 then 'TEXT'
+  when 3 then 'INTEGER' when 4 then 'TEXT' when 5 then 'UNKNOWN' when 6 then 'TIMESTAMPTZ'
+  else 'DATE' end as kind, count(*) as texts
+from orders group by 1"""
+
+ORACLES["quarantined_values"] = """
+select o_orderkey, 'shown' as column_name, 'timestamp_ntz' as expected_type
+from orders where o_orderkey % 8 in (0, 2, 3, 4, 5, 6)"""
+
 ORACLES["csv_type_profile"] = ORACLES["type_profile"]
 
 ORACLES["csv_inventory"] = """

@@ -7,8 +7,9 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marketgrain.functions import cleaning, labels, money
+from marketgrain.functions import cleaning, labels, money, typing_rules
 from marketgrain.operators import calendar, joins
 from marketgrain.operators.summary import materialized
 from marketgrain.parity.roles import (
@@ -17,6 +18,7 @@ from marketgrain.parity.roles import (
     MIN_CATEGORIES,
     POS,
     SCOPES,
+    SIMILAR_FROM,
     TARGET_CLASS,
     TARGET_NAME,
     TARGET_PRODUCT,
@@ -122,6 +124,19 @@ def tukey_events(t: Tables) -> DataFrame:
     return _rounded(profile.tukey(t.raw("events"), "value"), FENCES, 4)
 
 
+@query
+def tukey_discount(t: Tables) -> DataFrame:
+    """A narrow range with few values."""
+    return _rounded(profile.tukey(t.raw("lineitem"), "l_discount"), FENCES, 4)
+
+
+@query
+def tukey_moments(t: Tables) -> DataFrame:
+    """Large numbers close to one another: order dates as seconds."""
+    moments = t.raw("orders").select(F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("seconds"))
+    return _rounded(profile.tukey(moments, "seconds"), FENCES, 4)
+
+
 @query
 def by_status(t: Tables) -> DataFrame:
     return profile.by_dimension(t.orders(), "status")
@@ -460,6 +475,19 @@ def pair_cosine(t: Tables) -> DataFrame:
     return affinity.pair_cosine(materialized(_links(t), "interactions"))
 
 
+@query
+def similar_pairs(t: Tables) -> DataFrame:
+    """Only pairs from a stated cosine on, found without counting the others."""
+    links = materialized(_links(t), "interactions")
+    return affinity.pair_cosine(links, min_cosine=SIMILAR_FROM)
+
+
+@query
+def most_similar(t: Tables) -> DataFrame:
+    found = affinity.most_similar(materialized(_links(t), "interactions"), 3)
+    return _rounded(found, ["similarity"], 8)
+
+
 @query
 def similar_items(t: Tables) -> DataFrame:
     ranked = affinity.similar_products(_links(t), t.products(), TARGET_PRODUCT)
@@ -959,6 +987,38 @@ def type_profile(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, found).drop("whole_digits", "fraction_digits")
 
 
+def _altered(t: Tables) -> DataFrame:
+    """Order dates and totals as text, in shapes that depend on the key."""
+    moment = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    key = F.pmod("o_orderkey", F.lit(8))
+    text = (
+        F.when(key == 0, F.concat(moment, F.lit("-03")))
+        .when(key == 1, F.concat(moment, F.lit(",5")))
+        .when(key == 2, F.concat(F.lit(" "), day))
+        .when(key == 3, F.substring(day, 1, 4))
+        .when(key == 4, F.lit("t"))
+        .when(key == 5, F.lit(""))
+        .when(key == 6, F.concat(moment, F.lit("+0530")))
+        .otherwise(day)
+    )
+    return t.raw("orders").select("o_orderkey", text.alias("shown"))
+
+
+@query
+def value_kinds(t: Tables) -> DataFrame:
+    """What kind each text shows, odd ones included."""
+    kind = typing_rules.resolve(typing_rules.kind_of(F.col("shown")))
+    return _altered(t).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("texts"))
+
+
+@query
+def quarantined_values(t: Tables) -> DataFrame:
+    """Where texts do not fit a timestamp column, without the texts."""
+    schema = T.StructType([T.StructField("shown", T.TimestampNTZType())])
+    return inference.quarantine(_altered(t), schema, ["o_orderkey"])
+
+
 def _csv_drop(t: Tables, names: list[str]) -> str:
     """The tables as a folder of CSV tables below the shared scratch folder."""
     folder = scratch_dir(t.spark, "drop")

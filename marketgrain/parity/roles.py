@@ -18,6 +18,7 @@ TARGET_PRODUCT = 1
 TARGET_NAME = "red widget"
 TARGET_CLASS = "%ring"
 AS_OF = date(2001, 6, 30)
+SIMILAR_FROM = 0.1
 SCOPES = {"all": None, "open_or_partial": ["O", "P"], "open": ["O"]}
 HORIZON = Horizon(date(2001, 4, 1), date(2001, 5, 1), date(2001, 7, 1))
 

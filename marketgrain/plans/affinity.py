@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketgrain.errors import AnalyticsError
@@ -29,18 +29,52 @@ def cosine(common: Column, support_a: Column, support_b: Column) -> Column:
     return F.when(product > 0, common / F.sqrt(product)).otherwise(F.lit(0.0))
 
 
-def pair_cosine(links: DataFrame, *, min_common: int = 1, block: int = 1024) -> DataFrame:
+def pair_cosine(
+    links: DataFrame, *, min_common: int = 1, min_cosine: float = 0.0, block: int = 1024
+) -> DataFrame:
     """Similarity of every two products with a common buyer, each pair once
-    (``product_a < product_b``). A pair that is absent has similarity 0."""
+    (``product_a < product_b``). A pair that is absent has similarity 0, or less
+    than ``min_cosine`` where that is given. Without it the result grows with the
+    square of the baskets; ask for it only where all pairs are needed."""
     counted = pairs.common_owners(
-        links, "customer_id", "product_id", min_common=min_common, block=block
+        links,
+        "customer_id",
+        "product_id",
+        min_common=min_common,
+        min_cosine=min_cosine,
+        block=block,
     )
-    return counted.select(
+    similar = counted.select(
         F.col("item_a").alias("product_a"),
         F.col("item_b").alias("product_b"),
         "common",
         cosine(F.col("common"), F.col("support_a"), F.col("support_b")).alias("similarity"),
     )
+    return similar.where(F.col("similarity") >= min_cosine) if min_cosine > 0 else similar
+
+
+def most_similar(
+    links: DataFrame, n: int, *, min_cosine: float = 0.0, block: int = 1024
+) -> DataFrame:
+    """The ``n`` most similar products of every product, the smaller id first
+    among equals: at most n rows per product, cut in each task before the
+    shuffle."""
+    found = pair_cosine(links, min_cosine=min_cosine, block=block)
+    turned = found.select(
+        F.col("product_b").alias("product_a"),
+        F.col("product_a").alias("product_b"),
+        "common",
+        "similarity",
+    )
+    order = Window.partitionBy("product_a").orderBy(F.col("similarity").desc(), "product_b")
+    ranked = found.unionByName(turned).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= n).select(
+        F.col("product_a").alias("product_id"),
+        "rank",
+        F.col("product_b").alias("other_id"),
+        "common",
+        "similarity",
+    )
 
 
 def mirrored(similar: DataFrame, links: DataFrame) -> DataFrame:

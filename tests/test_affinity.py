@@ -121,3 +121,22 @@ def test_context_goes_through_variants(spark):
     orders = spark.createDataFrame([(1, 9)], "order_id int, customer_id int")
     context = segments.item_context(items, catalogue(spark, {5: "x"}), variants)
     assert rows(affinity.interactions(context, orders)) == [(9, 5)]
+
+
+def test_pruning_by_support_loses_no_pair(spark):
+    """One customer holds a third of all links; blocks are small."""
+    import random
+
+    rng = random.Random(3)
+    links = {(0, p) for p in range(120)} | {(rng.randint(1, 60), int(rng.paretovariate(1)) % 150) for _ in range(400)}
+    frame = spark.createDataFrame(sorted(links), "customer_id int, product_id int")
+    every = {tuple(r) for r in affinity.pair_cosine(frame).collect()}
+    for least in (0.2, 0.5, 1.0):
+        found = {tuple(r) for r in affinity.pair_cosine(frame, min_cosine=least, block=16).collect()}
+        assert found == {r for r in every if r[3] >= least}
+    best = {}
+    for a, b, _, s in every:
+        for x, y in ((a, b), (b, a)):
+            best.setdefault(x, []).append((-s, y))
+    want = {(x, n + 1, y) for x, found in best.items() for n, (_, y) in enumerate(sorted(found)[:3])}
+    assert {(r["product_id"], r["rank"], r["other_id"]) for r in affinity.most_similar(frame, 3, block=16).collect()} == want
