@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from marketgrain.llm import charlm, common
 from marketgrain.llm import textarrays as ta
 
-LABELLED = 8000
-POOL = 8000
+LABELLED = 6000
+POOL = 4000
 ROUNDS = 3
 APART = 0.25  # of the labelled rows, for calibration
 SURE = 0.98  # a view passes on labels with at least this probability
@@ -137,34 +137,60 @@ def apply(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 class Holders:
     """Which rows of the sample hold which words and trigrams, for those that
-    enough rows hold to be evidence."""
+    enough rows hold to be evidence. Two passes over the sample: the first counts
+    rows in fixed tables, so that pairs of rare keys are never held."""
+
+    LEAST = 4  # rows that hold a key
 
     def __init__(self, slices: list[pa.RecordBatch]):
-        words, threes, base = [], [], 0
+        words, threes, total = np.zeros(1 << 22, dtype=np.int32), np.zeros(1 << 24, dtype=np.int32), 0
+        for batch in slices:
+            (_, key), (_, three) = self.pairs(batch)
+            np.add.at(words, self.slot(key), 1)
+            np.add.at(threes, three, 1)
+            total += batch.num_rows
+        # a key that most rows hold is tied to no class
+        often_word, often_three = (((c >= self.LEAST) & (c <= 0.6 * total + self.LEAST)) for c in (words, threes))
+        parts, base = ([], []), 0
         for batch in slices:
-            row, key, owner, three, _, _ = streams(batch.column(batch.schema.get_field_index("text")))
-            words.append(pd.DataFrame({"row": (row + base).astype(np.int32), "key": key}).drop_duplicates())
-            pair = np.unique((owner.astype(np.int64) << 24) | three)
-            threes.append(pd.DataFrame({"row": ((pair >> 24) + base).astype(np.int32), "key": (pair & 0xFFFFFF).astype(np.uint64)}))
+            (row, key), (owner, three) = self.pairs(batch)
+            good, fit = often_word[self.slot(key)], often_three[three]
+            parts[0].append((row[good] + np.int32(base), key[good]))
+            parts[1].append((owner[fit] + np.int32(base), three[fit]))
             base += batch.num_rows
-        self.words, self.threes = self.common(words), self.common(threes)
+        del words, threes, often_word, often_three
+        self.words = self.numbered(parts[0])
+        parts[0].clear()
+        self.threes = self.numbered(parts[1])
+
+    @staticmethod
+    def slot(key: np.ndarray) -> np.ndarray:
+        return (key >> ta.U(42)).astype(np.int64)
+
+    @staticmethod
+    def pairs(batch: pa.RecordBatch) -> tuple:
+        """Distinct (row, word) and (row, trigram) of a slice."""
+        row, key, owner, three, _, _ = streams(batch.column(batch.schema.get_field_index("text")))
+        codes, keys = pd.factorize(key)
+        pair = np.unique((row << 32) | codes) if len(row) else np.zeros(0, np.int64)
+        other = np.unique((owner.astype(np.int64) << 24) | three)
+        return (
+            ((pair >> 32).astype(np.int32), np.asarray(keys)[pair & 0xFFFFFFFF]),
+            ((other >> 24).astype(np.int32), (other & 0xFFFFFF).astype(np.int32)),
+        )
 
     @staticmethod
-    def common(parts: list[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        every = pd.concat(parts, ignore_index=True)
-        codes, keys = pd.factorize(every.key)
-        often = np.bincount(codes, minlength=len(keys)) >= 4
-        new = np.cumsum(often) - 1
-        use = often[codes]
-        return every.row.to_numpy()[use], new[codes[use]], np.asarray(keys)[often]
+    def numbered(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        codes, keys = pd.factorize(np.concatenate([p[1] for p in parts]))
+        return np.concatenate([p[0] for p in parts]), codes.astype(np.int32), np.asarray(keys)
 
     @staticmethod
     def tied(part: tuple, rows: np.ndarray, y: np.ndarray, size: int):
         """Keys tied to class 1 among the given rows, with their log odds."""
         row, code, keys = part
-        weight, hit = np.zeros(size), np.zeros(size)
-        weight[rows], hit[rows] = 1, y
-        every, yes = np.bincount(code, weights=weight[row], minlength=len(keys)), np.bincount(code, weights=hit[row], minlength=len(keys))
+        given, hit = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+        given[rows], hit[rows] = True, y > 0
+        every, yes = (np.bincount(code[x[row]], minlength=len(keys)).astype(np.float64) for x in (given, hit))
         n, k = len(rows), y.sum()
         if not 0 < k < n:
             return keys[:0], np.zeros(0)
@@ -190,7 +216,7 @@ class Holders:
 def co_train(sample: pa.Table, truth: np.ndarray, apart: np.ndarray, rounds: int = ROUNDS) -> dict:
     """A target's model. ``truth`` is 0, 1 or -1 (unlabelled); rows ``apart`` are
     for calibration only."""
-    slices = list(ta.slices(iter(sample.combine_chunks().to_batches())))
+    slices = list(ta.slices(iter(sample.combine_chunks().to_batches()), limit=1 << 19))  # small, as this runs in the driver
     size, holders = len(truth), Holders(slices)
     pages = np.concatenate([page_view(s) for s in slices])
     bins = Bins(pages)
