@@ -125,7 +125,6 @@ def test_context_goes_through_variants(spark):
 
 def test_pruning_by_support_loses_no_pair(spark):
     """One customer holds a third of all links; blocks are small."""
-    import random
 
     rng = random.Random(3)
     links = {(0, p) for p in range(120)} | {(rng.randint(1, 60), int(rng.paretovariate(1)) % 150) for _ in range(400)}
