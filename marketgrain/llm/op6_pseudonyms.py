@@ -310,4 +310,4 @@ def with_pseudonyms(docs: DataFrame, key: bytes | None = None) -> DataFrame:
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    return pseudonymised(common.table(spark, folder, "documents"))
+    return pseudonymised(common.table(spark, folder, "documents")).select("doc_id", "text", "n_found")
