@@ -19,7 +19,7 @@ def _towards_least(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
     large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    large = large.where(F.col("a") != F.col("b")).distinct()
+    large = large.where(F.col("a") != F.col("b"))
     down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))

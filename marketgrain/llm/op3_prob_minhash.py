@@ -12,8 +12,9 @@ Registers are hashed in bands; texts with an equal band are candidates, and a pa
 is a link if the Jaccard similarity of its shingle sets, computed exactly, is at
 least ``THRESHOLD``. Equal word sequences are one node from the start. Small
 buckets give all their pairs. In a bucket of more than ``SMALL`` nodes each node
-meets a leader and its neighbours in the order of fingerprints; in further rounds
-the leader is the node with the most links so far, until a round adds none. So a
+meets a leader and, in some bands, its neighbours in the order of fingerprints; in
+further rounds the leader is the node with the most links so far, until a round
+adds none. So a
 large group costs a few pairs a node and band, and never all its pairs.
 """
 
@@ -36,7 +37,7 @@ THRESHOLD = 0.8
 REGISTERS = 128
 ROWS = 4  # registers a band
 SMALL = 12  # nodes of a bucket that gives all its pairs
-ROUNDS = 3  # further leaders of a large bucket
+ROUNDS = 2  # further leaders of a large bucket
 _C = [ta.U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
 
@@ -235,7 +236,7 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
     large = members.where(F.col("size") > SMALL)
     star = large.where("print <> leader").select(F.least("print", "leader").alias("a"), F.greatest("print", "leader").alias("b"))
     # neighbours by fingerprint, within slices of a bucket that are not larger than a task can hold
-    ring = large.withColumn("slice", F.pmod(F.floor(F.conv(F.substring(F.hex("print"), 1, 4), 16, 10).cast("int")), F.lit(64)))
+    ring = large.where(F.pmod("bucket", F.lit(4)) == 0).withColumn("slice", F.pmod(F.floor(F.conv(F.substring(F.hex("print"), 1, 4), 16, 10).cast("int")), F.lit(64)))
     order = Window.partitionBy("bucket", "slice").orderBy("print")
     ring = ring.select("print", F.lead("print").over(order).alias("b")).where("b is not null").select(F.col("print").alias("a"), "b")
     tested = common.stored(pairs.unionAll(star).unionAll(ring).distinct(), "pairs")
@@ -247,17 +248,12 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
     texts = texts.join(asked.select("print", F.col("doc_id").alias("_first")), "print").where(F.col("doc_id").eqNullSafe(F.col("_first")))
     sets = common.stored(shingle_sets(texts.select("print", "text")).dropDuplicates(["print"]), "shingle-sets")
     links = common.stored(verified(sets, tested), "links")
-    for _ in range(ROUNDS):
-        if large.limit(1).count() == 0:
-            break
-        roots = graph.components(links).withColumnRenamed("node", "print")
-        both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        degree = both.groupBy("a").count().withColumnRenamed("a", "print")
-        known = large.select("bucket", "print").join(roots, "print", "left").join(degree, "print", "left")
-        known = known.select("bucket", "print", F.coalesce("root", "print").alias("root"), F.coalesce("count", F.lit(0)).alias("degree"))
-        lead = known.groupBy("bucket").agg(F.max(F.struct("degree", "print", "root")).alias("top"))
-        more = known.join(lead, "bucket").where(F.col("root") != F.col("top.root"))
-        more = more.select(F.least("print", "top.print").alias("a"), F.greatest("print", "top.print").alias("b")).distinct()
+    for _ in range(ROUNDS if large.limit(1).count() else 0):
+        both = links.select(F.col("a").alias("print")).unionAll(links.select(F.col("b").alias("print")))
+        known = large.select("bucket", "print").join(both.groupBy("print").count(), "print")
+        lead = known.groupBy("bucket").agg(F.max(F.struct("count", "print")).alias("top"))
+        more = large.select("bucket", "print").join(lead, "bucket").select("print", F.col("top.print").alias("other")).where("print <> other")
+        more = more.select(F.least("print", "other").alias("a"), F.greatest("print", "other").alias("b")).distinct()
         more = common.stored(more.join(tested, ["a", "b"], "left_anti"), "pairs")
         found = common.stored(verified(sets, more), "links")
         if found.limit(1).count() == 0:
