@@ -661,8 +661,9 @@ def scope_leader(t: Tables) -> DataFrame:
 class Sections:
     """The published sections over one set of tables, built when asked for.
 
-    ``stored`` writes the daily sales and the purchases once and derives every
-    section from them; worth it when more than one section reads them."""
+    ``stored`` writes the daily sales, the purchases, the customers' metrics and
+    the elite once and derives the sections from them; worth it when more than one
+    section reads them."""
 
     def __init__(self, t: Tables, stored: bool = False) -> None:
         self.t = t
@@ -679,11 +680,13 @@ class Sections:
     def take(self, *names: str) -> dict[str, DataFrame]:
         return {name: getattr(self, name)() for name in names}
 
-    def _metrics(self) -> DataFrame:
-        return _metrics(self.t, "registered", self.bought)
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return self.keep(_metrics(self.t, "registered", self.bought), "metrics")
 
-    def _chosen(self) -> DataFrame:
-        return segments.elite(self._metrics(), MIN_CATEGORIES)
+    @cached_property
+    def chosen(self) -> DataFrame:
+        return self.keep(segments.elite(self.metrics, MIN_CATEGORIES), "elite")
 
     def cards(self) -> DataFrame:
         t = self.t
@@ -702,16 +705,16 @@ class Sections:
         return sales.breakdown(self.base, "channel")
 
     def elite(self) -> DataFrame:
-        return segments.anonymous_report(self._chosen(), "Cliente elite")
+        return segments.anonymous_report(self.chosen, "Cliente elite")
 
     def eligibility(self) -> DataFrame:
-        return segments.eligibility(self._metrics(), MIN_CATEGORIES)
+        return segments.eligibility(self.metrics, MIN_CATEGORIES)
 
     def category_distribution(self) -> DataFrame:
-        return segments.diversity_histogram(self._metrics())
+        return segments.diversity_histogram(self.metrics)
 
     def elite_categories(self) -> DataFrame:
-        units = segments.category_units(segments.of_elite(self.bought, self._chosen()))
+        units = segments.category_units(segments.of_elite(self.bought, self.chosen))
         return segments.category_share(units).withColumnRenamed("category_id", "category")
 
     def weekdays(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Every section is a small DataFrame. The sales sections are derived from one
 daily summary of the orders and the customer sections from one summary of the
-items, so a full publication passes over the facts once each.
+items. Forecast, recommendations and checks read the tables themselves.
 """
 
 from __future__ import annotations
