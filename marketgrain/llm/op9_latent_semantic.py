@@ -29,15 +29,15 @@ from marketgrain.llm import textarrays as ta
 
 WINDOW = 64  # words
 STEP = 32
-COMMON = 0.01  # terms that more of the windows hold are left out
-RANK = 256
+COMMON = 0.002  # terms that more of the windows hold are left out
+RANK = 192
 COSINE = 0.4
 COVER = 0.6  # of an item's words in order
 ANSWER = 0.5  # of the answer's words in order
 ANSWER_SHARE = 0.25  # of an item, its last words
 PROBE = 48  # words; longer items are looked for in parts of this size
 BLOCK = 2000  # items a block
-ROWS_A_SUM = 64
+ROWS_A_SUM = 16
 
 
 def lower_letters(data: np.ndarray) -> np.ndarray:
@@ -183,24 +183,24 @@ def latent_space(docs: DataFrame, items: Items, rank: int = RANK, seed: int = 7)
         for a in range(0, len(out), ROWS_A_SUM):
             part = out[a : a + ROWS_A_SUM]
             if part.any():
-                yield pa.record_batch([pa.array([a // ROWS_A_SUM]), pa.array([seen if a == 0 else 0]), pa.array([part.tobytes()], pa.binary())], names=["part", "seen", "sums"])
+                yield pa.record_batch([pa.array([a // ROWS_A_SUM]), pa.array([seen if a == 0 else 0]), pa.array([part.astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
         if seen and not out[:ROWS_A_SUM].any():
-            yield pa.record_batch([pa.array([0]), pa.array([seen]), pa.array([out[:ROWS_A_SUM].tobytes()], pa.binary())], names=["part", "seen", "sums"])
+            yield pa.record_batch([pa.array([0]), pa.array([seen]), pa.array([out[:ROWS_A_SUM].astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
 
     def total(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen, sums = 0, 0, None
         for batch in group:
             for p, s, blob in zip(*(batch.column(i) for i in range(3)), strict=True):
-                part, seen, more = p.as_py(), seen + s.as_py(), np.frombuffer(blob.as_buffer())
-                sums = more.copy() if sums is None else sums + more
-        yield pa.record_batch([pa.array([part]), pa.array([seen]), pa.array([sums.tobytes()], pa.binary())], names=["part", "seen", "sums"])
+                part, seen, more = p.as_py(), seen + s.as_py(), np.frombuffer(blob.as_buffer(), "<f4")
+                sums = more.astype(np.float64) if sums is None else sums + more
+        yield pa.record_batch([pa.array([part]), pa.array([seen]), pa.array([sums.astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
 
     schema = "part bigint, seen bigint, sums binary"
     # a task's sums are one row per few terms: at most one row a task in a group
     found = docs.select("text").mapInArrow(add, schema).groupBy("part").applyInArrow(total, schema).toArrow()
     image = np.zeros((n, width))
     for p, blob in zip(found["part"].to_pylist(), found["sums"], strict=True):
-        rows = np.frombuffer(blob.as_buffer()).reshape(-1, width)
+        rows = np.frombuffer(blob.as_buffer(), "<f4").reshape(-1, width)
         image[p * ROWS_A_SUM : p * ROWS_A_SUM + len(rows)] = rows
     seen = sum(found["seen"].to_pylist())
     weight = max(seen, 1) / max(len(items.probes), 1)
