@@ -4,8 +4,11 @@ Documents are read in overlapping windows of words. A window and a benchmark ite
 are TF-IDF vectors over the item terms that few windows hold. A randomised SVD of
 all windows' vectors, one distributed pass, gives the latent space: every task adds
 up A'(A G) for a random G, and the directions come from the sum (Nystrom), items
-counting together as much as all windows. Windows whose cosine with an item in that
-space reaches ``COSINE`` are candidates. A candidate is a hit if the longest common
+counting together as much as all windows. Directions are added until every item
+keeps ``RETAINED`` of its length in the space, so the rank grows with the items.
+Windows whose cosine with an item in that space reaches ``COSINE`` are candidates; a
+window longer than the item counts as long as the item, so that other terms around a
+passage don't hide it. A candidate is a hit if the longest common
 subsequence of its words and the item's covers the item, and the answer (the item's
 last words) too; so paraphrases that drop, add or swap some words are found.
 
@@ -30,13 +33,15 @@ from marketgrain.llm import textarrays as ta
 WINDOW = 64  # words
 STEP = 32
 COMMON = 0.002  # terms that more of the windows hold are left out
-RANK = 192
+RANK = 192  # before directions are added for the items
+RETAINED = 0.95  # of an item's length, at least, in the latent space
 COSINE = 0.4
 COVER = 0.6  # of an item's words in order
 ANSWER = 0.5  # of the answer's words in order
 ANSWER_SHARE = 0.25  # of an item, its last words
 PROBE = 48  # words; longer items are looked for in parts of this size
-BLOCK = 2000  # items a block
+BLOCK = 400  # items a block; the rank grows with it
+IMAGE = 12_000_000  # numbers of windows' images held at once
 ROWS_A_SUM = 16
 
 
@@ -101,8 +106,8 @@ class Items:
             values += weigh(times, idf[found]).tolist()
         self.matrix = np.zeros((len(self.probes), len(terms)))
         self.matrix[rows, cols] = values
-        norm = np.linalg.norm(self.matrix, axis=1, keepdims=True)
-        self.matrix /= np.maximum(norm, 1e-12)
+        self.size = np.linalg.norm(self.matrix, axis=1)
+        self.matrix /= np.maximum(self.size, 1e-12)[:, None]
 
 
 def weigh(times: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -110,14 +115,14 @@ def weigh(times: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def window_vectors(column, items: Items):
-    """(row, key, window, term, value, windows, first): unit TF-IDF vectors of the
-    windows, as entries sorted by window."""
+    """(row, key, window, term, value, windows, first, size): unit TF-IDF vectors of
+    the windows, as entries sorted by window, and the lengths they had."""
     row, key = words_of(column)
     window, term, times, n, first = entries(row, charlm.find(items.terms, key), len(column))
     value = weigh(times, items.idf[term])
     total = int(n.sum())
     size = np.sqrt(np.bincount(window, weights=value * value, minlength=total)) if len(window) else np.zeros(total)
-    return row, key, window, term, value / np.maximum(size, 1e-12)[window], n, first
+    return row, key, window, term, value / np.maximum(size, 1e-12)[window], n, first, size
 
 
 def times_matrix(window: np.ndarray, term: np.ndarray, value: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +176,7 @@ def latent_space(docs: DataFrame, items: Items, rank: int = RANK, seed: int = 7)
         items, random = sent.value
         wide, out, seen = random.astype(np.float32), np.zeros(random.shape), 0
         for batch in ta.slices(batches):
-            _, _, window, term, value, _, _ = window_vectors(batch.column(0), items)
+            _, _, window, term, value, _, _, _ = window_vectors(batch.column(0), items)
             for part in runs(window):
                 w, t, v = window[part], term[part], value[part]
                 ids, image = times_matrix(w, t, v, wide)
@@ -212,7 +217,23 @@ def latent_space(docs: DataFrame, items: Items, rank: int = RANK, seed: int = 7)
     good = values > values.max(initial=0) * 1e-10
     half = image @ (vectors[:, good] / np.sqrt(values[good]))
     left, _, _ = np.linalg.svd(half, full_matrices=False)
-    return left[:, :rank]
+    return holding(left[:, :rank], items.matrix)
+
+
+def holding(space: np.ndarray, matrix: np.ndarray, least: float = RETAINED) -> np.ndarray:
+    """The space with as many more directions as let every row of the matrix keep
+    ``least`` of its length: the leading ones of what the space lacks of the rows."""
+    rest = matrix - (matrix @ space) @ space.T
+    limit = (1 - least**2) * (matrix * matrix).sum(axis=1)
+    rest = rest[(rest * rest).sum(axis=1) > limit]
+    if not len(rest):
+        return space
+    values, vectors = np.linalg.eigh(rest @ rest.T)
+    good = values > values.max() * 1e-10
+    more = ((vectors[:, good] / np.sqrt(values[good])).T @ rest)[::-1]
+    lost = (rest * rest).sum(axis=1)[:, None] - np.cumsum((rest @ more.T) ** 2, axis=1)
+    done = (lost <= limit.max()).all(axis=0)
+    return np.hstack([space, more[: int(done.argmax()) + 1 if done.any() else len(more)].T])
 
 
 def common_length(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -260,19 +281,22 @@ def hits(docs: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, space, latent = sent.value
         for batch in ta.slices(batches):
-            row, key, window, term, value, n, first = window_vectors(batch.column(1), items)
+            row, key, window, term, value, n, first, size = window_vectors(batch.column(1), items)
             best: dict[tuple[int, int], tuple] = {}
             starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
-            for part in runs(window):
+            for part in runs(window, max(1000, IMAGE // max(space.shape[1], len(latent)))):
                 ids, image = times_matrix(window[part], term[part], value[part], space)
-                # the window's length in all its terms stays, so stray terms don't pass for an item
-                near = image @ latent.T
-                for w, p in zip(*np.nonzero(near >= COSINE), strict=True):
+                # the window's length in all its terms stays, so stray terms don't pass for
+                # an item; beyond the item's own length it doesn't count against a passage
+                near, long = image @ latent.T, size[ids].astype(np.float32)[:, None]
+                for w, p in zip(*np.nonzero(near * long >= COSINE * np.minimum(long, items.size.astype(np.float32))), strict=True):
                     doc = int(np.searchsorted(first + n, ids[w], "right"))
                     i = items.probes[p][0]
                     item = items.words[i]
                     middle = starts[doc] + (ids[w] - first[doc]) * STEP
                     low, high = max(starts[doc], middle - len(item)), min(starts[doc + 1], middle + WINDOW + len(item))
+                    if np.isin(item, key[low:high]).mean() < COVER:  # no subsequence is longer
+                        continue
                     cover, answer = check(key[low:high], item)
                     if cover >= COVER and answer >= ANSWER:
                         found = (cover, answer, float(near[w, p]), -int(low - starts[doc]))

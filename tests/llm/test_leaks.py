@@ -79,6 +79,27 @@ def test_space_holds_the_items(docs, spark):
     assert (np.linalg.norm(items.matrix @ space, axis=1) > 0.85).all()
 
 
+def test_finds_every_copy_of_a_large_benchmark(docs, spark):
+    rng = random.Random(4)
+    items = [words(rng, rng.randint(15, 60)) for _ in range(2000)]
+    plain = [words(rng, 60) for _ in range(50)]
+    texts = [plain[i % 50] + " " + item + " " + plain[(i + 7) % 50] for i, item in enumerate(items)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = lsa.leaks(docs(texts).repartition(4), benchmark).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, found)) == [(i, i) for i in range(2000)]
+
+
+def test_space_grows_with_the_items():
+    rng = np.random.default_rng(3)
+    matrix = rng.normal(size=(300, 900))
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    narrow = np.linalg.svd(matrix, full_matrices=False)[2][:40].T
+    space = lsa.holding(narrow, matrix)
+    assert np.allclose(space.T @ space, np.eye(space.shape[1]), atol=1e-6)
+    assert (np.linalg.norm(matrix @ space, axis=1) >= lsa.RETAINED - 1e-6).all()
+    assert (np.linalg.norm(matrix @ narrow, axis=1) < lsa.RETAINED).any()
+
+
 def test_empty(docs, spark, odd):
     none = spark.createDataFrame([], "item_id bigint, text string")
     some = spark.createDataFrame([(1, "one two three four five six"), (1, "one two three four five six")], "item_id bigint, text string")
