@@ -1,7 +1,9 @@
 """Benchmark passages in documents, by latent semantic retrieval.
 
 Documents are read in overlapping windows of words. A window and a benchmark item
-are TF-IDF vectors over the item terms that few windows hold. A randomised SVD of
+are TF-IDF vectors over the item terms that few windows hold, and the ``RAREST``
+terms of each item however many hold them: a passage that leaked into many documents
+makes its own words common. A randomised SVD of
 all windows' vectors, one distributed pass, gives the latent space: every task adds
 up A'(A G) for a random G, and the directions come from the sum (Nystrom), items
 counting together as much as all windows. Directions are added until every item
@@ -32,7 +34,8 @@ from marketgrain.llm import textarrays as ta
 
 WINDOW = 64  # words
 STEP = 32
-COMMON = 0.002  # terms that more of the windows hold are left out
+COMMON = 0.002  # terms that more of the windows hold are left out ...
+RAREST = 10  # ... unless they are among so many rarest of a probe
 RANK = 192  # before directions are added for the items
 RETAINED = 0.95  # of an item's length, at least, in the latent space
 COSINE = 0.4
@@ -94,6 +97,15 @@ class Items:
         starts = [(i, a) for i, w in enumerate(self.words) for a in range(0, max(1, len(w) - PROBE // 2), PROBE // 2 if len(w) > PROBE else len(w) or 1)]
         self.probes = [(i, self.words[i][a : a + PROBE]) for i, a in starts if len(self.words[i])]
 
+    def chosen(self, held: np.ndarray, total: int) -> np.ndarray:
+        """Which terms the vectors have, if so many of all windows hold them: those
+        that few hold, and the rarest of every probe."""
+        out = (held <= COMMON * total) | (held <= 4)
+        for _, words in self.probes:
+            at = np.unique(charlm.find(self.terms, words))
+            out[at[np.argsort(held[at], kind="stable")[:RAREST]]] = True
+        return out
+
     def keep(self, terms: np.ndarray, idf: np.ndarray) -> None:
         """Restrict the vectors to these terms (sorted hashes)."""
         self.terms, self.idf = terms, idf
@@ -321,9 +333,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
     row and benchmark item found in it, at its best place.
 
     Reads doc_id and text of ``docs``, item_id and text of ``benchmark``. Null,
-    empty and wordless texts on either side match nothing; items whose words are
-    all common have no vector and match nothing. Null ids stay. Repeated rows and
-    items each give their rows. Empty tables give no rows. Texts are read whole.
+    empty and wordless texts on either side match nothing. Null ids stay. Repeated
+    rows and items each give their rows. Empty tables give no rows. Texts are read
+    whole.
     """
     spark = docs.sparkSession
     common.ship(spark)
@@ -339,7 +351,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
         if not len(items.terms):
             continue
         held, total = document_frequency(docs, items)
-        few = (held <= COMMON * total) | (held <= 4)
+        few = items.chosen(held, total)
         idf = np.log((total + 1) / (held[few] + 1)) + 1
         items.keep(items.terms[few], idf)
         if not len(items.terms) or not items.matrix.any():

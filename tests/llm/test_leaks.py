@@ -89,6 +89,19 @@ def test_finds_every_copy_of_a_large_benchmark(docs, spark):
     assert sorted(map(tuple, found)) == [(i, i) for i in range(2000)]
 
 
+def test_a_passage_in_many_documents_does_not_hide_itself(docs, spark):
+    rng = random.Random(6)
+    items = [words(rng, rng.randint(15, 60)) for _ in range(20)]
+    texts, want = [words(rng, 120) for _ in range(1000)], set()
+    for item, share in ((0, 0.05), (1, 0.3), (2, 0.001)):
+        for d in rng.sample(range(len(texts)), int(share * len(texts))):
+            texts[d] += " " + items[item] + " " + words(rng, 40)
+            want.add((d, item))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = lsa.leaks(docs(texts).repartition(4), benchmark).select("doc_id", "item_id").collect()
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
 def test_space_grows_with_the_items():
     rng = np.random.default_rng(3)
     matrix = rng.normal(size=(300, 900))
