@@ -12,6 +12,7 @@ can't be turned back. One scan, no shuffle, no table of values.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import re
@@ -28,6 +29,16 @@ KEY_SETTING = "spark.pseudonyms.key"  # of the session; a real run sets its own
 ROUNDS = 8
 DAY_ZERO = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - DAY_ZERO
+LATE = [n for n in range(DAYS) if datetime.date.fromordinal(n + DAY_ZERO).day > 12]  # can't be read as a month
+LENGTHS = {
+    c: int(n)
+    for n, countries in (part.split(":") for part in (
+        "15:NO 16:BE 18:DK,FI,FO,GL,NL,SD,FK 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK,MN 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+        "23:AE,GI,IL,IQ,OM,TL,SO 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM "
+        "28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+    ).split())
+    for c in countries.split(",")
+}
 
 PATTERN = re.compile(
     r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+)"
@@ -194,6 +205,32 @@ def date(text: str, key: bytes, by: int, order: str, sign: str) -> str | None:
     return sign.join(f"{value[o]:0{len(parts[o])}d}" for o in order)
 
 
+def slashed(text: str, key: bytes, by: int) -> str | None:
+    """m/d/y; or d/m/y where only that is a real day, which becomes another such."""
+    new = date(text, key, by, "mdy", "/")
+    d, m, y = (int(p) for p in text.split("/"))
+    if new is not None or d <= 12:
+        return new
+    try:
+        day = datetime.date(y, m, d).toordinal() - DAY_ZERO
+    except ValueError:
+        return None
+    if not 0 <= day < DAYS:
+        return None
+    new = datetime.date.fromordinal(LATE[moved(bisect.bisect_left(LATE, day), len(LATE), key, "late", by)] + DAY_ZERO)
+    return f"{new.day}/{new.month:0{len(text.split('/')[1])}d}/{new.year}"
+
+
+def ends(kind: str, text: str) -> list[int]:
+    """Where a found value may end, best first: an IBAN at its country's length, then
+    as found, then before the groups that follow it (of a known country's, none)."""
+    breaks = [m.start() for m in re.finditer(r" |(?<=\d)[-.](?=\d)", text)] if kind in ("iban", "phone") else []
+    if kind != "iban":
+        return [len(text), *breaks[::-1]]
+    own = [n for n in (*breaks, len(text)) if n - text.count(" ", 0, n) == LENGTHS.get(text[:2])]
+    return [*own, len(text)] if text[:2] in LENGTHS else [len(text), *breaks[::-1]]
+
+
 def secret(text: str, key: bytes, by: int) -> str | None:
     digits = [int(c, 16) for c in text]
     x, size = in_base(digits, [16] * len(digits))
@@ -205,7 +242,7 @@ HANDLERS = {
     "email": email, "iban": iban, "ip": ip, "ssn": ssn, "phone": phone, "card": card,
     "iso": lambda t, k, b: date(t, k, b, "ymd", "-"),
     "dotted": lambda t, k, b: date(t, k, b, "dmy", "."),
-    "slashed": lambda t, k, b: date(t, k, b, "mdy", "/"),
+    "slashed": slashed,
 }
 
 
@@ -225,16 +262,26 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
         yield low, high
 
 
+def values(text: str, low: int, high: int, key: bytes, by: int) -> Iterator[tuple[str, int, int, str]]:
+    """(kind, start, end, pseudonym) of what is found in a stretch. What fails its
+    check is tried with shorter ends, then the scan goes on behind its first sign."""
+    while match := PATTERN.search(text, low, high):
+        kind = match.lastgroup if match.lastgroup in HANDLERS else ("secret" if match["hex"] else "card")
+        start, end = match.span("hex") if kind == "secret" else match.span()
+        low = match.start() + 1
+        for stop in ends(kind, text[start:end]):
+            old = text[start : start + stop]
+            new = secret(old, key, by) if kind == "secret" else HANDLERS[kind](old, key, by)
+            if new is not None:
+                low = start + stop
+                yield kind, start, low, new
+                break
+
+
 def replaced(text: str, key: bytes, by: int = 1) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, start, length in the new text) of each."""
     out, spans, done, shift = [], [], 0, 0
-    for match in (m for low, high in regions(text) for m in PATTERN.finditer(text, low, high)):
-        kind = match.lastgroup if match.lastgroup in HANDLERS else ("secret" if match["hex"] else "card")
-        start, end = match.span("hex") if kind == "secret" else match.span()
-        old = text[start:end]
-        new = secret(old, key, by) if kind == "secret" else HANDLERS[kind](old, key, by)
-        if new is None:
-            continue
+    for kind, start, end, new in (f for low, high in regions(text) for f in values(text, low, high, key, by)):
         out += [text[done:start], new]
         spans.append((kind if kind not in ("iso", "dotted", "slashed") else "date", start + shift, len(new)))
         shift += len(new) - (end - start)
@@ -265,7 +312,7 @@ def pseudonymised(docs: DataFrame, key: bytes | None = None) -> DataFrame:
 
     Replaces e-mail names, card numbers with a right Luhn digit, IBANs with a right
     checksum, IPv4 addresses, SSNs, phone numbers, days of 1900 to 2099 (written
-    y-m-d, d.m.y or m/d/y), and hexadecimal secrets after a word like token. Numbers
+    y-m-d, d.m.y, m/d/y, or d/m/y if that alone is a day), and hexadecimal secrets after a word like token. Numbers
     that fail their check stay. Null and empty texts, ids and repeated rows stay as
     they are (null text: null, 0 found); every row is answered; an empty table gives
     no rows. Texts are read whole; other columns are not read.

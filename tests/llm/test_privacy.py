@@ -43,6 +43,22 @@ def test_what_fails_its_check_stays():
     assert pii.replaced(text, KEY) == (text, [])
 
 
+def test_neighbours_do_not_hide_a_value():
+    cases = [
+        ("AT61 1904 3002 3457 3201", " BIC"), ("AT611904300234573201", " EUR"), ("ES91 2100 0418 4502 0005 1332", " 2024"),
+        ("DE89 3704 0044 0532 0130 00", " 1234 5678"), ("31/01/2024", " x"), ("31/1/2024", ", 5"),
+    ]
+    for value, rest in cases:
+        new, spans = pii.replaced(f"see {value}{rest}", KEY)
+        assert len(spans) == 1 and value not in new and new.endswith(rest), value
+        assert spans[0][0] == ("date" if "/" in value else "iban")
+        assert pii.replaced(new, KEY, -1)[0] == f"see {value}{rest}"
+    new, spans = pii.replaced("ES91 2100 0418 4502 0005 1332 2024-01-31", KEY)
+    assert [s[0] for s in spans] == ["iban", "date"]
+    for text in ("31/02/2024", "31/13/2024", "13/1/1850"):
+        assert pii.replaced(text, KEY) == (text, [])
+
+
 def test_equal_values_stay_linked_and_keys_matter():
     a, b = pii.replaced("4845168114407329 x", KEY)[0], pii.replaced("y 4845 1681 1440 7329", KEY)[0]
     assert a.split()[0] == "".join(b.split()[1:])
