@@ -13,9 +13,11 @@ is a link if the Jaccard similarity of its shingle sets, computed exactly, is at
 least ``THRESHOLD``. Equal word sequences are one node from the start. Small
 buckets give all their pairs. In a bucket of more than ``SMALL`` nodes each node
 meets a leader and, in some bands, its neighbours in the order of fingerprints; in
-further rounds the leader is the node with the most links so far, until a round
-adds none. So a
-large group costs a few pairs a node and band, and never all its pairs.
+up to ``ROUNDS`` further rounds the leader is the node with the most links so far. So
+a large group that hangs together costs a few pairs a node and band, and never all its
+pairs. The nodes of large buckets that are still in different groups then meet by
+their rare shingles: an exact prefix filter gives every pair of different groups that
+can reach the threshold.
 """
 
 from __future__ import annotations
@@ -214,8 +216,15 @@ def classes(docs: DataFrame) -> DataFrame:
     placed = common.stored(nodes.select("print", "doc_id", F.explode("bands").alias("bucket")), "bands")
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("print").alias("leader")).where("size > 1")
     members = common.stored(placed.join(sizes, "bucket").select("bucket", "print", "size", "leader"), "buckets")
-    links = linked(docs, rows, members)
+    links, sets = linked(docs, rows, members)
     roots = graph.components(links)
+    large = members.where(F.col("size") > SMALL)
+    if large.limit(1).count():
+        met = across(sets, large, roots)
+        if met is not None:
+            more = common.stored(verified(sets, met), "links")
+            if more.limit(1).count():
+                roots = graph.components(links.unionAll(more))
     own = rows.join(roots.select(F.col("node").alias("print"), "root"), "print", "left").select(
         "doc_id", "print", F.coalesce("root", "print").alias("root")
     )
@@ -229,8 +238,59 @@ def classes(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "print", F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), kept.alias("kept"))
 
 
-def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Verified links among the members of buckets."""
+def exploded(nodes: DataFrame) -> DataFrame:
+    """print, root, size, shingle: a row for every shingle of the sets."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys = np.frombuffer(batch.column(2)[i].as_buffer(), "<i8")
+                own = pa.array(np.full(len(keys), i))
+                yield pa.record_batch([batch.column(0).take(own), batch.column(1).take(own), pa.array(np.full(len(keys), len(keys))), pa.array(keys)], names=["print", "root", "size", "shingle"])
+
+    return nodes.select("print", "root", "sets").mapInArrow(add, "print binary, root binary, size bigint, shingle bigint")
+
+
+def across(sets: DataFrame, large: DataFrame, roots: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
+    """Pairs (a, b) of different groups, of the nodes in large buckets that hold more
+    than one group: all that can reach the threshold. None if there are no such nodes.
+
+    Shingles are ordered by how many nodes hold them, those of one group alone first.
+    Two sets that reach the threshold share a shingle that is among the first of both:
+    at most 1/9 of the smaller (for 0.8) and 1/5 of the larger stand before it. So what
+    a template gives to all its pages comes last and makes no pairs. Of a shingle's
+    nodes only those outside its largest group look for others."""
+    grouped = large.select("bucket", "print").join(roots.withColumnRenamed("node", "print"), "print", "left")
+    grouped = grouped.select("bucket", "print", F.coalesce("root", "print").alias("root"))
+    split = grouped.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
+    nodes = common.stored(grouped.join(split, "bucket").select("print", "root").distinct(), "apart")
+    if nodes.limit(1).count() == 0:
+        return None
+    rows = common.stored(exploded(sets.join(nodes, "print")), "apart-shingles")
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"), F.min("root").alias("low"), F.max("root").alias("high"))
+    shared = rows.join(counts.where("low <> high").select("shingle", "held"), "shingle")
+    own = Window.partitionBy("print")
+    place = F.col("size") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("held", "shingle")) - 1
+    heads = shared.withColumn("place", place).where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-6))
+    heads = common.stored(heads.select("shingle", "print", "root", "size", "place"), "apart-heads")
+    groups = heads.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("held")).groupBy("shingle")
+    groups = groups.agg(F.max(F.struct("held", "root")).alias("top"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    outer = common.stored(heads.join(groups.select("shingle", F.col("top.root").alias("top")), "shingle").where("root <> top").drop("top"), "apart-outer")
+    share = threshold / (1 + threshold)
+    first = F.col("place") <= F.col("size") - F.ceil(F.col("size") * 2 * share - 1e-6)
+    names = {c: f"{c}_b" for c in ("print", "root", "size", "place")}
+    found = []
+    for left, right in ((outer.where(first), heads), (heads.where(first), outer)):
+        both = left.join(right.withColumnsRenamed(names), "shingle")
+        both = both.where("root <> root_b and size <= size_b").where(F.col("size") >= F.col("size_b") * threshold - 1e-6)
+        reach = F.least(F.col("size") - F.col("place"), F.col("size_b") - F.col("place_b"))
+        found.append(both.where(reach >= (F.col("size") + F.col("size_b")) * share - 1e-6))
+    pairs = found[0].unionAll(found[1]).select(F.least("print", "print_b").alias("a"), F.greatest("print", "print_b").alias("b"))
+    return common.stored(pairs.distinct(), "pairs")
+
+
+def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Verified links among the members of buckets, and the members' shingle sets."""
     small = members.where(F.col("size") <= SMALL).select("bucket", "print")
     pairs = small.join(small.withColumnRenamed("print", "b"), "bucket").where("print < b").select(F.col("print").alias("a"), "b")
     large = members.where(F.col("size") > SMALL)
@@ -259,7 +319,7 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> DataFrame:
         if found.limit(1).count() == 0:
             break
         tested, links = tested.unionAll(more), links.unionAll(found)
-    return links
+    return links, sets
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

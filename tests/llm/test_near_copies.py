@@ -61,6 +61,29 @@ def test_equals_brute_force(docs):
     assert sorted(kept) == sorted(set(want.values()))
 
 
+def templated(rng, pages, pairs):
+    """Pages of one template, alike below the threshold, and pairs of them above."""
+    template = [text(rng, 33) for _ in range(6)]
+    fill = lambda: ["u" + str(rng.randint(0, 10**9)) for _ in template]
+    page = lambda own: " ".join(f"{t} {o}" for t, o in zip(template, own, strict=True))
+    out = [fill() for _ in range(pages)]
+    for own in out[:pairs]:
+        other = fill()
+        out.append(own[:2] + other[2:])
+    return [page(own) for own in out]
+
+
+def test_pairs_within_a_template(docs):
+    rng = random.Random(8)
+    texts = templated(rng, 250, 40)
+    texts += templated(rng, 15, 8)  # a bucket of medium size
+    own = [sets(t) for t in texts]
+    alike = lambda a, b: len(own[a] & own[b]) / len(own[a] | own[b])
+    assert 0.7 < alike(100, 101) < 0.8 <= alike(0, 250)
+    found = near.classes(docs(texts).repartition(4)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == brute(list(enumerate(texts)))
+
+
 def test_odd_rows(odd, docs):
     found = near.classes(odd).collect()
     assert len(found) == odd.count()
