@@ -12,7 +12,8 @@ Registers are hashed in bands; texts with an equal band are candidates, and a pa
 is a link if the Jaccard similarity of its shingle sets, computed exactly, is at
 least ``THRESHOLD``. Equal word sequences are one node from the start. Small
 buckets give all their pairs. In a bucket of more than ``SMALL`` nodes each node
-meets a leader and, in some bands, its neighbours in the order of fingerprints; in
+meets a leader and, in some bands (in buckets of up to ``SLICE`` nodes in all), its
+neighbours in the order of fingerprints; in
 up to ``ROUNDS`` further rounds the leader is the node with the most links so far. So
 a large group that hangs together costs a few pairs a node and band, and never all its
 pairs. The nodes of large buckets that are still in different groups then meet by
@@ -39,6 +40,7 @@ THRESHOLD = 0.8
 REGISTERS = 128
 ROWS = 4  # registers a band
 SMALL = 12  # nodes of a bucket that gives all its pairs
+SLICE = 256  # nodes of a bucket that are put in order at once
 ROUNDS = 2  # further leaders of a large bucket
 _C = [ta.U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -295,8 +297,11 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> tuple[DataFr
     pairs = small.join(small.withColumnRenamed("print", "b"), "bucket").where("print < b").select(F.col("print").alias("a"), "b")
     large = members.where(F.col("size") > SMALL)
     star = large.where("print <> leader").select(F.least("print", "leader").alias("a"), F.greatest("print", "leader").alias("b"))
-    # neighbours by fingerprint, within slices of a bucket that are not larger than a task can hold
-    ring = large.where(F.pmod("bucket", F.lit(4)) == 0).withColumn("slice", F.pmod(F.floor(F.conv(F.substring(F.hex("print"), 1, 4), 16, 10).cast("int")), F.lit(64)))
+    # neighbours by fingerprint, within ranges of it that hold about SLICE nodes; in large
+    # buckets a quarter of the bands, in those of one slice all
+    head = F.conv(F.substring(F.hex("print"), 1, 4), 16, 10).cast("bigint")
+    ring = large.where((F.pmod("bucket", F.lit(4)) == 0) | (F.col("size") <= SLICE))
+    ring = ring.withColumn("slice", F.floor(head * F.ceil(F.col("size") / SLICE) / 65536))
     order = Window.partitionBy("bucket", "slice").orderBy("print")
     ring = ring.select("print", F.lead("print").over(order).alias("b")).where("b is not null").select(F.col("print").alias("a"), "b")
     tested = common.stored(pairs.unionAll(star).unionAll(ring).distinct(), "pairs")
