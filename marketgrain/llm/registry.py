@@ -17,6 +17,7 @@ from marketgrain.llm import (
     op8_linear_grouping,
     op9_latent_semantic,
     op10_suffix_tree,
+    op11_suffix_dawg,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,5 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_linear_grouping": op8_linear_grouping.query,
     "op9_latent_semantic": op9_latent_semantic.query,
     "op10_suffix_tree": op10_suffix_tree.query,
+    "op11_suffix_dawg": op11_suffix_dawg.query,
+}
+ORACLES: dict[str, str] = {
+    "op2_pivot_topk": op2_pivot_topk.SQL,
+    "op11_suffix_dawg": op11_suffix_dawg.SQL,
 }
-ORACLES: dict[str, str] = {"op2_pivot_topk": op2_pivot_topk.SQL}
