@@ -18,6 +18,7 @@ from marketgrain.llm import (
     op9_latent_semantic,
     op10_suffix_tree,
     op11_suffix_dawg,
+    op12_line_cuckoo,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -32,8 +33,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_latent_semantic": op9_latent_semantic.query,
     "op10_suffix_tree": op10_suffix_tree.query,
     "op11_suffix_dawg": op11_suffix_dawg.query,
+    "op12_line_cuckoo": op12_line_cuckoo.query,
 }
 ORACLES: dict[str, str] = {
     "op2_pivot_topk": op2_pivot_topk.SQL,
     "op11_suffix_dawg": op11_suffix_dawg.SQL,
+    "op12_line_cuckoo": op12_line_cuckoo.SQL,
 }

@@ -30,6 +30,7 @@ PROMISED = {
     "op11_suffix_dawg": {
         "conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint", "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string", "repaired_sha256": "string",
     },
+    "op12_line_cuckoo": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
 }
 
 
