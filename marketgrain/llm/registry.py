@@ -19,6 +19,7 @@ from marketgrain.llm import (
     op10_suffix_tree,
     op11_suffix_dawg,
     op12_line_cuckoo,
+    op13_gnat_codes,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -34,9 +35,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_tree": op10_suffix_tree.query,
     "op11_suffix_dawg": op11_suffix_dawg.query,
     "op12_line_cuckoo": op12_line_cuckoo.query,
+    "op13_gnat_codes": op13_gnat_codes.query,
 }
 ORACLES: dict[str, str] = {
     "op2_pivot_topk": op2_pivot_topk.SQL,
     "op11_suffix_dawg": op11_suffix_dawg.SQL,
     "op12_line_cuckoo": op12_line_cuckoo.SQL,
+    "op13_gnat_codes": op13_gnat_codes.SQL,
 }
