@@ -87,6 +87,7 @@ def build(x: np.ndarray, members: np.ndarray, degree: int = DEGREE, leaf: int =
     while len(chosen) < degree and nearest.max() > 0:
         chosen.append(int(nearest.argmax()))
         nearest = np.minimum(nearest, far[chosen[-1]])
+    chosen.sort()  # entry numbers rise everywhere, so the first of equal distances is the lowest
     if len(chosen) == 1:  # all entries are equal
         return members
     owner = far[chosen].argmin(axis=0)
@@ -114,6 +115,9 @@ class Search:
         exactly = exactly and exact(queries, queries.shape[1]) and exact(self.x, queries.shape[1])
         self.q = queries if exactly else queries.astype(object) if queries.dtype == object else as_integers(queries)
         self.entries = self.x if exactly or self.x.dtype == object else as_integers(self.x)
+        self.exactly = exactly
+        if exactly:
+            self.twice, self.norms, self.own = 2 * self.x, (self.x * self.x).sum(axis=1), (queries * queries).sum(axis=1)
         self.best = np.full(len(queries), np.inf if exactly else None, dtype=np.float64 if exactly else object)
         if not exactly:
             self.best[:] = [1 << 4000] * len(queries)
@@ -124,10 +128,14 @@ class Search:
 
     def _compare(self, rows: np.ndarray, entries: np.ndarray) -> np.ndarray:
         """Offer the entries to these queries; their squared distances."""
-        found = squared(self.q[rows], self.entries[entries])
+        if self.exactly:
+            found = self.q[rows] @ self.twice[entries].T
+            np.subtract(self.norms[entries][None, :], found, out=found)
+            found += self.own[rows][:, None]
+        else:
+            found = squared(self.q[rows], self.entries[entries])
         self.compared += found.size
-        order = np.argsort(entries, kind="stable")
-        at = order[found[:, order].argmin(axis=1)]
+        at = found.argmin(axis=1)
         near, entry = found[np.arange(len(rows)), at], entries[at]
         better = (near < self.best[rows]) | ((near == self.best[rows]) & (entry < self.entry[rows]))
         better = better.astype(bool)
@@ -145,15 +153,14 @@ class Search:
             d = far[:, i : i + 1]
             slack = 1e-9 * (1 + d + node.high[i])
             np.maximum(bound, np.maximum(d - node.high[i], node.low[i] - d) - slack, out=bound)
-        order = np.argsort(bound, axis=1, kind="stable")
-        for step in range(len(node.below)):
-            child = order[:, step]
-            least = bound[np.arange(len(rows)), child]
-            alive = least <= np.sqrt(self.best[rows].astype(np.float64)) * (1 + 1e-9) + 1e-9
-            if not alive.any():
-                break  # later subtrees have greater bounds
-            for j in np.unique(child[alive]):
-                self._visit(node.below[j], rows[alive & (child == j)])
+        # each query's likeliest subtree first, then every subtree once for all that need it
+        first = far.argmin(axis=1)
+        for likely in (True, False):
+            for j, child in enumerate(node.below):
+                reach = np.sqrt(self.best[rows].astype(np.float64)) * (1 + 1e-9) + 1e-9
+                wanted = rows[((first == j) == likely) & (bound[:, j] <= reach)]
+                if len(wanted):
+                    self._visit(child, wanted)
 
 
 def cuts(size: int) -> list[slice]:
