@@ -21,7 +21,9 @@ counts, the SVD and the search cover all windows.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,9 @@ COVER = 0.6  # of an item's words in order
 ANSWER = 0.5  # of the answer's words in order
 ANSWER_SHARE = 0.25  # of an item, its last words
 PROBE = 48  # words; longer items are looked for in parts of this size
-BLOCK = 400  # items a block; the rank grows with it
+BLOCK = 400  # probes a block; the rank grows with it
+ITEM_BYTES = 1 << 20  # of item texts that are collected at once (a longer one alone)
+PAIRS = 4_000_000  # pairs of terms a task holds
 IMAGE = 12_000_000  # numbers of windows' images held at once
 ROWS_A_SUM = 16
 
@@ -97,6 +101,39 @@ class Items:
         starts = [(i, a) for i, w in enumerate(self.words) for a in range(0, max(1, len(w) - PROBE // 2), PROBE // 2 if len(w) > PROBE else len(w) or 1)]
         self.probes = [(i, self.words[i][a : a + PROBE]) for i, a in starts if len(self.words[i])]
 
+    def blocks(self, limit: int) -> Iterator[Items]:
+        """The same items by about so many probes at a time, with those probes' terms.
+        Only an item of more probes than that is divided."""
+        of_item: dict[int, list] = {}
+        for probe in self.probes:
+            of_item.setdefault(probe[0], []).append(probe)
+        part: list[tuple] = []
+        for i in range(len(self.words)):
+            mine = of_item.get(i, [])
+            if part and len(part) + len(mine) > limit:
+                yield self._only(part)
+                part = []
+            part += mine
+            while len(part) > limit:
+                yield self._only(part[:limit])
+                part = part[limit:]
+        if part:
+            yield self._only(part)
+
+    def _only(self, probes: list[tuple]) -> Items:
+        block = copy.copy(self)
+        block.probes = probes
+        block.terms = np.unique(np.concatenate([words for _, words in probes]))
+        return block
+
+    def searched(self) -> SimpleNamespace:
+        """What the search needs: the items' words, but no matrix."""
+        return SimpleNamespace(terms=self.terms, idf=self.idf, size=self.size, words=self.words, ids=self.ids, probes=[(i, None) for i, _ in self.probes])
+
+    def vocabulary(self) -> SimpleNamespace:
+        """What the windows' vectors need."""
+        return SimpleNamespace(terms=self.terms, idf=self.idf)
+
     def chosen(self, held: np.ndarray, total: int) -> np.ndarray:
         """Which terms the vectors have, if so many of all windows hold them: those
         that few hold, and the rarest of every probe."""
@@ -177,44 +214,95 @@ def document_frequency(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
+def pairs_of(window: np.ndarray, term: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(i * n + j, product) for all terms i <= j of a window, window by window."""
+    ends = np.searchsorted(window, window, "right")
+    at = np.arange(len(window))
+    first, second = np.repeat(at, ends - at), ta.gather(at, ends - at)
+    return term[first] * n + term[second], value[first] * value[second]
+
+
+def by_key(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and the sums of their values."""
+    order = np.argsort(key, kind="stable")
+    key, value = key[order], value[order]
+    heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[heads], np.add.reduceat(value, heads)
+
+
 def latent_space(docs: DataFrame, items: Items, rank: int = RANK, seed: int = 7) -> np.ndarray:
-    """Right singular vectors (terms x rank) of the windows' matrix with the items."""
+    """Right singular vectors (terms x rank) of the windows' matrix with the items.
+
+    A'(A G) is (A'A) G: windows hold few terms, so their products are summed by
+    pair of terms first, and the few sums meet the random matrix.
+    """
     n = len(items.terms)
     width = min(n, rank + 16)
     random = np.random.default_rng(seed).normal(size=(n, width))
-    sent = docs.sparkSession.sparkContext.broadcast((items, random))
+    spark = docs.sparkSession
+    slim, sent = spark.sparkContext.broadcast(items.vocabulary()), spark.sparkContext.broadcast(random.astype("<f4"))
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, seen, held, kept = slim.value, 0, 0, []
+
+        def flush():
+            key, value = by_key(*(np.concatenate(c) for c in zip(*kept, strict=True)))
+            return key, value
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, random = sent.value
-        wide, out, seen = random.astype(np.float32), np.zeros(random.shape), 0
         for batch in ta.slices(batches):
             _, _, window, term, value, _, _, _ = window_vectors(batch.column(0), items)
+            seen += len(np.unique(window))
             for part in runs(window):
-                w, t, v = window[part], term[part], value[part]
-                ids, image = times_matrix(w, t, v, wide)
-                seen += len(ids)
-                order = np.argsort(t, kind="stable")
-                w, t, v = np.searchsorted(ids, w)[order], t[order], v[order]
-                heads = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-                out[t[heads]] += np.add.reduceat(image[w] * v[:, None].astype(np.float32), heads, axis=0)
+                kept.append(by_key(*pairs_of(window[part], term[part], value[part], n)))
+                held += len(kept[-1][0])
+            if held > PAIRS:
+                kept = [flush()]
+                held = len(kept[0][0])
+                if held > PAIRS // 2:  # pass them on and begin anew
+                    yield pa.record_batch([pa.array(kept[0][0]), pa.array(kept[0][1])], names=["pair", "total"])
+                    kept, held = [], 0
+        if kept:
+            key, value = flush()
+            yield pa.record_batch([pa.array(key), pa.array(value)], names=["pair", "total"])
+        if seen:
+            yield pa.record_batch([pa.array([-1]), pa.array([float(seen)])], names=["pair", "total"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        random, out, seen = sent.value, None, 0.0
+        for batch in batches:
+            pair, total = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            seen += float(total[pair < 0].sum())
+            pair, total = pair[pair >= 0], total[pair >= 0]
+            out = np.zeros(random.shape) if out is None else out
+            i, j = pair // n, pair % n
+            other = i != j
+            for to, by, c in ((i, j, total), (j[other], i[other], total[other])):
+                order = np.argsort(to, kind="stable")
+                for a in range(0, len(to), 60_000):
+                    rows = order[a : a + 60_000]
+                    target = to[rows]
+                    if len(target):
+                        heads = np.flatnonzero(np.r_[True, target[1:] != target[:-1]])
+                        out[target[heads]] += np.add.reduceat(random[by[rows]] * c[rows, None].astype(np.float32), heads, axis=0)
+        if out is None:
+            return
         for a in range(0, len(out), ROWS_A_SUM):
             part = out[a : a + ROWS_A_SUM]
-            if part.any():
-                yield pa.record_batch([pa.array([a // ROWS_A_SUM]), pa.array([seen if a == 0 else 0]), pa.array([part.astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
-        if seen and not out[:ROWS_A_SUM].any():
-            yield pa.record_batch([pa.array([0]), pa.array([seen]), pa.array([out[:ROWS_A_SUM].astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
+            if part.any() or (a == 0 and seen):
+                yield pa.record_batch([pa.array([a // ROWS_A_SUM]), pa.array([seen if a == 0 else 0.0]), pa.array([part.astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
 
     def total(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen, sums = 0, 0, None
+        part, seen, sums = 0, 0.0, None
         for batch in group:
             for p, s, blob in zip(*(batch.column(i) for i in range(3)), strict=True):
                 part, seen, more = p.as_py(), seen + s.as_py(), np.frombuffer(blob.as_buffer(), "<f4")
                 sums = more.astype(np.float64) if sums is None else sums + more
         yield pa.record_batch([pa.array([part]), pa.array([seen]), pa.array([sums.astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
 
-    schema = "part bigint, seen bigint, sums binary"
+    schema = "part bigint, seen double, sums binary"
+    met = docs.select("text").mapInArrow(products, "pair bigint, total double").groupBy("pair").agg(F.sum("total").alias("total"))
     # a task's sums are one row per few terms: at most one row a task in a group
-    found = docs.select("text").mapInArrow(add, schema).groupBy("part").applyInArrow(total, schema).toArrow()
+    found = met.mapInArrow(add, schema).groupBy("part").applyInArrow(total, schema).toArrow()
     image = np.zeros((n, width))
     for p, blob in zip(found["part"].to_pylist(), found["sums"], strict=True):
         rows = np.frombuffer(blob.as_buffer(), "<f4").reshape(-1, width)
@@ -287,20 +375,27 @@ def hits(docs: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     latent = (items.matrix @ space).astype(np.float32)
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    sent = spark.sparkContext.broadcast((items, space.astype(np.float32), latent))
+    # a window's image times the items' is the sum of its terms' products with them
+    nearness = (space.astype(np.float32) @ latent.T).astype(np.float32)
+    sent = spark.sparkContext.broadcast((items.searched(), nearness, np.abs(nearness).max(axis=1, initial=0)))
     item_type = pa.array(items.ids).type
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, space, latent = sent.value
+        items, nearness, most = sent.value
         for batch in ta.slices(batches):
             row, key, window, term, value, n, first, size = window_vectors(batch.column(1), items)
+            # windows whose terms' greatest products together stay below the limit can't be near
+            reach = np.bincount(window, weights=value * most[term], minlength=len(size)) * (1 + 1e-4)
+            near_enough = reach * size >= COSINE * np.minimum(size, items.size[items.size > 0].min(initial=np.inf))
+            stay = near_enough[window]
+            window, term, value = window[stay], term[stay], value[stay]
             best: dict[tuple[int, int], tuple] = {}
             starts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
-            for part in runs(window, max(1000, IMAGE // max(space.shape[1], len(latent)))):
-                ids, image = times_matrix(window[part], term[part], value[part], space)
+            for part in runs(window, max(1000, IMAGE // max(nearness.shape[1], 1))):
+                ids, near = times_matrix(window[part], term[part], value[part], nearness)
                 # the window's length in all its terms stays, so stray terms don't pass for
                 # an item; beyond the item's own length it doesn't count against a passage
-                near, long = image @ latent.T, size[ids].astype(np.float32)[:, None]
+                long = size[ids].astype(np.float32)[:, None]
                 for w, p in zip(*np.nonzero(near * long >= COSINE * np.minimum(long, items.size.astype(np.float32))), strict=True):
                     doc = int(np.searchsorted(first + n, ids[w], "right"))
                     i = items.probes[p][0]
@@ -334,43 +429,52 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
 
     Reads doc_id and text of ``docs``, item_id and text of ``benchmark``. Null,
     empty and wordless texts on either side match nothing. Null ids stay. Repeated
-    rows and items each give their rows. Empty tables give no rows. Texts are read
-    whole.
+    rows and items each give their rows, except that an item of more than ``block``
+    parts gives one row for all documents of one id. Empty tables give no rows. Texts
+    are read whole.
     """
     spark = docs.sparkSession
     common.ship(spark)
     benchmark = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    count = benchmark.count()
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0]
     name, kind = (f.schema[c].dataType.simpleString() for f, c in ((benchmark, "item_id"), (docs, "doc_id")))
     empty = spark.createDataFrame([], f"doc_id {kind}, item_id {name}, cosine double, cover double, answer double, first_word bigint")
-    blocks, found = max(1, -(-count // block)), []
+    blocks, found, divided = max(1, -(-int(size or 0) // ITEM_BYTES)), [], []
     for b in range(blocks):
         mine = benchmark.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).toArrow()
         order = np.argsort(mine["text"].to_numpy(zero_copy_only=False), kind="stable") if mine.num_rows else []
-        items = Items([mine["item_id"][i].as_py() for i in order], [mine["text"][i].as_py() for i in order])
-        if not len(items.terms):
-            continue
-        held, total = document_frequency(docs, items)
-        few = items.chosen(held, total)
-        idf = np.log((total + 1) / (held[few] + 1)) + 1
-        items.keep(items.terms[few], idf)
-        if not len(items.terms) or not items.matrix.any():
-            continue
-        rows = hits(docs, items, latent_space(docs, items))
-        found.append(common.stored(rows, "leaks") if blocks > 1 else rows)
+        whole = Items([mine["item_id"][i].as_py() for i in order], [mine["text"][i].as_py() for i in order])
+        parts = np.bincount([i for i, _ in whole.probes], minlength=len(whole.ids))
+        divided += [whole.ids[i] for i in np.flatnonzero(parts > block)]
+        for items in whole.blocks(block):
+            held, total = document_frequency(docs, items)
+            few = items.chosen(held, total)
+            idf = np.log((total + 1) / (held[few] + 1)) + 1
+            items.keep(items.terms[few], idf)
+            if not len(items.terms) or not items.matrix.any():
+                continue
+            rows = hits(docs, items, latent_space(docs, items))
+            found.append(rows if blocks == 1 and len(whole.probes) <= block else common.stored(rows, "leaks"))
     out = empty if not found else found[0]
     for more in found[1:]:
         out = out.unionAll(more)
-    return out
+    if not divided:
+        return out
+    best = F.max(F.struct("cover", "answer", "cosine", (-F.col("first_word")).alias("place")))
+    once = out.where(F.col("item_id").isin(divided)).groupBy("doc_id", "item_id").agg(best.alias("b"))
+    once = once.select("doc_id", "item_id", "b.cosine", "b.cover", "b.answer", (-F.col("b.place")).alias("first_word"))
+    return out.where(~F.coalesce(F.col("item_id").isin(divided), F.lit(False))).unionAll(once)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, in which nothing was found. Hits are by
-    id; a row without an id is judged by a hash of its text."""
+    id, so repeated ids go together; a row without an id is judged by a hash of its
+    text. A null text stays. No column name is reserved."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
-    found = leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_key")).distinct()
+    found = leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("key")).distinct()
     found = common.stored(found, "leaks")
-    return docs.withColumn("_row", key).join(found, F.col("_row") == F.col("_key"), "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
+    return rows.join(found, "key", "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
