@@ -167,7 +167,7 @@ def window_vectors(column, items: Items):
     """(row, key, window, term, value, windows, first, size): unit TF-IDF vectors of
     the windows, as entries sorted by window, and the lengths they had."""
     row, key = words_of(column)
-    window, term, times, n, first = entries(row, charlm.find(items.terms, key), len(column))
+    window, term, times, n, first = entries(row, find(items.terms, key), len(column))
     value = weigh(times, items.idf[term])
     total = int(n.sum())
     size = np.sqrt(np.bincount(window, weights=value * value, minlength=total)) if len(window) else np.zeros(total)
@@ -175,11 +175,29 @@ def window_vectors(column, items: Items):
 
 
 def times_matrix(window: np.ndarray, term: np.ndarray, value: np.ndarray, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(windows that have terms, their vectors times a matrix)."""
-    if not len(window):
-        return window, np.zeros((0, matrix.shape[1]), matrix.dtype)
-    heads = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
-    return window[heads], np.add.reduceat(matrix[term] * value[:, None].astype(matrix.dtype), heads, axis=0)
+    """(windows that have terms, those with many terms first; their vectors times a
+    matrix), summed term by term over all windows that have so many."""
+    heads = np.flatnonzero(np.r_[True, window[1:] != window[:-1]]) if len(window) else window
+    lengths = np.diff(np.append(heads, len(window)))
+    order = np.argsort(-lengths, kind="stable")
+    heads, lengths = heads[order], lengths[order]
+    out = np.zeros((len(heads), matrix.shape[1]), matrix.dtype)
+    value = value.astype(matrix.dtype)
+    for k in range(int(lengths[0]) if len(lengths) else 0):
+        at = heads[: int(np.searchsorted(-lengths, -k, "left"))] + k
+        out[: len(at)] += matrix[term[at]] * value[at, None]
+    return window[heads], out
+
+
+def find(terms: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Where each key stands in the sorted terms, or -1. Most keys are none of the
+    terms, and a table of their last bits tells so at once."""
+    out = np.full(len(key), -1, dtype=np.int64)
+    table = np.zeros(1 << 16, dtype=bool)
+    table[terms & ta.U(0xFFFF)] = True
+    some = np.flatnonzero(table[key & ta.U(0xFFFF)])
+    out[some] = charlm.find(terms, key[some])
+    return out
 
 
 def runs(window: np.ndarray, limit: int = 60_000) -> Iterator[slice]:
@@ -202,7 +220,7 @@ def document_frequency(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
         held, total = np.zeros(len(terms) + 1, dtype=np.int64), 0
         for batch in ta.slices(batches):
             row, key = words_of(batch.column(0))
-            _, term, _, n, _ = entries(row, charlm.find(terms, key), batch.num_rows)
+            _, term, _, n, _ = entries(row, find(terms, key), batch.num_rows)
             held[: len(terms)] += np.bincount(term, minlength=len(terms))
             held[-1] += n.sum()
         some = np.flatnonzero(held)
