@@ -128,7 +128,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
             _, _, one, two, count = shingles(*ta.flat(batch.column(batch.schema.get_field_index("text"))))
             yield pa.record_batch([*batch.columns, prints_column(one, two, count > 0)], names=[*names, "print"])
 
-    return docs.mapInArrow(add, schema)
+    return docs.mapInArrow(ta.freed(add), schema)
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -146,7 +146,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "print", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(add, f"doc_id {kind}, print binary, bands array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(ta.freed(add), f"doc_id {kind}, print binary, bands array<bigint>")
 
 
 def verified(texts: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -197,7 +197,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
             sets = [keys[a:b].tobytes() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
             yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["print", "sets"])
 
-    return texts.select("print", "text").mapInArrow(add, "print binary, sets binary")
+    return texts.select("print", "text").mapInArrow(ta.freed(add), "print binary, sets binary")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -250,7 +250,7 @@ def exploded(nodes: DataFrame) -> DataFrame:
                 own = pa.array(np.full(len(keys), i))
                 yield pa.record_batch([batch.column(0).take(own), batch.column(1).take(own), pa.array(np.full(len(keys), len(keys))), pa.array(keys)], names=["print", "root", "size", "shingle"])
 
-    return nodes.select("print", "root", "sets").mapInArrow(add, "print binary, root binary, size bigint, shingle bigint")
+    return nodes.select("print", "root", "sets").mapInArrow(ta.freed(add), "print binary, root binary, size bigint, shingle bigint")
 
 
 def across(sets: DataFrame, large: DataFrame, roots: DataFrame, threshold: float = THRESHOLD) -> DataFrame | None:
@@ -329,16 +329,16 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> tuple[DataFr
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, without near duplicates: of each class the
-    row with the least id, and of repeated rows one. Rows without words all stay."""
+    row with the least id, and of repeated rows one. Rows without words all stay,
+    those with a null text too. No column name is reserved."""
     names = docs.columns
+    # other columns under names that can't clash with the working ones
+    plain = [n if n in ("doc_id", "text") else f"c{i}" for i, n in enumerate(names)]
+    docs = docs.toDF(*plain)
     others = classes(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
     others = common.stored(others, "dropped")
     marked = fingerprinted(docs)
-    blank = marked.where("print is null").select(*names)
+    blank = marked.where("print is null").select(*plain)
     said = marked.where("print is not null")
     said = said.join(others, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), "left_anti")
-    return said.dropDuplicates(["doc_id", "print"]).select(*names).unionAll(blank)
-
-
-def query(spark: SparkSession, folder: str) -> DataFrame:
-    return classes(common.table(spark, folder, "documents")).select("doc_id", "class_id", "kept")
+    return said.dropDuplicates(["doc_id", "print"]).select(*plain).unionAll(blank).toDF(*names)

@@ -26,7 +26,6 @@ from collections.abc import Iterator
 from types import SimpleNamespace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +46,8 @@ ANSWER_SHARE = 0.25  # of an item, its last words
 PROBE = 48  # words; longer items are looked for in parts of this size
 BLOCK = 400  # probes a block; the rank grows with it
 ITEM_BYTES = 1 << 20  # of item texts that are collected at once (a longer one alone)
-PAIRS = 4_000_000  # pairs of terms a task holds
-IMAGE = 12_000_000  # numbers of windows' images held at once
+PAIRS = 2_000_000  # pairs of terms a task holds
+IMAGE = 4_000_000  # numbers of windows' images held at once
 ROWS_A_SUM = 16
 
 
@@ -226,7 +225,7 @@ def document_frequency(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(held)
         yield pa.record_batch([pa.array(some), pa.array(held[some])], names=["term", "n"])
 
-    found = docs.select("text").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    found = docs.select("text").mapInArrow(ta.freed(count), "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(items.terms) + 1, dtype=np.int64)
     out[found["term"].to_numpy()] = found["n"].to_numpy()
     return out[:-1], int(out[-1])
@@ -318,9 +317,9 @@ def latent_space(docs: DataFrame, items: Items, rank: int = RANK, seed: int = 7)
         yield pa.record_batch([pa.array([part]), pa.array([seen]), pa.array([sums.astype("<f4").tobytes()], pa.binary())], names=["part", "seen", "sums"])
 
     schema = "part bigint, seen double, sums binary"
-    met = docs.select("text").mapInArrow(products, "pair bigint, total double").groupBy("pair").agg(F.sum("total").alias("total"))
+    met = docs.select("text").mapInArrow(ta.freed(products), "pair bigint, total double").groupBy("pair").agg(F.sum("total").alias("total"))
     # a task's sums are one row per few terms: at most one row a task in a group
-    found = met.mapInArrow(add, schema).groupBy("part").applyInArrow(total, schema).toArrow()
+    found = met.mapInArrow(ta.freed(add), schema).groupBy("part").applyInArrow(total, schema).toArrow()
     image = np.zeros((n, width))
     for p, blob in zip(found["part"].to_pylist(), found["sums"], strict=True):
         rows = np.frombuffer(blob.as_buffer(), "<f4").reshape(-1, width)
@@ -438,7 +437,7 @@ def hits(docs: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
 
     name = {"int64": "bigint", "int32": "int", "string": "string"}[str(item_type)]
     schema = f"doc_id {kind}, item_id {name}, cosine double, cover double, answer double, first_word bigint"
-    return docs.select("doc_id", "text").mapInArrow(search, schema)
+    return docs.select("doc_id", "text").mapInArrow(ta.freed(search), schema)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -126,3 +126,41 @@ def test_empty(docs, spark, odd):
 def test_capitals_beyond_ascii():
     row, key = lsa.words_of(pa.array(["ÊTRE Élan ÷ ß", "être élan ß"]))
     assert key[row == 0].tolist() == key[row == 1].tolist() or (row == 0).sum() == 4
+
+
+def test_long_items_are_divided(docs, spark):
+    rng = random.Random(4)
+    long, short = words(rng, 3000), words(rng, 30)
+    texts = [words(rng, 50), words(rng, 20) + " " + long + " x", short, words(rng, 200)]
+    benchmark = spark.createDataFrame([(1, long), (2, short)], "item_id bigint, text string")
+    found = lsa.leaks(docs(texts), benchmark, block=25).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in sorted(found)] == [(1, 1), (2, 2)]
+    whole = lsa.Items([1, 2], [long, short])
+    blocks = list(whole.blocks(25))
+    assert [p for b in blocks for p in b.probes] == whole.probes and all(len(b.probes) <= 25 for b in blocks)
+    assert all(len(b.terms) <= 25 * lsa.PROBE for b in blocks)
+
+
+def test_products_by_pair_are_the_wide_sums(docs, spark):
+    rng = random.Random(6)
+    pool = words(rng, 60).split()
+    texts = [" ".join(rng.choices(pool, k=rng.randint(0, 90))) for _ in range(40)]
+    items = lsa.Items([0, 1], [" ".join(pool[:20]), " ".join(pool[15:30])])
+    items.keep(items.terms, np.linspace(1, 2, len(items.terms)))
+    space = lsa.latent_space(docs(texts).repartition(3), items, rank=4)
+    _, _, window, term, value, _, _, _ = lsa.window_vectors(pa.array(texts), items)
+    full = np.zeros((window.max() + 1, len(items.terms)))
+    full[window, term] = value
+    kept = full[full.any(axis=1)]
+    gram = kept.T @ kept + len(kept) / len(items.probes) * items.matrix.T @ items.matrix
+    best = np.linalg.eigvalsh(gram)[::-1][:4].sum()
+    assert np.trace(space[:, :4].T @ gram @ space[:, :4]) > 0.99 * best
+
+
+def test_columns_of_the_caller_stay(docs, spark):
+    some = spark.createDataFrame([(1, "one two three four five six")], "item_id bigint, text string")
+    frame = docs(["clean text", "one two three four five six", None], [1, 2, None])
+    frame = frame.withColumnsRenamed({"lang": "_row", "source": "key", "row": "_key"})
+    left = lsa.without_leaks(frame, some)
+    assert left.columns == frame.columns
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(map(tuple, frame.where("doc_id is null or doc_id = 1").collect()), key=str)

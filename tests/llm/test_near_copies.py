@@ -130,3 +130,10 @@ def test_components(spark):
             a, b = top(a), top(b)
             parent[max(a, b)] = min(a, b)
     assert found == {x: top(x) for x in parent}
+
+
+def test_columns_of_the_caller_stay(docs):
+    frame = docs(["a b c d e f", "A b c d e f", "other words stand in here", None, None]).withColumnsRenamed({"lang": "print", "source": "_id", "row": "_print", "length": "root"})
+    left = near.deduplicated(frame)
+    assert left.columns == frame.columns
+    assert sorted(map(tuple, left.collect())) == sorted(map(tuple, frame.where("doc_id <> 1").collect()))
