@@ -17,7 +17,7 @@ import regex
 from marketgrain.llm import textarrays as ta
 
 OTHER, LETTER, DIGIT, WHITE = 0, 1, 2, 3
-REMEMBERED = 2_000_000
+REMEMBERED = 300_000  # about 60 MB a worker
 _state: dict = {}
 
 

@@ -290,7 +290,10 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     apart = (ta.mix(ids + ta.U(99)) >> ta.U(11)).astype(np.float64) * 2.0**-53 < APART
     quality, toxic = (sample[c].to_pandas().astype("float64") for c in ("_quality", "_toxic"))
     truths = {"low": np.where(quality.isna(), -1, quality == 0).astype(int), "toxic": np.where(toxic.isna(), -1, toxic > 0).astype(int)}
-    return {name: co_train(sample.select(list(COLUMNS)), truths[name], apart) for name in TARGETS}
+    models = {name: co_train(sample.select(list(COLUMNS)), truths[name], apart) for name in TARGETS}
+    del sample
+    ta.give_back()
+    return models
 
 
 def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
@@ -319,7 +322,7 @@ def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
             rejected = (p[0] >= LIMIT) | (p[1] >= LIMIT)
             yield pa.record_batch([batch.column(0), *map(pa.array, p), pa.array(rejected)], names=["doc_id", *names, "rejected"])
 
-    return docs.select(*COLUMNS).mapInArrow(score, f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean")
+    return docs.select(*COLUMNS).mapInArrow(ta.freed(score), f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean")
 
 
 def kept(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
@@ -338,7 +341,7 @@ def kept(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
             worst = np.maximum(*(rate(model[t], batch)[:, 2] for t in TARGETS))
             yield batch.filter(pa.array(worst < LIMIT))
 
-    return docs.mapInArrow(choose, docs.schema)
+    return docs.mapInArrow(ta.freed(choose), docs.schema)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

@@ -224,7 +224,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(pieces, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return docs.select("doc_id", "text").mapInArrow(ta.freed(pieces), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -471,6 +471,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK) -> DataFram
             if not len(items.terms) or not items.matrix.any():
                 continue
             rows = hits(docs, items, latent_space(docs, items))
+            ta.give_back()
             found.append(rows if blocks == 1 and len(whole.probes) <= block else common.stored(rows, "leaks"))
     out = empty if not found else found[0]
     for more in found[1:]:

@@ -9,6 +9,7 @@ cut, so a single huge text is a slice of its own).
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,18 +30,25 @@ NO_LETTER[65:91] = NO_LETTER[97:123] = NO_LETTER[128:] = False
 _powers: dict[str, np.ndarray] = {}
 
 
+def give_back() -> None:
+    """Return to the system what arrays no longer use: workers live on and serve other
+    stages, and both allocators keep what small arrays leave."""
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def freed(function: Callable) -> Callable:
-    """The same Arrow function, giving a task's memory back when it ends: workers live
-    on and serve other stages, and the allocator keeps what small arrays leave."""
+    """The same Arrow function, giving a task's memory back when it ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from function(batches)
         finally:
-            _powers.clear()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return run
 
