@@ -38,6 +38,15 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+SMALL_BYTES = 64 << 20
+
+
+def small_side(frame: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table with a broadcast hint if its rows, counted, fit ``SMALL_BYTES``;
+    a larger one as it is, so that the join shuffles."""
+    return F.broadcast(frame) if frame.count() * row_bytes <= SMALL_BYTES else frame
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once a session."""
     context = spark.sparkContext

@@ -124,7 +124,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("print", T.BinaryType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             _, _, one, two, count = shingles(*ta.flat(batch.column(batch.schema.get_field_index("text"))))
             yield pa.record_batch([*batch.columns, prints_column(one, two, count > 0)], names=[*names, "print"])
 
@@ -136,7 +136,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             owner, keys, one, two, count = shingles(*ta.flat(batch.column(1)))
             found = bands(sketch(owner, keys, batch.num_rows)).view(np.int64)
             width = found.shape[1]
@@ -186,7 +186,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     """print, sets: sorted hashes of the distinct shingles of each text."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             owner, keys, _, _, _ = shingles(*ta.flat(batch.column(1)))
             order = np.lexsort((keys, owner))
             owner, keys = owner[order], keys[order]
@@ -308,9 +308,10 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> tuple[DataFr
     # the text of one row per node that some pair needs
     needed = members.select("print").distinct()
     first = rows.where("print is not null").groupBy("print").agg(F.min("doc_id").alias("doc_id"))
-    asked = needed.join(first, "print")
+    asked = common.stored(needed.join(first, "print").select("print", F.col("doc_id").alias("_first")), "asked")
     texts = fingerprinted(docs.select("doc_id", "text")).where("print is not null")
-    texts = texts.join(asked.select("print", F.col("doc_id").alias("_first")), "print").where(F.col("doc_id").eqNullSafe(F.col("_first")))
+    # most texts are in no bucket: they stay where they are while the list of the others is small
+    texts = texts.join(common.small_side(asked, 64), "print").where(F.col("doc_id").eqNullSafe(F.col("_first")))
     sets = common.stored(shingle_sets(texts.select("print", "text")).dropDuplicates(["print"]), "shingle-sets")
     links = common.stored(verified(sets, tested), "links")
     for _ in range(ROUNDS if large.limit(1).count() else 0):
@@ -335,10 +336,17 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     # other columns under names that can't clash with the working ones
     plain = [n if n in ("doc_id", "text") else f"c{i}" for i, n in enumerate(names)]
     docs = docs.toDF(*plain)
-    others = classes(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print")).distinct()
-    others = common.stored(others, "dropped")
+    judged = common.stored(classes(docs).where("print is not null").select("doc_id", "print", "kept"), "judged")
+    others = judged.where("not kept").distinct().select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
+    twice = judged.where("kept").groupBy("doc_id", "print").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
+    others, twice = common.stored(others, "dropped"), common.stored(twice, "repeated")
     marked = fingerprinted(docs)
     blank = marked.where("print is null").select(*plain)
     said = marked.where("print is not null")
-    said = said.join(others, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")), "left_anti")
-    return said.dropDuplicates(["doc_id", "print"]).select(*plain).unionAll(blank).toDF(*names)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
+    said = said.join(common.small_side(others, 64), same, "left_anti")
+    if twice.limit(1).count():  # only rows that are there more than once have to meet
+        listed = common.small_side(twice, 64)
+        once = said.join(listed, same, "left_semi").dropDuplicates(["doc_id", "print"])
+        said = said.join(listed, same, "left_anti").unionByName(once)
+    return said.select(*plain).unionAll(blank).toDF(*names)

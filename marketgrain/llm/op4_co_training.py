@@ -316,7 +316,7 @@ def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = {name: unpacked(m) for name, m in sent.value.items()} if sent.value else None
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             low, toxic = (rate(model[t], batch) if model else np.zeros((batch.num_rows, 3)) for t in TARGETS)
             p = [low[:, 2], toxic[:, 2], low[:, 0], low[:, 1], toxic[:, 0], toxic[:, 1]]
             rejected = (p[0] >= LIMIT) | (p[1] >= LIMIT)
@@ -337,7 +337,7 @@ def kept(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = {name: unpacked(m) for name, m in sent.value.items()}
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             worst = np.maximum(*(rate(model[t], batch)[:, 2] for t in TARGETS))
             yield batch.filter(pa.array(worst < LIMIT))
 

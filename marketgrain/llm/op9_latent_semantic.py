@@ -217,7 +217,7 @@ def document_frequency(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = sent.value
         held, total = np.zeros(len(terms) + 1, dtype=np.int64), 0
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             row, key = words_of(batch.column(0))
             _, term, _, n, _ = entries(row, find(terms, key), batch.num_rows)
             held[: len(terms)] += np.bincount(term, minlength=len(terms))
@@ -266,7 +266,7 @@ def latent_space(docs: DataFrame, items: Items, rank: int = RANK, seed: int = 7)
             key, value = by_key(*(np.concatenate(c) for c in zip(*kept, strict=True)))
             return key, value
 
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             _, _, window, term, value, _, _, _ = window_vectors(batch.column(0), items)
             seen += len(np.unique(window))
             for part in runs(window):
@@ -399,7 +399,7 @@ def hits(docs: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, nearness, most = sent.value
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
             row, key, window, term, value, n, first, size = window_vectors(batch.column(1), items)
             # windows whose terms' greatest products together stay below the limit can't be near
             reach = np.bincount(window, weights=value * most[term], minlength=len(size)) * (1 + 1e-4)
