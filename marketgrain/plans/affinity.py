@@ -9,6 +9,7 @@ from marketgrain.errors import AnalyticsError
 from marketgrain.operators import pairs
 from marketgrain.operators.joins import checked_join, lookup
 from marketgrain.operators.ranking import numbered, position_of_best, top
+from marketgrain.operators.summary import materialized
 
 
 def interactions(
@@ -57,24 +58,57 @@ def most_similar(
     links: DataFrame, n: int, *, min_cosine: float = 0.0, block: int = 1024
 ) -> DataFrame:
     """The ``n`` most similar products of every product, the smaller id first
-    among equals: at most n rows per product, cut in each task before the
-    shuffle."""
-    found = pair_cosine(links, min_cosine=min_cosine, block=block)
-    turned = found.select(
-        F.col("product_b").alias("product_a"),
-        F.col("product_a").alias("product_b"),
-        "common",
-        "similarity",
-    )
-    order = Window.partitionBy("product_a").orderBy(F.col("similarity").desc(), "product_b")
-    ranked = found.unionByName(turned).withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= n).select(
-        F.col("product_a").alias("product_id"),
-        "rank",
-        F.col("product_b").alias("other_id"),
-        "common",
-        "similarity",
-    )
+    among equals, without counting all pairs.
+
+    Two products share at most the smaller support, so products whose supports are
+    d powers of two apart reach a cosine of at most 2^(-(d-1)/2). Pairs are counted
+    from near supports to far ones, each once. A product is settled when its n-th
+    best is above what is still to come, and a pair is counted only while one of its
+    two is open. What a catalogue of like supports shares has to be counted; rare
+    products never meet all that was bought with a best seller.
+    """
+    baskets = pairs.Baskets.of(links, "customer_id", "product_id", block)
+    widest = baskets.supports.agg(F.max("level") - F.min("level")).first()[0]
+    best, open_items, low, width = None, None, 0, 1
+    while widest is not None and low <= widest:
+        apart = range(low, min(low + width, widest + 1))
+        bound = 2.0 ** (-(low - 1) / 2)
+        if min_cosine > bound * (1 + 1e-9):
+            break
+        met = baskets.met(apart, open_items)
+        # both directions; only an open product still gathers
+        found = met.select(
+            F.explode(
+                F.array(
+                    F.struct(F.col("item_a").alias("product_id"), F.col("item_b").alias("other_id")),
+                    F.struct(F.col("item_b").alias("product_id"), F.col("item_a").alias("other_id")),
+                )
+            ).alias("p"),
+            "common",
+            cosine(F.col("common"), F.col("support_a"), F.col("support_b")).alias("similarity"),
+        ).select("p.*", "common", "similarity")
+        found = found.where(F.col("similarity") >= min_cosine) if min_cosine > 0 else found
+        if open_items is not None:
+            found = found.join(open_items, found["product_id"] == open_items["item"], "left_semi")
+        order = Window.partitionBy("product_id").orderBy(F.col("similarity").desc(), "other_id")
+        found = found if best is None else best.unionByName(found)
+        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+        best = materialized(ranked.drop("rank"), "most-similar")
+        low, width = low + width, width * 2
+        # strictly above what is to come, as an equal one with a smaller id would win
+        after = 2.0 ** (-(low - 1) / 2) * (1 + 1e-9)
+        settled = best.groupBy("product_id").agg(F.count(F.lit(1)).alias("k"), F.min("similarity").alias("least"))
+        settled = settled.where((F.col("k") >= n) & (F.col("least") > after)).select(F.col("product_id").alias("item"))
+        open_items = materialized(baskets.supports.join(settled, "item", "left_anti").select("item"), "open-products")
+        if not open_items.take(1):
+            break
+    if best is None:
+        kind = links.schema["product_id"].dataType.simpleString()
+        schema = f"product_id {kind}, other_id {kind}, common bigint, similarity double"
+        best = links.sparkSession.createDataFrame([], schema)
+    order = Window.partitionBy("product_id").orderBy(F.col("similarity").desc(), "other_id")
+    ranked = best.withColumn("rank", F.row_number().over(order))
+    return ranked.select("product_id", "rank", "other_id", "common", "similarity")
 
 
 def mirrored(similar: DataFrame, links: DataFrame) -> DataFrame:

@@ -139,3 +139,55 @@ def test_pruning_by_support_loses_no_pair(spark):
             best.setdefault(x, []).append((-s, y))
     want = {(x, n + 1, y) for x, found in best.items() for n, (_, y) in enumerate(sorted(found)[:3])}
     assert {(r["product_id"], r["rank"], r["other_id"]) for r in affinity.most_similar(frame, 3, block=16).collect()} == want
+
+
+def _best(pairs, n):
+    best = {}
+    for (a, b), (common, s) in brute(pairs).items():
+        for x, y in ((a, b), (b, a)):
+            best.setdefault(x, []).append((-s, y, common))
+    return {(x, i + 1, y, c, -s) for x, found in best.items() for i, (s, y, c) in enumerate(sorted(found)[:n])}
+
+
+@pytest.mark.parametrize(("n", "block", "least"), [(1, 1024, 0.0), (3, 8, 0.0), (5, 50, 0.3), (2, 1024, 1.0)])
+def test_most_similar_equals_brute_force(spark, n, block, least):
+    draw = random.Random(n)
+    pairs = {(0, p) for p in range(90)} | {(draw.randint(1, 80), int(draw.paretovariate(0.7)) % 120) for _ in range(700)}
+    found = affinity.most_similar(links(spark, sorted(pairs)), n, block=block, min_cosine=least)
+    got = {tuple(r) for r in found.select("product_id", "rank", "other_id", "common", "similarity").collect()}
+    wanted = {r for r in _best(pairs, 10**9) if r[4] >= least}
+    assert got == {r for r in wanted if r[1] <= n}
+    assert found.count() == len(got)
+
+
+def test_few_pairs_are_counted_where_supports_differ(spark, monkeypatch):
+    """Rare products are bought by the same few customers, each of whom also has most
+    best sellers of one kind. A customer with a third of all links changes no answer."""
+    draw = random.Random(11)
+    pairs = set()
+    for c in range(1, 400):
+        pairs |= {(c, 100_000 + 2 * (c // 2) + k) for k in range(2)}  # two buyers each
+        pairs |= {(c, c % 6 * 20 + k) for k in draw.sample(range(20), 18)}
+    pairs |= {(0, 200_000 + p) for p in range(len(pairs) // 2)}  # bought by nobody else
+    counted = []
+    real = affinity.pairs.Baskets.met
+
+    def met(self, apart, open_items=None):
+        out = real(self, apart, open_items)
+        counted.append(out.count())
+        return out
+
+    monkeypatch.setattr(affinity.pairs.Baskets, "met", met)
+    rare = sorted(p for p in pairs if p[0] != 0)
+    frame = links(spark, rare)
+    found = affinity.most_similar(frame, 1).count()
+    every = len(brute(rare))
+    assert found and sum(counted) < every / 5
+    monkeypatch.undo()
+    hot = affinity.most_similar(links(spark, [p for p in sorted(pairs) if p[0] in (0, 1, 2) and p[1] < 200_300]), 2, block=64)
+    assert {tuple(r) for r in hot.select("product_id", "rank", "other_id", "common", "similarity").collect()} == _best([p for p in pairs if p[0] in (0, 1, 2) and p[1] < 200_300], 2)
+
+
+def test_most_similar_of_nothing(spark):
+    assert affinity.most_similar(links(spark, []), 3).collect() == []
+    assert affinity.most_similar(links(spark, [(1, 1), (2, 2)]), 3).collect() == []

@@ -212,9 +212,9 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
 class _Unset:
     """A session in which no checkpoint folder was configured."""
 
-    def __init__(self, spark):
+    def __init__(self, master="local[2]"):
         self.conf, self.sparkContext = self, self
-        self.folder = None
+        self.master, self.folder = master, None
 
     def get(self, key, default=None):
         return default
@@ -227,12 +227,18 @@ class _Unset:
 
 
 def test_scratch_folder_without_a_named_one(spark):
-    session = _Unset(spark)
+    session = _Unset()
     first, second = scratch_dir(session, "x"), scratch_dir(session, "y")
     assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] == session.folder
     assert tune(spark) is spark
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]"])
+def test_scratch_folder_must_be_named_on_a_cluster(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(_Unset(master), "x")
+
+
 def test_positions_over_many_ranges(spark):
     """A full ranking equals the sorted list, also with equal values."""
     frame = spark.range(0, 5000, 1, 9).select("id", (F.col("id") % 7).alias("units"))
