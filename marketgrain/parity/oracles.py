@@ -996,3 +996,40 @@ from orders join customer on c_custkey = o_custkey group by 1"""
 
 ORACLES["csv_published_texts"] = """
 select doc_id, md5(text) as digest, cast(length(text) as integer) as characters from documents"""
+
+
+def _values(section: str, sql: str, order: str | None) -> str:
+    """The values of a section as they stand in the JSON document."""
+    place = f"'[' || (row_number() over (order by {order}) - 1) || ']'" if order else "''"
+    return f"""
+select '.{section}' || t.at || substr(e.fullkey, 2) as path,
+       case e.type when 'VARCHAR' then 'string' when 'BOOLEAN' then 'boolean' when 'NULL' then 'null' else 'number' end as kind,
+       case when e.type = 'VARCHAR' then json_extract_string(t.j, e.fullkey) when e.type = 'BOOLEAN' then e.atom::varchar end as text,
+       case when e.type not in ('VARCHAR', 'BOOLEAN', 'NULL') then cast(e.atom::varchar as double) end as number
+from (select {place} as at, to_json(s) as j from ({sql}) s) t, json_tree(t.j) e
+where e.type not in ('OBJECT', 'ARRAY')"""
+
+
+DOCUMENT = [
+    ("metadata.source", ORACLES["metadata"], None),
+    ("executive.cards", ORACLES["cards"], "position"),
+    ("sales.monthly", ORACLES["monthly_sales"], "month"),
+    ("sales.statuses", ORACLES["breakdown_status"], "status"),
+    ("sales.channels", ORACLES["breakdown_channel"], "channel"),
+    ("customers.elite", ORACLES["elite_anonymous"], "rank"),
+    ("customers.eligibility", ORACLES["eligibility"], None),
+    ("customers.category_distribution", ORACLES["diversity_histogram"], "diversity"),
+    ("customers.elite_categories", f"select * rename (category_id as category) from ({ORACLES['category_share']})", "rank"),
+    (
+        "operations.weekdays",
+        f"select * from ({ORACLES['weekday_mean']}) join (select iso_weekday, mean_recorded, zero_sales_days "
+        f"from ({ORACLES['weekday_mean_naive_vs_full']})) using (iso_weekday)",
+        "iso_weekday",
+    ),
+    ("operations.forecast", ORACLES["forecast_summary"], None),
+    ("operations.forecast_series", ORACLES["walk_forward"], "month"),
+    ("operations.recommendations", ORACLES["similar_items"], "rank"),
+    ("quality.checks", ORACLES["quality_report"], '"check"'),
+    ("quality.sources", ORACLES["source_list"], "table_name"),
+]
+ORACLES["json_contract"] = " union all ".join(f"select * from ({_values(*part)})" for part in DOCUMENT)

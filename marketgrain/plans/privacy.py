@@ -72,6 +72,59 @@ def report(sections: Mapping[str, DataFrame], denied: Iterable[str] = FORBIDDEN)
     return reduce(DataFrame.unionByName, rows)
 
 
+def leaves(text: DataFrame, column: str = "document") -> DataFrame:
+    """Every value of JSON documents at any depth: (path, key, kind, text, number).
+
+    The text itself is walked, level by level, so what was really written is judged
+    and no schema has to be known. ``key`` is the field that holds the value, for the
+    elements of a list the list's. An object or list without entries is one value of
+    kind ``empty``; its key counts too.
+    """
+    level = text.select(F.lit("").alias("path"), F.lit("").alias("key"), F.parse_json(column).alias("value"))
+    found = []
+    while True:
+        shape = F.schema_of_variant("value")
+        nested = shape.startswith("OBJECT<") | shape.startswith("ARRAY<")
+        level = level.withColumn("kind", F.when(F.col("value").isNull(), "EMPTY").otherwise(shape)).withColumn("nested", F.col("value").isNotNull() & nested)
+        flat = level.where(~F.col("nested"))
+        kind = (
+            F.when(F.col("kind").isin("STRING", "BOOLEAN", "EMPTY"), F.lower("kind"))
+            .when(F.col("kind") == "VOID", "null")
+            .otherwise("number")
+        )
+        number = F.when(kind == "number", F.try_variant_get("value", "$", "double"))
+        written = F.when(kind.isin("string", "boolean"), F.try_variant_get("value", "$", "string"))
+        found.append(flat.select("path", "key", kind.alias("kind"), written.alias("text"), number.alias("number")))
+        deeper = level.where("nested")
+        if not deeper.take(1):
+            return reduce(DataFrame.unionByName, found)
+        exploded = deeper.lateralJoin(deeper.sparkSession.tvf.variant_explode_outer(F.col("value").outer()).toDF("pos", "inner_key", "inner"))
+        step = F.when(F.col("inner_key").isNotNull(), F.concat(F.lit("."), F.col("inner_key"))).when(
+            F.col("pos").isNotNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))
+        )
+        path = F.concat(F.col("path"), F.coalesce(step, F.lit("")))
+        level = exploded.select(path.alias("path"), F.coalesce("inner_key", "key").alias("key"), F.col("inner").alias("value"))
+
+
+def document_findings(found: DataFrame, denied: Iterable[str] = FORBIDDEN) -> DataFrame:
+    """(path, reason) of forbidden fields anywhere on the path of a value and of texts
+    with an ``@``, from ``leaves``."""
+    banned = [_plain(name) for name in denied]
+    names = F.split(F.lower(F.regexp_replace(F.col("path"), r"_|\[[0-9]+\]", "")), r"\.")
+    field = F.arrays_overlap(names, F.array(*[F.lit(name) for name in banned]))
+    reasons = F.array_compact(
+        F.array(F.when(field, "forbidden field"), F.when(F.coalesce(F.col("text").contains("@"), F.lit(False)), "at sign"))
+    )
+    return found.select("path", F.explode(reasons).alias("reason"))
+
+
+def enforce_document(text: DataFrame, column: str = "document") -> None:
+    """Refuse a document with a finding at any depth; names at most ten places."""
+    found = document_findings(leaves(text, column)).orderBy("path", "reason").limit(10).collect()
+    if found:
+        raise AnalyticsError("personal data in: " + ", ".join(f"{r['path']} ({r['reason']})" for r in found))
+
+
 def findings(reported: DataFrame) -> DataFrame:
     return reported.where((F.col("forbidden_fields") != "") | (F.col("rows_with_at_sign") > 0))
 

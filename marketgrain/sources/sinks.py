@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from marketgrain.functions.labels import month_text
 from marketgrain.plans.contract import as_json, require_sections
 from marketgrain.plans.forecast import Horizon
-from marketgrain.plans.privacy import enforce
+from marketgrain.operators.summary import materialized
+from marketgrain.plans.privacy import enforce_document
+from marketgrain.plans.quality import gate
 
 # Headings of the exported long table, and per view the section
 # name and metric of each exported block.
@@ -167,8 +169,13 @@ def write_view(frame: DataFrame, path: str) -> None:
     ordered.write.mode("errorifexists").option("lineSep", "\r\n").text(path)
 
 
-def write_document(doc: DataFrame, path: str, sections: Mapping[str, DataFrame]) -> None:
-    """Check the contract and its privacy, then write the JSON document."""
+def write_document(doc: DataFrame, path: str, checks: DataFrame | None = None) -> None:
+    """Publish the JSON document: the contract, the quality gate over ``checks`` and
+    the privacy of everything in the text come first, and nothing is written if one
+    of them fails."""
     require_sections(doc)
-    enforce(sections)
-    as_json(doc).coalesce(1).write.mode("errorifexists").text(path)
+    if checks is not None:
+        gate(checks)
+    text = materialized(as_json(doc), "document")  # judged and written from one copy
+    enforce_document(text)
+    text.coalesce(1).write.mode("errorifexists").text(path)

@@ -129,7 +129,7 @@ def test_document_round_trip_and_required_sections(spark, tmp_path):
     parts = {"rows": contract.as_list(cards, ["position"]), "one": contract.as_object(cards.where("position = 1"))}
     doc = contract.document(spark, {name: parts for name in contract.REQUIRED_SECTIONS})
     path = str(tmp_path / "doc")
-    sinks.write_document(doc, path, {"cards": cards})
+    sinks.write_document(doc, path)
     again = overlay.published_sections(spark, path, doc.schema)
     assert again.first().asDict(True) == doc.first().asDict(True)
     assert [r["id"] for r in again.first()["sales"]["rows"]] == ["a", "b"]
@@ -137,7 +137,43 @@ def test_document_round_trip_and_required_sections(spark, tmp_path):
     with pytest.raises(AnalyticsError, match="quality"):
         contract.require_sections(doc.drop("quality"))
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
-        sinks.write_document(doc, path, {"cards": cards})
+        sinks.write_document(doc, path)
+
+
+def test_document_is_judged_as_a_whole(spark, tmp_path):
+    text = """{"a": {"list": [{"Customer_Id": 1}, {"deep": [["x@y", null, true], []]}]}, "email": {}, "b": [1.5, {"c": "plain"}], "n": -2}"""
+    frame = spark.createDataFrame([(text,), ('{"email_sent": 3, "address": "x"}',)], "document string")
+    found = sorted(rows(privacy.leaves(frame)), key=str)
+    assert {r[0]: (r[2], r[3], r[4]) for r in found} == {
+        ".a.list[0].Customer_Id": ("number", None, 1.0), ".a.list[1].deep[0][0]": ("string", "x@y", None),
+        ".a.list[1].deep[0][1]": ("null", None, None), ".a.list[1].deep[0][2]": ("boolean", "true", None),
+        ".a.list[1].deep[1]": ("empty", None, None), ".email": ("empty", None, None), ".b[0]": ("number", None, 1.5),
+        ".b[1].c": ("string", "plain", None), ".n": ("number", None, -2.0), ".email_sent": ("number", None, 3.0),
+        ".address": ("string", "x", None),
+    }
+    named = sorted(rows(privacy.document_findings(privacy.leaves(frame))))
+    assert named == [
+        (".a.list[0].Customer_Id", "forbidden field"), (".a.list[1].deep[0][0]", "at sign"),
+        (".address", "forbidden field"), (".email", "forbidden field"),
+    ]
+    with pytest.raises(AnalyticsError, match="deep.*at sign"):
+        privacy.enforce_document(frame)
+
+
+def test_document_is_written_only_behind_its_gates(spark, tmp_path):
+    def doc_of(label):
+        cards = spark.createDataFrame([(1, label)], "position int, id string")
+        parts = {"rows": contract.as_list(cards, ["position"])}
+        return contract.document(spark, {name: parts for name in contract.REQUIRED_SECTIONS})
+
+    passed = spark.createDataFrame([("keys", "pass", 0), ("sums", "warning", 2)], "check string, status string, value bigint")
+    failed = spark.createDataFrame([("keys", "fail", 3)], "check string, status string, value bigint")
+    for name, doc, checks, reason in (("a", doc_of("x"), failed, "keys=3"), ("b", doc_of("me@home"), passed, "personal data")):
+        with pytest.raises(AnalyticsError, match=reason):
+            sinks.write_document(doc, str(tmp_path / name), checks)
+        assert not (tmp_path / name).exists()
+    sinks.write_document(doc_of("x"), str(tmp_path / "c"), passed)
+    assert (tmp_path / "c").exists()
 
 
 def test_values_json_cannot_hold_are_refused(spark):
