@@ -1033,3 +1033,14 @@ DOCUMENT = [
     ("quality.sources", ORACLES["source_list"], "table_name"),
 ]
 ORACLES["json_contract"] = " union all ".join(f"select * from ({_values(*part)})" for part in DOCUMENT)
+
+ORACLES["publish_guards"] = """
+with o as (select count(*) as n, count(*) filter (where o_orderpriority = '1-URGENT') as urgent from orders),
+c as (select count(*) as n, count(*) filter (where c_acctbal > 0) as positive from customer)
+select cast(position as integer) as position, attempt, refused, case orders when 'all' then o.n else o.urgent end as orders,
+       case customers when 'none' then 0 when 'some' then c.positive else c.n end as customers
+from o, c, (values
+  (1, 'first', false, 'all', 'none'), (2, 'filled', true, 'all', 'none'), (3, 'other columns', true, 'all', 'none'),
+  (4, 'unknown table', true, 'all', 'none'), (5, 'wrong rows', true, 'all', 'none'), (6, 'new table', false, 'all', 'some'),
+  (7, 'overtaken', true, 'all', 'all'), (8, 'replaced', false, 'urgent', 'all')
+) as v(position, attempt, refused, orders, customers)"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketgrain.errors import PublishError
 from marketgrain.functions import cleaning, labels, money, typing_rules
 from marketgrain.operators import calendar, joins
 from marketgrain.operators.summary import materialized
@@ -1081,6 +1082,37 @@ def csv_load_reconcile(t: Tables) -> DataFrame:
     return publish.load_folder(t.spark, folder, scratch_dir(t.spark, "published"))
 
 
+@query
+def publish_guards(t: Tables) -> DataFrame:
+    """What each guard of a publication refuses, and what readers see afterwards."""
+    target = scratch_dir(t.spark, "guarded")
+    orders, customers = t.raw("orders"), t.raw("customer")
+    urgent = orders.where("o_orderpriority = '1-URGENT'")
+    seen = []
+
+    def attempt(name: str, tables: dict[str, DataFrame], **options) -> None:
+        try:
+            publish.publish(t.spark, tables, target, **options)
+            refused = False
+        except PublishError:
+            refused = True
+        now = publish.current(t.spark, target)
+        seen.append((len(seen) + 1, name, refused, *(now[n].rows if n in now else 0 for n in ("orders", "customer"))))
+
+    def rival() -> None:
+        publish.publish(t.spark, {"customer": customers}, target, replace=True)
+
+    attempt("first", {"orders": orders})
+    attempt("filled", {"orders": urgent})
+    attempt("other columns", {"orders": orders.select(*reversed(orders.columns))}, replace=True)
+    attempt("unknown table", {"customer": customers})
+    attempt("wrong rows", {"orders": urgent}, replace=True, expected_rows={"orders": -1})
+    attempt("new table", {"customer": customers.where("c_acctbal > 0")}, expected_columns={"customer": customers.columns})
+    attempt("overtaken", {"orders": urgent}, replace=True, recheck=rival)
+    attempt("replaced", {"orders": urgent}, replace=True)
+    return t.spark.createDataFrame(seen, "position int, attempt string, refused boolean, orders bigint, customers bigint")
+
+
 @query
 def csv_published_tables(t: Tables) -> DataFrame:
     """Figures from tables that went through CSV, inference and publication."""
