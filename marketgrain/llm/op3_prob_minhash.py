@@ -312,7 +312,10 @@ def linked(docs: DataFrame, rows: DataFrame, members: DataFrame) -> tuple[DataFr
     texts = fingerprinted(docs.select("doc_id", "text")).where("print is not null")
     # most texts are in no bucket: they stay where they are while the list of the others is small
     texts = texts.join(common.small_side(asked, 64), "print").where(F.col("doc_id").eqNullSafe(F.col("_first")))
-    sets = common.stored(shingle_sets(texts.select("print", "text")).dropDuplicates(["print"]), "shingle-sets")
+    # the shuffle also keeps this Python step and the last one in stages of their own, so a
+    # task never holds two workers
+    texts = texts.select("print", "text").dropDuplicates(["print"])
+    sets = common.stored(shingle_sets(texts), "shingle-sets")
     links = common.stored(verified(sets, tested), "links")
     for _ in range(ROUNDS if large.limit(1).count() else 0):
         both = links.select(F.col("a").alias("print")).unionAll(links.select(F.col("b").alias("print")))

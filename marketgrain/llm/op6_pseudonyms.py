@@ -333,7 +333,7 @@ def pseudonymised(docs: DataFrame, key: bytes | None = None) -> DataFrame:
             )
 
     schema = f"doc_id {kind}, text string, n_found int, found array<struct<kind:string,start:int,length:int>>"
-    return docs.select("doc_id", "text").mapInArrow(work, schema)
+    return docs.select("doc_id", "text").mapInArrow(ta.freed(work), schema)
 
 
 def with_pseudonyms(docs: DataFrame, key: bytes | None = None) -> DataFrame:
@@ -353,7 +353,7 @@ def with_pseudonyms(docs: DataFrame, key: bytes | None = None) -> DataFrame:
                 columns["n_chars"] = pa.array([len(t) if f and n is not None else n for n, t, f in sizes], columns["n_chars"].type)
             yield pa.record_batch([columns[n] for n in names], names=names)
 
-    return docs.mapInArrow(work, docs.schema)
+    return docs.mapInArrow(ta.freed(work), docs.schema)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
