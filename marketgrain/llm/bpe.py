@@ -17,7 +17,8 @@ import regex
 from marketgrain.llm import textarrays as ta
 
 OTHER, LETTER, DIGIT, WHITE = 0, 1, 2, 3
-REMEMBERED = 300_000  # about 60 MB a worker
+REMEMBERED = 2_000_000  # about 400 MB a worker
+FEW = 300_000  # about 60 MB, for a stage among others
 _state: dict = {}
 
 
@@ -121,11 +122,11 @@ class Remembered:
 
     Words repeat across slices and tasks, so each is worked out about once per
     worker. Older ones are held in sorted hash arrays, the latest in a dict. The
-    memory is bounded: past ``REMEMBERED`` entries it starts anew.
+    memory is bounded: past ``limit`` entries it starts anew.
     """
 
-    def __init__(self, work):
-        self.work = work  # list of texts -> (flat values, lengths)
+    def __init__(self, work, limit: int = REMEMBERED):
+        self.work, self.limit = work, limit  # work: list of texts -> (flat values, lengths)
         self.clear()
 
     def clear(self) -> None:
@@ -148,7 +149,7 @@ class Remembered:
 
     def runs(self, hashes: np.ndarray, text_of) -> np.ndarray:
         """Places of the given distinct hashes; ``text_of`` gives texts for indices."""
-        if self.count > REMEMBERED:
+        if self.count > self.limit:
             self.clear()
         if len(self.latest) > max(100_000, self.count >> 3):
             self.settle()
@@ -221,10 +222,10 @@ def placed(column, special: dict[str, int], remembered: Remembered):
 class Encoder:
     """Ids as the tokenizers library gives them without added special tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         self.rules = rules(path)
         self.model = self.rules.library.model
-        self.remembered = Remembered(self.work)
+        self.remembered = Remembered(self.work, remembered)
 
     def work(self, texts: list[str]):
         signs, tokenize = self.rules.signs, self.model.tokenize
@@ -305,11 +306,12 @@ class RankMerger:
         return np.bincount(row, weights=per_part, minlength=n).astype(np.int64) if len(row) else np.zeros(n, np.int64)
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """This worker's encoder, kept between tasks."""
-    if ("encoder", path) not in _state:
-        _state["encoder", path] = Encoder(path)
-    return _state["encoder", path]
+    key = ("encoder", path, remembered)
+    if key not in _state:
+        _state[key] = Encoder(path, remembered)
+    return _state[key]
 
 
 def merger(path: str) -> RankMerger:
@@ -318,8 +320,8 @@ def merger(path: str) -> RankMerger:
     return _state["merger", path]
 
 
-def encoded(batches: Iterator, path: str) -> Iterator[tuple]:
+def encoded(batches: Iterator, path: str, remembered: int = REMEMBERED) -> Iterator[tuple]:
     """(batch, ids, offsets) for slices of record batches with a text column."""
-    own = encoder(path)
+    own = encoder(path, remembered)
     for batch in ta.slices(batches):
         yield batch, *own.encode(batch.column(batch.schema.get_field_index("text")))

@@ -207,7 +207,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, ids, offsets in bpe.encoded(batches, vocabulary):
+        for batch, ids, offsets in bpe.encoded(batches, vocabulary, bpe.FEW):
             ids = np.insert(ids, offsets[1:], np.uint32(end_id)).astype("<u4")
             ends = offsets[1:] + np.arange(1, len(offsets))
             lengths = np.diff(offsets) + 1
