@@ -29,14 +29,18 @@ def value_counts(frame: DataFrame, value: str) -> DataFrame:
     return materialized(counts.orderBy("value"), "values")
 
 
+def range_number() -> Column:
+    """Which of the stored ranges of ``value_counts`` a row is in, in their order."""
+    return F.regexp_extract(F.col("_metadata.file_name"), r"\Apart-([0-9]+)", 1).cast("bigint")
+
+
 def quantiles(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     """One row ``q0, q1, …`` from ``value_counts``, linearly interpolated.
 
     The position of probability p among n rows is p·(n−1), counted from zero;
     its two neighbours are order statistics found by cumulative row counts.
     """
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"\Apart-([0-9]+)", 1).cast("bigint")
-    placed = counts.select("value", "rows", part.alias("part"))
+    placed = counts.select("value", "rows", range_number().alias("part"))
     ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ranges = placed.groupBy("part").agg(F.sum("rows").alias("range_rows"))
     offsets = ranges.select(

@@ -126,6 +126,13 @@ ORACLES["id_gaps"] = " union all ".join(
     for table, key in {"orders": "o_orderkey", "lineitem": "l_partkey", "labels": "doc_id"}.items()
 )
 
+ORACLES["id_gap_ranges"] = " union all ".join(
+    f"select below + 1 as first, {key} - 1 as last, {key} - below - 1 as missing, '{table}' as table_name "
+    f"from (select {key}, lag({key}) over (order by {key}) as below from {table} where {key} is not null) "
+    f"where {key} - below > 1"
+    for table, key in {"orders": "o_orderkey", "lineitem": "l_partkey", "labels": "doc_id"}.items()
+)
+
 
 def _tukey(table: str, column: str) -> str:
     return f"""
@@ -989,6 +996,44 @@ ORACLES["csv_load_reconcile"] = " union all ".join(
     for t in ["orders", "lineitem", "customer", "documents"]
 )
 
+# Columns of the drop whose values are no plain text, by the form they are hashed in.
+FORMS = {
+    "o_totalprice": 2, "o_orderdate": "moment", "l_quantity": 2, "l_extendedprice": 2, "l_discount": 2,
+    "l_tax": 2, "l_shipdate": "moment", "c_acctbal": 2,
+}
+
+
+def _digests(table: str) -> str:
+    def form(column: str) -> str:
+        kind = FORMS.get(column)
+        if kind == "moment":
+            return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')"
+        if kind is None:
+            return f"cast({column} as varchar)"
+        return f"regexp_replace(cast(cast({column} as decimal(18,{kind})) as varchar), '[.]?0+$', '')"
+
+    columns = COLUMNS[table].split()
+    hashed = ", ".join(f"md5(coalesce('=' || {form(c)}, '')) as {c}" for c in columns)
+    number = "cast(coalesce(sum(cast('0x' || substr({}, 1, 15) as bigint)), 0) as varchar)"
+    sums = [number.format(c) for c in columns] + [number.format(f"md5(concat({', '.join(columns)}))")]
+    return " union all ".join(
+        f"select '{table}' as table_name, '{name}' as column_name, {total} as source_digest, "
+        f"{total} as loaded_digest, true as reconciled from (select {hashed} from {table})"
+        for name, total in zip([*columns, "*"], sums)
+    )
+
+
+ORACLES["csv_content_reconcile"] = " union all ".join(
+    _digests(t) for t in ["orders", "lineitem", "customer", "documents"]
+)
+
+ORACLES["bad_records"] = """
+select 'orders' as table_name, o_orderkey, found, 4 as expected, column_name, expected_type
+from orders join (values
+  (0, 3, null, null), (1, 5, null, null), (3, 4, 'o_totalprice', 'decimal(18,2)'),
+  (4, 4, 'o_totalprice', 'decimal(18,2)'), (4, 4, 'o_orderdate', 'date'), (6, 4, 'o_orderdate', 'date')
+) as f(fault, found, column_name, expected_type) on o_orderkey % 50 = fault"""
+
 ORACLES["csv_published_tables"] = f"""
 select c_mktsegment, count(*) as orders, {amount(f'sum({TOTAL})')} as revenue,
        strftime(max(o_orderdate), '%Y-%m-%d') as latest

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ from marketgrain.plans import (
     weekdays,
 )
 from marketgrain.session import scratch_dir
-from marketgrain.sources import csv_files, inference, publish, sinks
+from marketgrain.sources import contents, csv_files, inference, publish, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -108,6 +108,17 @@ def id_gaps(t: Tables) -> DataFrame:
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
+@query
+def id_gap_ranges(t: Tables) -> DataFrame:
+    """The unused numbers themselves, as runs."""
+    parts = {"orders": "o_orderkey", "lineitem": "l_partkey", "labels": "doc_id"}
+    frames = [
+        profile.id_gap_ranges(t.raw(name), key).withColumn("table_name", F.lit(name))
+        for name, key in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def _rounded(frame: DataFrame, columns: list[str], digits: int) -> DataFrame:
     return frame.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -1082,6 +1093,70 @@ def csv_load_reconcile(t: Tables) -> DataFrame:
     return publish.load_folder(t.spark, folder, scratch_dir(t.spark, "published"))
 
 
+@query
+def csv_content_reconcile(t: Tables) -> DataFrame:
+    """The same drop by its values: sums of hashes per column and of whole records, from
+    the text of the drop and from the published tables."""
+    names = ["orders", "lineitem", "customer", "documents"]
+    folder, target = _csv_drop(t, names), scratch_dir(t.spark, "published")
+    tables = csv_files.inspect(t.spark, folder)
+    publish.load_tables(t.spark, folder, tables, target)
+    found = [
+        contents.compare(
+            csv_files.read_text(t.spark, table),
+            publish.open_table(t.spark, target, table.name),
+            table.schema,
+        ).withColumn("table_name", F.lit(table.name))
+        for table in tables
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def bad_records(t: Tables) -> DataFrame:
+    """Places of records that do not fit, in a drop with faults that depend on the key.
+
+    Files hold the keys in order, so that the number of a record leads back to its key."""
+    folder = scratch_dir(t.spark, "faulty")
+    fault = F.pmod("o_orderkey", F.lit(50))
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    fields = [
+        F.col("o_orderkey").cast("string"),
+        F.when(fault == 2, F.lit('"1, ""urgent"""')).otherwise(F.col("o_orderpriority")),
+        F.when(fault.isin(3, 4), "n/a").when(fault == 5, "").otherwise(price),
+        F.when(fault == 0, F.lit(None)).when(fault.isin(4, 6), " 1995-01-01").otherwise(day),
+        F.when(fault == 1, "more"),
+    ]
+    header = "o_orderkey,o_orderpriority,o_totalprice,o_orderdate"
+    (
+        t.raw("orders")
+        .repartitionByRange("o_orderkey")
+        .sortWithinPartitions("o_orderkey")
+        .select(F.concat_ws(",", *fields).alias(header))
+        # lines as they are: neither the separator nor the quote occurs in them
+        .write.options(header=True, sep="\u0001", quote="\u0002", ignoreLeadingWhiteSpace=False)
+        .csv(f"{folder}/orders.csv")
+    )
+    declared = T.StructType.fromDDL(
+        "o_orderkey bigint, o_orderpriority string, o_totalprice decimal(18,2), o_orderdate date"
+    )
+    (table,) = csv_files.examine(t.spark, folder)
+    in_order = Window.partitionBy("file").orderBy("o_orderkey")
+    keys = (
+        t.spark.read.text(f"{folder}/orders.csv")
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.split_part("value", F.lit(","), F.lit(1)).try_cast("bigint").alias("o_orderkey"),
+        )
+        .where(F.col("o_orderkey").isNotNull())
+        .select("file", "o_orderkey", (F.row_number().over(in_order) + 1).alias("record"))
+    )
+    return csv_files.bad_records(t.spark, table, declared).join(keys, ["file", "record"], "left").select(
+        "table_name", "o_orderkey", "found", "expected", "column_name", "expected_type"
+    )
+
+
 @query
 def publish_guards(t: Tables) -> DataFrame:
     """What each guard of a publication refuses, and what readers see afterwards."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from marketgrain.functions.columns import literal_column
 from marketgrain.functions.money import CENT, display, mean, percent
@@ -121,6 +122,34 @@ def id_gaps(frame: DataFrame, key: str) -> DataFrame:
     ).select("*", (F.col("largest") - F.col("smallest") + 1 - F.col("distinct_keys")).alias("gaps"))
 
 
+def id_gap_ranges(frame: DataFrame, key: str) -> DataFrame:
+    """Runs of unused whole numbers between two keys: (first, last, missing).
+
+    The distinct keys are stored in ranges. Neighbours are found inside each range, and
+    at the borders from the ends of the ranges, one row per range; no window sees
+    more than one range or the list of their ends. Nulls and repeats don't count.
+    """
+    keys = q.value_counts(frame.select(F.col(key).cast("bigint").alias("key")), "key")
+    placed = keys.select("value", q.range_number().alias("part"))
+    ends = placed.groupBy("part").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+
+    def steps(rows: DataFrame, over: WindowSpec, upper: str, lower: str) -> DataFrame:
+        return rows.select(F.lag(upper).over(over).alias("below"), F.col(lower).alias("above"))
+
+    inside = steps(placed, Window.partitionBy("part").orderBy("value"), "value", "value")
+    across = steps(ends, Window.orderBy("part"), "high", "low")
+    below, above = F.col("below"), F.col("above")
+    return (
+        inside.unionByName(across)
+        .where(above - 1 > below)
+        .select(
+            (below + 1).alias("first"),
+            (above - 1).alias("last"),
+            (above - below - 1).alias("missing"),
+        )
+    )
+
+
 def tukey(
     frame: DataFrame, amount: str, factor: float = 1.5, *, accuracy: int | None = None
 ) -> DataFrame:

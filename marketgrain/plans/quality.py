@@ -9,10 +9,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketgrain.errors import AnalyticsError
 from marketgrain.functions.money import CENT, percent
-from marketgrain.operators.joins import orphans
 from marketgrain.plans.profile import duplicates
 
 
@@ -31,34 +31,94 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def key_report(keyed: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Null and repeated keys per table, from one pass over each key column."""
-    rows = []
-    for name, (frame, key) in keyed.items():
-        present = F.col("key").isNotNull()
-        counted = frame.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
-        total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
-        rows.append(
-            counted.agg(
-                total(F.when(~present, F.col("rows"))).alias("null_keys"),
-                total(F.when(present, F.col("rows") - 1)).alias("extra_rows"),
-            ).select(F.lit(name).alias("table_name"), "null_keys", "extra_rows")
+def _shared_text(column: str, own: T.DataType, other: T.DataType) -> Column:
+    """A key as text, in the form of the other side's type where they differ."""
+    value = F.col(column).cast("string")
+    if own == other or (isinstance(own, T.IntegralType) and isinstance(other, T.IntegralType)):
+        return value
+    return F.coalesce(F.col(column).try_cast(other).cast("string"), value)
+
+
+def key_facts(keyed: Mapping[str, tuple[DataFrame, str]], edges: Sequence[Edge]) -> DataFrame:
+    """A row per checked key and per edge: (kind, name, null_keys, extra_rows,
+    orphan_values, orphan_rows), from a single scan of each table.
+
+    A table gives one entry for each of its keys and references in the row. Entries are
+    counted in the tasks, so a hot reference costs one row a task, and meet in a single
+    shuffle by (check, key), where an edge's references find the keys of its parent.
+    A null reference counts as an orphan. A table without rows gives zeros.
+    """
+    scans: list[tuple[DataFrame, list[Column]]] = []
+    texts: list[Column] = []
+
+    def add(frame: DataFrame, number: int, key: Column, owns: bool) -> None:
+        known = next(
+            (e for f, e in scans if f.columns == frame.columns and f.sameSemantics(frame)), None
+        )
+        if known is None:
+            known = []
+            scans.append((frame, known))
+        known.append(
+            F.struct(
+                F.lit(number).cast("smallint").alias("number"),
+                key.alias("key"),
+                F.lit(owns).alias("owns"),
+            )
         )
-    return _union(rows)
+
+    types = [f.schema[k].dataType for f, k in keyed.values()]
+    types += [e.child.schema[e.child_key].dataType for e in edges]
+    types += [e.parent.schema[e.parent_key].dataType for e in edges]
+    whole = all(isinstance(t, T.IntegralType) for t in types)
+    checks = [("key", name) for name in keyed] + [("edge", e.name) for e in edges]
+    for number, (frame, key) in enumerate(keyed.values()):
+        add(frame, number, F.col(key).cast("bigint" if whole else "string"), True)
+    for number, e in enumerate(edges, len(keyed)):
+        child, parent = (
+            e.child.schema[e.child_key].dataType,
+            e.parent.schema[e.parent_key].dataType,
+        )
+        if whole:
+            reference = F.col(e.child_key).cast("bigint")
+            owned = F.col(e.parent_key).cast("bigint")
+        else:
+            reference = _shared_text(e.child_key, child, parent)
+            owned = F.col(e.parent_key).cast("string")
+        add(e.child, number, reference, False)
+        add(e.parent, number, owned, True)
+    entries = _union([frame.select(F.inline(F.array(*found))) for frame, found in scans])
+    by_key = entries.groupBy("number", "key").agg(
+        F.count_if("owns").alias("owners"), F.count_if(~F.col("owns")).alias("references")
+    )
+    absent = F.col("key").isNull()
+    dangling = (F.col("references") > 0) & (absent | (F.col("owners") == 0))
+    facts = by_key.groupBy("number").agg(
+        F.sum(F.when(absent, F.col("owners"))).alias("null_keys"),
+        F.sum(F.when(~absent & (F.col("owners") > 0), F.col("owners") - 1)).alias("extra_rows"),
+        F.count_if(dangling).alias("orphan_values"),
+        F.sum(F.when(dangling, F.col("references"))).alias("orphan_rows"),
+    )
+    named = entries.sparkSession.createDataFrame(
+        [(number, *check) for number, check in enumerate(checks)],
+        "number smallint, kind string, name string",
+    )
+    counts = ("null_keys", "extra_rows", "orphan_values", "orphan_rows")
+    return named.join(facts, "number", "left").select(
+        "kind", "name", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts]
+    )
+
+
+def key_report(keyed: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Null and repeated keys per table."""
+    return key_facts(keyed, []).select(
+        F.col("name").alias("table_name"), "null_keys", "extra_rows"
+    )
 
 
 def orphan_report(edges: Sequence[Edge]) -> DataFrame:
     """Dangling references per edge: distinct values and child rows."""
-    return _union(
-        [
-            orphans(e.child, e.child_key, e.parent, e.parent_key)
-            .agg(
-                F.count(F.lit(1)).alias("orphan_values"),
-                F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("orphan_rows"),
-            )
-            .select(F.lit(e.name).alias("edge"), "orphan_values", "orphan_rows")
-            for e in edges
-        ]
+    return key_facts({}, edges).select(
+        F.col("name").alias("edge"), "orphan_values", "orphan_rows"
     )
 
 
@@ -116,14 +176,24 @@ def quality_checks(
             )
         )
     )
+    # Keys and references of all tables meet in one shuffle.
+    unkeyed = F.when(F.col("kind") == "key", F.col("null_keys") + F.col("extra_rows"))
+    dangling = F.when(F.col("kind") == "edge", F.col("orphan_rows"))
+    reference_checks = (
+        key_facts(keyed, edges)
+        .agg(F.sum(unkeyed).alias("unkeyed"), F.sum(dangling).alias("dangling"))
+        .select(
+            F.inline(
+                F.array(
+                    F.struct(*check("primary_keys", F.col("unkeyed"), "fail")),
+                    F.struct(*check("foreign_keys", F.col("dangling"), "fail")),
+                )
+            )
+        )
+    )
     rows = [
         source_checks,
-        key_report(keyed)
-        .agg(F.sum(F.col("null_keys") + F.col("extra_rows")).alias("value"))
-        .select(*check("primary_keys", F.col("value"), "fail")),
-        orphan_report(edges)
-        .agg(F.sum("orphan_rows").alias("value"))
-        .select(*check("foreign_keys", F.col("value"), "fail")),
+        reference_checks,
         order_checks,
         privacy_findings.agg(one.alias("value")).select(*check("privacy", F.col("value"), "fail")),
     ]
