@@ -1034,6 +1034,42 @@ from orders join (values
   (4, 4, 'o_totalprice', 'decimal(18,2)'), (4, 4, 'o_orderdate', 'date'), (6, 4, 'o_orderdate', 'date')
 ) as f(fault, found, column_name, expected_type) on o_orderkey % 50 = fault"""
 
+ORACLES["intake_guards"] = """
+select cast(position as integer) as position, attempt, refused,
+       case when refused or attempt = 'header only' then 0 else n end as rows,
+       cast(untyped as integer) as untyped
+from (select count(*) as n from customer), (values
+  (1, 'sound', false, 1), (2, 'blank name', true, 0), (3, 'control character', true, 0),
+  (4, '63 bytes', false, 1), (5, '64 bytes', true, 0), (6, 'repeated name', true, 0), (7, 'accents', false, 1),
+  (8, 'broken UTF-8', true, 0), (9, 'header only', false, 4), (10, 'narrow records', true, 0),
+  (11, 'wide records', true, 0), (12, 'open quote', true, 0), (13, 'codes by name', false, 3),
+  (14, 'leading zeros', false, 2), (15, 'changed meanwhile', true, 0)
+) as v(position, attempt, refused, untyped)"""
+
+ORACLES["code_columns"] = """
+select cast(position as integer) as position, column_name, type_name, n as non_empty
+from (select count(*) as n from customer), (values
+  (1, 'c_custkey', 'INTEGER'), (2, 'Customer_CODE', 'TEXT'), (3, 'barcode', 'INTEGER'), (4, 'Phone', 'TEXT'),
+  (5, 'phones', 'INTEGER'), (6, 'nation_ref', 'TEXT'), (7, 'padded', 'TEXT'), (8, 'signed', 'TEXT'),
+  (9, 'fraction', 'NUMERIC')
+) as v(position, column_name, type_name)"""
+
+ORACLES["emitted_schema"] = """
+select cast(position as integer) as position,
+       'CREATE TABLE ' || name || ' (' || chr(10) || '  ' || replace(columns, ', ', ',' || chr(10) || '  ')
+       || chr(10) || ') USING PARQUET;' as ddl
+from (values
+  (1, '`odd ``names```', '`a``b` INT, `c d` INT'),
+  (2, '`orders`', '`o_orderkey` INT, `o_orderstatus` STRING, `o_orderdate` TIMESTAMP_NTZ'),
+  (3, '`region`', '`r_regionkey` INT, `r_name` STRING')
+) as v(position, name, columns)"""
+
+ORACLES["strict_moments"] = """
+select o_orderkey, case o_orderkey % 8 when 1 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '.500'
+         when 7 then strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00.000' end as moment,
+       case when o_orderkey % 8 not in (1, 7) then 'shown' end as rejected_column
+from orders"""
+
 ORACLES["csv_published_tables"] = f"""
 select c_mktsegment, count(*) as orders, {amount(f'sum({TOTAL})')} as revenue,
        strftime(max(o_orderdate), '%Y-%m-%d') as latest

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketgrain.errors import PublishError
+from marketgrain.errors import IngestError, PublishError
 from marketgrain.functions import cleaning, labels, money, typing_rules
 from marketgrain.operators import calendar, joins
 from marketgrain.operators.summary import materialized
@@ -39,7 +39,7 @@ from marketgrain.plans import (
     weekdays,
 )
 from marketgrain.session import scratch_dir
-from marketgrain.sources import contents, csv_files, inference, publish, sinks
+from marketgrain.sources import contents, csv_files, inference, publish, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -1093,6 +1093,114 @@ def csv_load_reconcile(t: Tables) -> DataFrame:
     return publish.load_folder(t.spark, folder, scratch_dir(t.spark, "published"))
 
 
+def _write_lines(
+    frame: DataFrame, header: str, fields: list, path: str, encoding: str = "UTF-8"
+) -> None:
+    """Lines as they are: neither the separator nor the quote of the writer occurs."""
+    (
+        frame.select(F.concat_ws(",", *fields).alias(header))
+        .write.mode("append")
+        .options(header=True, sep="\u0001", quote="\u0002", encoding=encoding)
+        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(path)
+    )
+
+
+@query
+def intake_guards(t: Tables) -> DataFrame:
+    """What the intake refuses of drops made from the customers, and how many records and
+    columns without a type it finds in the others."""
+    customers, names = t.raw("customer"), ["c_custkey", "c_name", "c_nationkey", "c_acctbal"]
+    fields = [F.col(c).cast("string") for c in names]
+    seen = []
+
+    def attempt(name: str, header: list[str], *, values=fields, frame=customers, later=None, **options) -> None:
+        folder = scratch_dir(t.spark, "intake")
+        write = lambda: _write_lines(frame, ",".join(header), values, f"{folder}/t.csv", **options)
+        write()
+        refused, rows, untyped = False, 0, 0
+        try:
+            (table,) = tables = csv_files.inspect(t.spark, folder)
+            if later:
+                write()
+            csv_files.unchanged(t.spark, folder, tables)
+            rows = table.rows
+            untyped = sum(isinstance(f.dataType, T.StringType) for f in table.schema)
+        except IngestError:
+            refused = True
+        seen.append((len(seen) + 1, name, refused, rows, untyped))
+
+    def renamed(name: str) -> list[str]:
+        return [names[0], name, *names[2:]]
+
+    longest = "é" * 31 + "e"
+    accented = [fields[0], F.lit("é"), *fields[2:]]
+    attempt("sound", names)
+    attempt("blank name", renamed(" "))
+    attempt("control character", renamed("c\u0003name"))
+    attempt("63 bytes", renamed(longest))
+    attempt("64 bytes", renamed(longest + "e"))
+    attempt("repeated name", renamed(names[0]))
+    attempt("accents", names, values=accented)
+    attempt("broken UTF-8", names, values=accented, encoding="ISO-8859-1")
+    attempt("header only", names, frame=customers.where("c_custkey < 0"))
+    attempt("narrow records", names, values=fields[:3])
+    attempt("wide records", names, values=[*fields, F.lit("")])
+    opened = F.when(F.col("c_custkey") == 1, '"').otherwise(fields[1])
+    attempt("open quote", names, values=[fields[0], opened, *fields[2:]])
+    attempt("codes by name", ["tax_id", "c_name", "Nation_KEY", "c_acctbal"])
+    attempt("leading zeros", names, values=[F.concat(F.lit("-0"), fields[0]), *fields[1:]])
+    attempt("changed meanwhile", names, later=True)
+    return t.spark.createDataFrame(seen, "position int, attempt string, refused boolean, rows bigint, untyped int")
+
+
+@query
+def code_columns(t: Tables) -> DataFrame:
+    """Types of columns that are codes by name, by an own list or by leading zeros."""
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    shown = t.raw("customer").select(
+        key.alias("c_custkey"),
+        key.alias("Customer_CODE"),
+        key.alias("barcode"),
+        nation.alias("Phone"),
+        nation.alias("phones"),
+        nation.alias("nation_ref"),
+        F.lpad(key, 19, "0").alias("padded"),
+        F.concat(F.lit("+0"), key).alias("signed"),
+        F.concat(F.lit("0."), key).alias("fraction"),
+    )
+    found = inference.profile(shown, "customer", ["nation_ref"], is_scan=True)
+    return found.select("position", "column_name", "type_name", "non_empty")
+
+
+@query
+def emitted_schema(t: Tables) -> DataFrame:
+    """The text of the schema that a drop leads to."""
+    folder = scratch_dir(t.spark, "schema")
+    parts = {
+        "region": t.raw("region").select("r_regionkey", "r_name"),
+        "orders": t.raw("orders").select("o_orderkey", "o_orderstatus", "o_orderdate"),
+        "odd `names`": t.raw("labels").select(F.col("doc_id").alias("a`b"), F.col("toxic").alias("c d")),
+    }
+    for name, frame in parts.items():
+        frame.write.option("header", True).csv(f"{folder}/{name}.csv")
+    found = csv_files.schemas(csv_files.inspect(t.spark, folder))
+    texts = inference.all_ddl(found).rstrip("\n").split("\n\n")
+    return t.spark.createDataFrame(list(enumerate(texts, 1)), "position int, ddl string")
+
+
+@query
+def strict_moments(t: Tables) -> DataFrame:
+    """Texts that are moments without a zone, and the keys of the others."""
+    good, rejected = tables.quarantine_moments(_altered(t), "shown", ["o_orderkey"])
+    read = good.select(
+        "o_orderkey",
+        F.date_format("shown", "yyyy-MM-dd HH:mm:ss.SSS").alias("moment"),
+        F.lit(None).cast("string").alias("rejected_column"),
+    )
+    return read.unionByName(rejected, allowMissingColumns=True)
+
+
 @query
 def csv_content_reconcile(t: Tables) -> DataFrame:
     """The same drop by its values: sums of hashes per column and of whole records, from
@@ -1129,15 +1237,8 @@ def bad_records(t: Tables) -> DataFrame:
         F.when(fault == 1, "more"),
     ]
     header = "o_orderkey,o_orderpriority,o_totalprice,o_orderdate"
-    (
-        t.raw("orders")
-        .repartitionByRange("o_orderkey")
-        .sortWithinPartitions("o_orderkey")
-        .select(F.concat_ws(",", *fields).alias(header))
-        # lines as they are: neither the separator nor the quote occurs in them
-        .write.options(header=True, sep="\u0001", quote="\u0002", ignoreLeadingWhiteSpace=False)
-        .csv(f"{folder}/orders.csv")
-    )
+    ordered = t.raw("orders").repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+    _write_lines(ordered, header, fields, f"{folder}/orders.csv")
     declared = T.StructType.fromDDL(
         "o_orderkey bigint, o_orderpriority string, o_totalprice decimal(18,2), o_orderdate date"
     )

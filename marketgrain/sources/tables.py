@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketgrain.errors import IngestError
+from marketgrain.sources import inference
 from marketgrain.functions.money import MONEY
 
 # The type each role column is brought to; columns not listed keep their own.
@@ -65,23 +66,29 @@ def require_sources(available: Iterable[str], required: Iterable[str]) -> None:
 
 
 def strict_moment(text: Column, pattern: str | None = None) -> Column:
-    """Parse a timestamp without a zone; unparsable text stops the query."""
-    if pattern is None:
-        return F.to_timestamp_ntz(text)
-    return F.to_timestamp_ntz(text, F.lit(pattern))
+    """Parse a timestamp without a zone; unparsable text stops the query.
+
+    Without a pattern the text must have one of the shapes that inference takes for a
+    day or a moment: a cast alone would accept blanks around it and partial dates. The
+    error has the name of the built-in one, but not the text."""
+    if pattern is not None:
+        return F.to_timestamp_ntz(text, F.lit(pattern))
+    kind = T.TimestampNTZType()
+    stopped = F.raise_error(F.lit("[CANNOT_PARSE_TIMESTAMP] a text is no timestamp")).cast(kind)
+    return F.when(inference.misfit(text, kind), stopped).otherwise(inference.as_type(text, kind))
 
 
 def quarantine_moments(
     frame: DataFrame, column: str, keys: Iterable[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Split rows by whether a text column is a timestamp.
+    """Split rows by whether a text column is a timestamp, by the same rule.
 
     The rejected side carries the row keys and the failing column only, never
     the rejected value.
     """
-    parsed = F.try_to_timestamp(F.col(column)).cast("timestamp_ntz")
-    bad = F.col(column).isNotNull() & parsed.isNull()
-    good = frame.where(~bad).withColumn(column, parsed)
+    kind = T.TimestampNTZType()
+    bad = inference.misfit(F.col(column), kind)
+    good = frame.where(~bad).withColumn(column, inference.as_type(F.col(column), kind))
     rejected = frame.where(bad).select(*keys, F.lit(column).alias("rejected_column"))
     return good, rejected
 

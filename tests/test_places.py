@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from marketgrain.errors import IngestError, PublishError
 from marketgrain.plans import profile, quality
-from marketgrain.sources import contents, csv_files, publish
+from marketgrain.sources import contents, csv_files, publish, tables
 from tests.conftest import rows
 
 DECLARED = (
@@ -222,6 +222,17 @@ def test_all_keys_and_references_take_one_scan_a_table_and_one_shuffle(spark, tm
     assert len(re.findall(r"Exchange hashpartitioning\(number#\d+, key#\d+", final)) == 1
 
 
+@pytest.mark.parametrize("text", [" 2024-01-02", "2024-01", "2024-01-02 10:00:00Z", "", "2024-02-30"])
+def test_texts_a_cast_would_take_are_no_strict_moments(spark, text):
+    df = spark.createDataFrame([(1, text), (2, "2024-01-02T03:04:05,5"), (3, None)], "id int, at string")
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
+        df.select(tables.strict_moment(df["at"])).collect()
+    good, rejected = tables.quarantine_moments(df, "at", ["id"])
+    shown = good.select("id", F.col("at").cast("string"))
+    assert sorted(rows(shown)) == [(2, "2024-01-02 03:04:05.5"), (3, None)]
+    assert rows(rejected) == [(1, "at")]
+
+
 def test_a_hot_reference_costs_one_row_a_task(spark):
     child = spark.range(0, 30_000, 1, 4).selectExpr("if(id % 3 = 0, 1, id) as k")
     parent = spark.range(30_000).selectExpr("id as k").where("k != 1")
