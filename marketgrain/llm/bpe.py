@@ -7,6 +7,7 @@ has not met yet in this worker; ``RankMerger`` counts symbols without it.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -19,6 +20,7 @@ from marketgrain.llm import textarrays as ta
 OTHER, LETTER, DIGIT, WHITE = 0, 1, 2, 3
 REMEMBERED = 2_000_000  # about 400 MB a worker
 FEW = 300_000  # about 60 MB, for a stage among others
+LONG = 512  # bytes of a pre-token from which pairs are kept by rank
 _state: dict = {}
 
 
@@ -101,6 +103,7 @@ class Rules:
         made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.rank, self.made = keys[order], order.astype(np.int64), made[order]
+        self.pair, self.merged = keys, made  # by rank
         self.library = Tokenizer.from_file(path)
 
 
@@ -257,9 +260,92 @@ class RankMerger:
     def work(self, texts: list[str]):
         raw = [t.encode() for t in texts]
         lengths = np.array([len(r) for r in raw], dtype=np.int64)
-        counts = self.merge(np.frombuffer(b"".join(raw), np.uint8), lengths)
+        long = lengths > LONG
+        counts = lengths.copy()
+        for merge, chosen in ((self.merge, np.flatnonzero(~long)), (self.merge_long, np.flatnonzero(long))):
+            if len(chosen):
+                counts[chosen] = merge(np.frombuffer(b"".join(raw[i] for i in chosen.tolist()), np.uint8), lengths[chosen])
         return counts.astype(np.uint32), np.ones(len(texts), dtype=np.int64)
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols, -1 for a pair that is not in the vocabulary."""
+        r = self.rules
+        key = left * r.size + right
+        at = np.minimum(np.searchsorted(r.keys, key), len(r.keys) - 1)
+        return np.where(r.keys[at] == key, r.rank[at], -1)
+
+    def merge_long(self, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """``merge`` for long sequences: the ranks are gone through once, in order,
+        for all sequences together, and a step touches only the pairs of its rank.
+
+        Symbols are linked to the next one in their sequence. Pairs wait with their
+        rank; those of the ranks just ahead stand in lists by rank, the others in one
+        heap of arrays that is opened a sixteenth at a time. A pair that has changed
+        since is passed over. A merge may make a pair of a lower rank only in a file
+        whose merges come before their parts; such a pair is next.
+        """
+        r, n = self.rules, len(data)
+        symbol = np.append(r.byte_id[data], -1)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)  # n: no symbol
+        ends = np.cumsum(lengths)
+        after[ends - 1] = n
+        before[ends - lengths] = n
+        live = np.append(np.ones(n, dtype=bool), False)
+        lists: dict[int, list[np.ndarray]] = {}
+        ahead: list[int] = []
+        border = 0  # ranks below it are in the lists
+
+        def wait(at: np.ndarray) -> None:
+            at = at[after[at] < n]
+            rank = self.ranks(symbol[at], symbol[after[at]])
+            known = rank >= 0
+            rank, at = rank[known], at[known]
+            near = rank < border
+            if near.any():
+                enlist(rank[near], at[near])
+            if not near.all():
+                later.append((rank[~near], at[~near]))
+
+        def enlist(rank: np.ndarray, at: np.ndarray) -> None:
+            order = np.argsort(rank, kind="stable")
+            rank, at = rank[order], at[order]
+            cuts = np.flatnonzero(rank[1:] != rank[:-1]) + 1
+            for x, some in zip(rank[np.append(0, cuts)].tolist(), np.split(at, cuts), strict=True):
+                if x not in lists:
+                    heapq.heappush(ahead, x)
+                    lists[x] = []
+                lists[x].append(some)
+
+        later: list[tuple[np.ndarray, np.ndarray]] = []
+        wait(np.flatnonzero(live))
+        while ahead or later:
+            if not ahead:
+                rank, at = (np.concatenate(parts) for parts in zip(*later, strict=True))
+                later.clear()
+                border = int(np.partition(rank, len(rank) >> 4)[len(rank) >> 4]) + 1
+                near = rank < border
+                if not near.all():
+                    later.append((rank[~near], at[~near]))
+                enlist(rank[near], at[near])
+            x = heapq.heappop(ahead)
+            at = np.concatenate(lists.pop(x))
+            left, right = divmod(int(r.pair[x]), r.size)
+            at = np.unique(at[live[at] & (symbol[at] == left) & (symbol[after[at]] == right)])
+            if not len(at):
+                continue
+            if left == right:  # of a run of overlapping pairs, the 1st, 3rd, ... merge
+                index = np.arange(len(at))
+                opens = np.append(True, after[at[:-1]] != at[1:])
+                at = at[((index - np.maximum.accumulate(np.where(opens, index, 0))) & 1) == 0]
+            gone = after[at]
+            symbol[at] = r.merged[x]
+            live[gone] = False
+            after[at] = after[gone]
+            before[after[at]] = at  # what lands on n is never read
+            ahead_of = before[at]
+            wait(np.unique(np.concatenate([ahead_of[ahead_of < n], at])))
+        return np.add.reduceat(live[:n].astype(np.int64), ends - lengths)
+
     def merge(self, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Numbers of surviving symbols of ragged byte sequences.
 

@@ -38,6 +38,45 @@ def test_splitting_and_merging_equal_the_library(library):
         assert sizes[i] == len(want)
 
 
+def unbroken(n, letters, seed=5):
+    return "".join(random.Random(seed + n).choices(letters, k=n))
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def test_long_pre_tokens_equal_the_library(library):
+    import pyarrow as pa
+
+    texts = [unbroken(n, LETTERS[:k]) for n in (bpe.LONG, bpe.LONG + 1, 3000) for k in (1, 2, 3, 26)]
+    texts += ["ab" * 3000 + "a", "éàü漢字" * 500, "=" * 2001, "x " + "漢" * 900 + " y"]
+    sizes = bpe.RankMerger(PATH).count(pa.array(texts))
+    assert sizes.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_a_million_letters_in_seconds(library):
+    import time
+
+    import pyarrow as pa
+
+    text, start = unbroken(1_000_000, LETTERS), time.perf_counter()
+    sizes = bpe.RankMerger(PATH).count(pa.array([text]))
+    assert time.perf_counter() - start < 10
+    assert sizes[0] == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_long_words_go_through_files_and_packing(docs, library, spark):
+    texts = [unbroken(n, LETTERS) for n in (5_000, 50_000)]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    path = common.scratch(spark, "t")
+    repair.write_ids(docs(texts), path, PATH)
+    assert [(r["n_tokens"], r["ids_crc32"]) for r in repair.read_index(spark, path).orderBy("start").collect()] == [
+        (len(x) + 1, crc(x + [0])) for x in ids
+    ]
+    pieces = packing.cut(docs(texts), PATH).groupBy("doc_id").sum("length").collect()
+    assert sorted(tuple(r) for r in pieces) == [(i, len(x) + 1) for i, x in enumerate(ids)]
+
+
 def test_counts(odd, library):
     found = sorted((r["doc_id"] or -1, r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in counts.token_counts(odd, PATH).collect())
     want = []
