@@ -29,13 +29,17 @@ def materialized(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+SMALL_SPLITS = 16  # a source with more is never moved, however many cores there are
+
+
 def spread(frame: DataFrame) -> DataFrame:
     """Rows of a small source over all cores, ahead of work that costs more
-    than moving them. A source with splits for at least half of the cores is
-    left alone, so no large input is ever shuffled for this.
+    than moving them. A source with splits for at least half of the cores, or
+    with more than ``SMALL_SPLITS``, is left alone: at most that many splits,
+    about 2 GB at Spark's split size, are ever shuffled for this.
 
     Only for frames without a shuffle of their own: counting the partitions of
     any other frame would run it."""
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    few = frame.rdd.getNumPartitions() * 2 <= cores
-    return frame.repartition(cores) if few else frame
+    splits = frame.rdd.getNumPartitions()
+    return frame.repartition(cores) if splits <= SMALL_SPLITS and splits * 2 <= cores else frame

@@ -873,14 +873,52 @@ select concat_ws(';', secao, dimensao, periodo, metrica, valor,
   case when contains(detalhe, ';') then '"' || detalhe || '"' else detalhe end)
 from ({ORACLES["tidy_customers"]})"""
 
+ORACLES["exported_views"] = " union all ".join(
+    f"""
+select '{view}' as view, 'secao;dimensao;periodo;metrica;valor;detalhe' as line, true as is_marked
+union all
+select '{view}', concat_ws(';', secao, dimensao, periodo, metrica, valor,
+  case when contains(detalhe, ';') then '"' || detalhe || '"' else detalhe end), false
+from ({ORACLES["tidy_" + view]})"""
+    for view in ("overview", "customers", "operations", "models")
+)
+
+ORACLES["exported_monthly"] = f"with {ONE} select month, cast(units as varchar) as units, period from series"
+ORACLES["exported_items"] = f"""
+select * replace (order_id::varchar as order_id, product_id::varchar as product_id, quantity::varchar as quantity)
+from ({ORACLES["unified_items"]})"""
+
+ORACLES["insights"] = f"""
+select 1 as position, 'elite-selectivity' as id, 'attention' as tone, cast(null as varchar) as subject,
+       eligible_share_pct as value, cast(minimum_categories as double) as other
+from ({ORACLES["eligibility"]})
+union all select 2, 'elite-category', 'positive', category_id, cast(units as double), null
+from ({ORACLES["category_share"]}) where rank = 1
+union all select 3, 'weekday-pos', 'neutral', weekday, mean_sales, null
+from (select * from ({ORACLES["weekday_mean"]}) where is_lowest order by iso_weekday limit 1)
+union all select 4, 'forecast', 'attention', null, mae, shortfall from ({ORACLES["forecast_summary"]})"""
+
+ORACLES["buyers_by_scope"] = """
+select 'all' as scope, 'all' as label, count(distinct o_custkey) as customers, true as is_close from orders
+union all select 'channel', o_orderpriority, count(distinct o_custkey), true from orders group by 2
+union all select 'month', strftime(o_orderdate, '%Y-%m'), count(distinct o_custkey), true from orders group by 2"""
+
+WIDE = ", ".join(f"coalesce(max(similarity) filter (where b % 50 = {i}), 0.0::double) as c{i}" for i in range(50))
+ORACLES["wide_similarity"] = f"""
+with pairs as ({ORACLES["pair_cosine"]}), every as (
+  select product_a as a, product_b as b, similarity from pairs
+  union all select product_b, product_a, similarity from pairs
+  union all select distinct l_partkey, l_partkey, 1.0::double from lineitem join orders on o_orderkey = l_orderkey)
+select {big('b // 50')} as block, a as product_a, {WIDE} from every group by 1, 2"""
+
 ORACLES["overlay_document"] = f"""
 with {METRICS}, {CARDS}
-select id, case when id = 'orders' then value + 1 else value end as value from cards"""
+select id, value from cards union all select table_name, cast(rows as double) from ({SOURCES})"""
 
 ORACLES["overlay_monthly"] = f"""
 with {MONTHLY}, published as (
-  select strftime(o_orderdate, '%Y-%m') as month, count(*) as orders, sum({TOTAL}) as value
-  from orders where o_orderpriority = '{POS}' and o_totalprice > 300000 group by 1)
+  select strftime(l_shipdate, '%Y-%m') as month, count(*) as orders, sum({cents('l_extendedprice')}) as value
+  from lineitem group by 1)
 select coalesce(m.month, p.month) as month, coalesce(p.orders, m.orders) as orders,
        {amount('coalesce(p.value, m.value)')} as revenue
 from monthly m full join published p on p.month = m.month"""
@@ -901,10 +939,12 @@ union all select 'operations.recommendations', 5
 union all select 'quality.checks', 7
 union all select 'quality.sources', {len(WIDTHS)}"""
 
-URGENT = _breakdown("o_orderpriority", "channel", f"where o_orderpriority = '{POS}'")
 ORACLES["overlay_sections"] = f"""
 select 'statuses' as section, status as label, orders, revenue from {STATUSES}
-union all select 'channels', channel, orders, revenue from {URGENT}"""
+union all select 'channels', o_orderpriority, count(*), {amount('coalesce(sum(value), 0)')}
+from orders left join (
+  select l_orderkey, sum({cents('l_extendedprice')}) as value from lineitem group by 1) on l_orderkey = o_orderkey
+group by 2"""
 
 # --- cleaning ----------------------------------------------------------------
 
@@ -1094,6 +1134,7 @@ where e.type not in ('OBJECT', 'ARRAY')"""
 DOCUMENT = [
     ("metadata.source", ORACLES["metadata"], None),
     ("executive.cards", ORACLES["cards"], "position"),
+    ("executive.insights", ORACLES["insights"], "position"),
     ("sales.monthly", ORACLES["monthly_sales"], "month"),
     ("sales.statuses", ORACLES["breakdown_status"], "status"),
     ("sales.channels", ORACLES["breakdown_channel"], "channel"),

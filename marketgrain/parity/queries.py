@@ -36,10 +36,12 @@ from marketgrain.plans import (
     sales,
     scopes,
     segments,
+    sketches,
     weekdays,
 )
 from marketgrain.session import scratch_dir
 from marketgrain.sources import contents, csv_files, inference, publish, sinks, tables
+from marketgrain.sources.tables import role
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -231,6 +233,33 @@ def eligibility_of_buyers(t: Tables) -> DataFrame:
     return segments.eligibility(metrics, MIN_CATEGORIES + 2)
 
 
+@query
+def buyers_by_scope(t: Tables) -> DataFrame:
+    """Distinct customers of months and channels: exact, and whether the merged daily
+    sketches, read instead of the orders, are within three hundredths of that."""
+    orders = t.orders()
+    summary = materialized(sketches.daily(orders, "customer_id", "channel"), "daily-sketches")
+    exact = F.count_distinct("customer_id").alias("customers")
+    month = calendar.as_month("placed_at").alias("month")
+    scopes_of = {
+        "all": (orders.agg(exact).select(F.lit("all").alias("label"), "customers"), sketches.merged(summary).withColumn("label", F.lit("all"))),
+        "channel": (
+            orders.groupBy(F.col("channel").alias("label")).agg(exact),
+            sketches.merged(summary, F.col("channel").alias("label")),
+        ),
+        "month": (
+            orders.groupBy(month).agg(exact).select(labels.month_text(F.col("month")).alias("label"), "customers"),
+            sketches.merged(summary, calendar.as_month("day").alias("month")).withColumn("label", labels.month_text(F.col("month"))),
+        ),
+    }
+    close = F.abs(F.col("estimate") - F.col("customers")) <= F.greatest(F.lit(1), 0.03 * F.col("customers"))
+    parts = [
+        counted.join(found.select("label", "estimate"), "label").select(F.lit(name).alias("scope"), "label", "customers", close.alias("is_close"))
+        for name, (counted, found) in scopes_of.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def category_share(t: Tables) -> DataFrame:
     bought = _stored_bought(t)
@@ -395,6 +424,22 @@ def monthly_units_all(t: Tables) -> DataFrame:
     return sinks.monthly_with_period(series, HORIZON, ["product_name"])
 
 
+@query
+def exported_monthly(t: Tables) -> DataFrame:
+    """The target's months with their period as written to CSV, read back as text."""
+    path = scratch_dir(t.spark, "monthly")
+    sinks.write_csv(sinks.monthly_with_period(_series(t), HORIZON), path)
+    return t.spark.read.option("header", True).csv(path)
+
+
+@query
+def exported_items(t: Tables) -> DataFrame:
+    """The unified items as written to CSV, read back as text."""
+    path = scratch_dir(t.spark, "items")
+    sinks.write_csv(unified_items(t), path)
+    return t.spark.read.option("header", True).csv(path)
+
+
 @query
 def train_test_split(t: Tables) -> DataFrame:
     return _marked(t).select(labels.month_text(F.col("month")).alias("month"), "units", "period")
@@ -500,6 +545,14 @@ def most_similar(t: Tables) -> DataFrame:
     return _rounded(found, ["similarity"], 8)
 
 
+@query
+def wide_similarity(t: Tables) -> DataFrame:
+    """The whole matrix of similarities in blocks of fifty columns."""
+    links = materialized(_links(t), "interactions")
+    similar = affinity.mirrored(affinity.pair_cosine(links), links)
+    return affinity.wide_blocks(similar, "product_a", "product_b", "similarity")
+
+
 @query
 def similar_items(t: Tables) -> DataFrame:
     ranked = affinity.similar_products(_links(t), t.products(), TARGET_PRODUCT)
@@ -704,6 +757,10 @@ class Sections:
         t = self.t
         return contract.cards(self.base, t.customers(), t.products(), self.eligibility())
 
+    def insights(self) -> DataFrame:
+        parts = self.eligibility(), self.elite_categories(), self.weekdays(), self.forecast_summary()
+        return contract.insights(*parts)
+
     def metadata(self) -> DataFrame:
         return contract.metadata(self.base, _inventory(self.t))
 
@@ -754,6 +811,11 @@ def cards(t: Tables) -> DataFrame:
     return Sections(t).cards()
 
 
+@query
+def insights(t: Tables) -> DataFrame:
+    return Sections(t, stored=True).insights()
+
+
 @query
 def metadata(t: Tables) -> DataFrame:
     return Sections(t).metadata()
@@ -815,17 +877,35 @@ def exported_view(t: Tables) -> DataFrame:
     return t.spark.read.option("lineSep", "\r\n").text(path).withColumnRenamed("value", "line")
 
 
+@query
+def exported_views(t: Tables) -> DataFrame:
+    """All four views as written, with the mark of UTF-8: their lines, and the first
+    bytes of each file on its header line."""
+    parts = []
+    sections = Sections(t, stored=True)
+    for view in sinks.VIEWS:
+        path = scratch_dir(t.spark, f"view-{view}")
+        sinks.write_view(sinks.view_export(sections.take(*sinks.view_sections(view)), view), path, mark=True)
+        # read as bytes: a text scan would drop the mark
+        content = t.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+        lines = F.split(F.decode("content", "utf-8"), "\r\n")
+        parts.append(content.select(F.lit(view).alias("view"), F.explode(lines).alias("line")).where("line <> ''"))
+    every = reduce(DataFrame.unionByName, parts)
+    first = F.col("line").startswith("\ufeff")
+    return every.select("view", F.ltrim("line", F.lit("\ufeff")).alias("line"), first.alias("is_marked"))
+
+
 @query
 def overlay_document(t: Tables) -> DataFrame:
-    """A document written and read again: its cards over recomputed ones."""
+    """A document written and read again: its cards over recomputed ones, which
+    stand beside the sizes of the tables, that it does not hold."""
     path = scratch_dir(t.spark, "document")
     s = Sections(t, stored=True)
-    doc = contract.document(
-        t.spark,
-        {"executive": {"cards": contract.as_list(s.cards().where("id <> 'orders'"), ["position"])}},
-    )
+    doc = contract.document(t.spark, {"executive": {"cards": contract.as_list(s.cards(), ["position"])}})
     contract.as_json(doc).coalesce(1).write.text(path)
-    base = s.cards().withColumn("value", F.col("value") + F.lit(1.0)).select("id", "value")
+    recomputed = s.cards().select("id", (F.col("value") + F.lit(1.0)).alias("value"))
+    sizes = _inventory(t).select(F.col("table_name").alias("id"), F.col("rows").cast("double").alias("value"))
+    base = recomputed.unionByName(sizes)
     found = overlay.published_sections(t.spark, path, doc.schema)
     published = found.select(F.inline("executive.cards")).select("id", "value")
     return overlay.overlay_values(base, published, ["id"], ["value"])
@@ -835,7 +915,7 @@ def stored_sections(t: Tables) -> dict[str, DataFrame]:
     """Every section written once; the checks judge what the others hold."""
     s = Sections(t, stored=True)
     names = (
-        "metadata", "cards", "monthly", "statuses", "channels", "elite", "eligibility", "category_distribution",
+        "metadata", "cards", "insights", "monthly", "statuses", "channels", "elite", "eligibility", "category_distribution",
         "elite_categories", "weekdays", "forecast_summary", "forecast", "recommendations", "sources",
     )
     kept = {name: materialized(getattr(s, name)(), f"section-{name}") for name in names}
@@ -849,7 +929,10 @@ def assembled(t: Tables, s: dict[str, DataFrame]) -> DataFrame:
         t.spark,
         {
             "metadata": {"source": one(s["metadata"])},
-            "executive": {"cards": rows(s["cards"], ["position"])},
+            "executive": {
+                "cards": rows(s["cards"], ["position"]),
+                "insights": rows(s["insights"], ["position"]),
+            },
             "sales": {
                 "monthly": rows(s["monthly"], ["month"]),
                 "statuses": rows(s["statuses"], ["status"]),
@@ -925,24 +1008,29 @@ def json_contract_sizes(t: Tables) -> DataFrame:
 
 @query
 def overlay_monthly(t: Tables) -> DataFrame:
-    """Monthly figures of the urgent orders laid over those of all orders."""
+    """Lines and value by month of shipping laid over orders by month of ordering:
+    the first months have orders only, the last ones only what was shipped then."""
     base = sales.monthly(_base(t)).select("month", "orders", "revenue")
-    urgent = sales.sales_base(t.orders().where(_pos() & (F.col("total") > 300_000)), "status")
-    published = sales.monthly(urgent, zero_months=False).select("month", "orders", "revenue")
+    shipped = role(
+        t.raw("lineitem"), placed_at="l_shipdate", status="l_linestatus", total="l_extendedprice"
+    )
+    facts = sales.sales_base(shipped.withColumn("total", money.money("total")), "status")
+    published = sales.monthly(facts, zero_months=False).select("month", "orders", "revenue")
     return overlay.overlay_values(base, published, ["month"], ["orders", "revenue"])
 
 
 @query
 def overlay_sections(t: Tables) -> DataFrame:
-    """Status sections recomputed, channel section taken from a publication."""
+    """Status sections recomputed, channel section taken from a publication, which
+    has the value of the lines for that of the orders."""
     shape = lambda frame, name: frame.select(
         F.lit(name).alias("section"), F.col(frame.columns[0]).alias("label"), "orders", "revenue"
     )
     base = shape(sales.breakdown(_base(t), "status"), "statuses").unionByName(
         shape(sales.breakdown(_base(t), "channel"), "channels")
     )
-    urgent = sales.sales_base(t.orders().where(_pos()), "channel")
-    return overlay.overlay_sections(base, shape(sales.breakdown(urgent, "channel"), "channels"))
+    priced = sales.sales_base(t.full_orders().withColumn("total", F.col("subtotal")), "channel")
+    return overlay.overlay_sections(base, shape(sales.breakdown(priced, "channel"), "channels"))
 
 
 # --- cleaning ----------------------------------------------------------------

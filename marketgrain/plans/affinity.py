@@ -138,6 +138,22 @@ def wide(frame: DataFrame, rows: str, columns: str, value: Column, limit: int =
     return frame.groupBy(rows).pivot(columns, sorted(names)).agg(value).na.fill(0).orderBy(rows)
 
 
+def wide_blocks(frame: DataFrame, row: str, column: str, value: str, width: int = 50) -> DataFrame:
+    """Matrix form of a long table with whole-number columns, for a catalogue of any
+    size: (block, ``row``, c0 … c<width-1>).
+
+    Block b holds the columns from b * ``width`` on, so c3 of block 2 is column
+    2 * ``width`` + 3. Names are declared, none are collected, and a group is one row
+    within one block, at most ``width`` values. Absent cells are 0; a row without any
+    value in a block is left out of it, as all its cells there are 0. A null row or
+    column has no place and is left out."""
+    placed = frame.where(F.col(row).isNotNull() & F.col(column).isNotNull()).select(
+        F.floor(F.col(column) / width).alias("block"), row, F.pmod(column, F.lit(width)).alias("place"), value
+    )
+    cells = [F.coalesce(F.max(F.when(F.col("place") == i, F.col(value))), F.lit(0.0)).alias(f"c{i}") for i in range(width)]
+    return placed.groupBy("block", row).agg(*cells)
+
+
 def target_id(products: DataFrame, name: str) -> int:
     """Id of the one product with this exact name."""
     found = products.where(F.col("product_name") == name).select("product_id").limit(2).collect()

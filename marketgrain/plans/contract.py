@@ -74,6 +74,57 @@ def cards(
     return rows
 
 
+# The published insights, in order, with their tone.
+INSIGHTS = (
+    ("elite-selectivity", "attention"),
+    ("elite-category", "positive"),
+    ("weekday-pos", "neutral"),
+    ("forecast", "attention"),
+)
+
+
+def insights(
+    eligibility: DataFrame, categories: DataFrame, weekdays: DataFrame, forecast: DataFrame
+) -> DataFrame:
+    """The numbers behind the insights: (position, id, tone, subject, value, other).
+
+    Share of eligible customers and the minimum of categories; the elite's first
+    category and its units; the weakest weekday (the earliest of equal ones) and its
+    mean; the forecast's mean error and shortfall. A section without rows leaves its
+    insight with null values."""
+    chosen = one_row(eligibility.agg(F.max("eligible_share_pct").alias("value"), F.max("minimum_categories").alias("other")))
+    top = one_row(
+        categories.where(F.col("rank") == 1).agg(F.max("category").cast("string").alias("subject"), F.max("units").alias("value"))
+    )
+    lowest = weekdays.where(F.col("is_lowest"))
+    day = one_row(
+        lowest.agg(
+            F.min_by("weekday", "iso_weekday").alias("subject"),
+            F.min_by("mean_sales", "iso_weekday").alias("value"),
+        )
+    )
+    error = one_row(forecast.agg(F.max("mae").alias("value"), F.max("shortfall").alias("other")))
+    nothing = F.lit(None)
+    facts = (
+        (nothing, chosen["value"], chosen["other"]),
+        (top["subject"], top["value"], nothing),
+        (day["subject"], day["value"], nothing),
+        (nothing, error["value"], error["other"]),
+    )
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(name).alias("id"),
+            F.lit(tone).alias("tone"),
+            subject.cast("string").alias("subject"),
+            value.cast("double").alias("value"),
+            other.cast("double").alias("other"),
+        )
+        for i, ((name, tone), (subject, value, other)) in enumerate(zip(INSIGHTS, facts, strict=True), start=1)
+    ]
+    return eligibility.sparkSession.range(1).select(F.inline(F.array(*rows)))
+
+
 def metadata(base: DataFrame, inventory: DataFrame) -> DataFrame:
     """Period, statuses and record totals of the sources."""
     records = one_row(

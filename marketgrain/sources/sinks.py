@@ -147,9 +147,10 @@ def view_export(sections: Mapping[str, DataFrame], view: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [blocks[name] for name in VIEWS[view]])
 
 
-def view_lines(frame: DataFrame) -> DataFrame:
+def view_lines(frame: DataFrame, mark: bool = False) -> DataFrame:
     """The export as text lines below a header line. A cell is quoted only if
-    it holds a separator, a quote or a line break; content is not altered."""
+    it holds a separator, a quote or a line break; content is not altered.
+    ``mark`` puts a byte order mark first, by which spreadsheets know UTF-8."""
 
     def cell(name: str) -> Column:
         value = F.coalesce(F.col(name), F.lit(""))
@@ -157,14 +158,15 @@ def view_lines(frame: DataFrame) -> DataFrame:
         wrapped = F.concat(F.lit('"'), doubled, F.lit('"'))
         return F.when(value.rlike('[;"\\n\\r]'), wrapped).otherwise(value)
 
-    header = frame.sparkSession.range(1).select(F.lit(";".join(TIDY_COLUMNS)).alias("line"))
+    first = ("\ufeff" if mark else "") + ";".join(TIDY_COLUMNS)
+    header = frame.sparkSession.range(1).select(F.lit(first).alias("line"))
     body = frame.select(F.concat_ws(";", *[cell(c) for c in TIDY_COLUMNS]).alias("line"))
     return header.unionByName(body)
 
 
-def write_view(frame: DataFrame, path: str) -> None:
+def write_view(frame: DataFrame, path: str, *, mark: bool = False) -> None:
     """One file of semicolon-separated lines ending in CRLF, in view order."""
-    placed = view_lines(frame).withColumn("place", F.monotonically_increasing_id())
+    placed = view_lines(frame, mark).withColumn("place", F.monotonically_increasing_id())
     ordered = placed.orderBy("place").select("line").coalesce(1)
     ordered.write.mode("errorifexists").option("lineSep", "\r\n").text(path)
 
