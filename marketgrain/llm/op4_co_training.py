@@ -3,13 +3,17 @@
 The text view sees the content: words and byte trigrams that a likelihood-ratio
 test finds tied to the class, and words said again at once. The metadata view sees
 the page: language, source, length, lines and the kinds of signs. For each target
-(low quality, toxic) both start from the labelled rows; in each round each view
-labels the unlabelled rows that it is sure of for the other. At the end each view
-is calibrated on labelled rows kept apart, and a regression on both calibrated
-views scores all documents.
-
-Fitting uses at most about ``LABELLED`` labelled and ``POOL`` unlabelled rows, drawn
-by a hash of the id; every document is scored, on its whole text, in one scan.
+(low quality, toxic) both start from the labelled rows; in each round all other
+documents are judged by both views in a scan, and each view labels the ``GAIN`` rows
+of each class that it is surest of, if it is sure of them, for the other. At the end
+each view is calibrated on labelled rows kept apart, and a regression on both
+calibrated views scores all documents.
+
+The fit starts from at most about ``LABELLED`` labelled rows, drawn by a hash of the
+id, and gains at most 8 * ``GAIN`` rows a round; that bounds what the driver holds.
+The rows gained are the surest of the whole table at any size: a task keeps the best
+of its rows, and of rows with equal scores, as copies are, one. Scoring is one scan
+of whole texts, the fit one scan a round and one for the rows drawn in it.
 """
 
 from __future__ import annotations
@@ -19,18 +23,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketgrain.llm import charlm, common
 from marketgrain.llm import textarrays as ta
 
 LABELLED = 6000
-POOL = 4000
 ROUNDS = 3
 APART = 0.25  # of the labelled rows, for calibration
 SURE = 0.98  # a view passes on labels with at least this probability
-GAIN = 200  # labels passed on by a view in a round, at most, of each kind
+GAIN = 200  # labels passed on by a view in a round, of each class: co-training's growth
 EVIDENCE = 14.0  # likelihood-ratio statistic of a kept word or trigram
 PURITY = 0.7  # share of the class among the rows that hold it
 LIMIT = 0.7  # probability from which a document is rejected
@@ -55,9 +58,10 @@ def streams(column):
     return row, key, owner[:-2][whole] if len(three) else owner[:0], three[whole], total, same
 
 
-def text_view(column, lexicon: dict) -> np.ndarray:
-    """Content features of each text, given a target's words and trigrams."""
-    row, key, owner, three, total, same = streams(column)
+def text_view(column, lexicon: dict, seen: tuple | None = None) -> np.ndarray:
+    """Content features of each text, given a target's words and trigrams; ``seen``
+    are its streams where they are known."""
+    row, key, owner, three, total, same = seen or streams(column)
     n = len(total)
     at = charlm.find(lexicon["words"], key)
     hit = at >= 0
@@ -213,42 +217,112 @@ class Holders:
         return {"words": words[order], "strength": odds[order], "signs": signs}
 
 
-def co_train(sample: pa.Table, truth: np.ndarray, apart: np.ndarray, rounds: int = ROUNDS) -> dict:
-    """A target's model. ``truth`` is 0, 1 or -1 (unlabelled); rows ``apart`` are
-    for calibration only."""
-    slices = list(ta.slices(iter(sample.combine_chunks().to_batches()), limit=1 << 19))  # small, as this runs in the driver
-    size, holders = len(truth), Holders(slices)
-    pages = np.concatenate([page_view(s) for s in slices])
-    bins = Bins(pages)
-    page_x = bins(pages)
+class Sample:
+    """The rows that both targets' views are fitted on: labelled ones first, then
+    those drawn so far."""
+
+    def __init__(self, rows: pa.Table, bins: Bins | None = None):
+        self.slices = list(ta.slices(iter(rows.combine_chunks().to_batches()), limit=1 << 19))  # small, as this runs in the driver
+        self.size, self.holders = rows.num_rows, Holders(self.slices)
+        pages = np.concatenate([page_view(s) for s in self.slices])
+        self.bins = bins or Bins(pages)
+        self.page = self.bins(pages)
+
+    def text(self, lexicon: dict) -> np.ndarray:
+        return np.concatenate([text_view(s.column(s.schema.get_field_index("text")), lexicon) for s in self.slices])
+
+
+def fitted(sample: Sample, truth: np.ndarray, apart: np.ndarray, given: dict[str, np.ndarray]) -> dict:
+    """Both views of a target. ``truth`` is 0, 1 or -1 (unlabelled); rows ``apart``
+    are for calibration only; ``given`` has the labels that each view was given."""
     known = np.flatnonzero((truth >= 0) & ~apart)
-    free = truth < 0
-    given = {"text": np.full(size, -1), "page": np.full(size, -1)}  # labels each view was given
-    for step in range(rounds + 1):
-        text_rows = np.concatenate([known, np.flatnonzero(given["text"] >= 0)])
-        text_y = np.concatenate([truth[known], given["text"][given["text"] >= 0]]).astype(float)
-        lexicon = holders.lexicon(text_rows, text_y, size)
-        text_x = np.concatenate([text_view(s.column(s.schema.get_field_index("text")), lexicon) for s in slices])
-        text_w = regression(text_x[text_rows], text_y)
-        page_rows = np.concatenate([known, np.flatnonzero(given["page"] >= 0)])
-        page_y = np.concatenate([truth[known], given["page"][given["page"] >= 0]]).astype(float)
-        page_w = regression(page_x[page_rows], page_y)
-        if step == rounds:
-            break
-        for view, other, z in (("text", "page", apply(text_x, text_w)), ("page", "text", apply(page_x, page_w))):
-            p = chance(z)
-            for label, surest in ((1, np.argsort(-p, kind="stable")), (0, np.argsort(p, kind="stable"))):
-                sure = p[surest] >= SURE if label else p[surest] <= (1 - SURE) * truth[known].mean()
-                pick = surest[sure & free[surest] & (given[other][surest] < 0)][:GAIN]
-                given[other][pick] = label
+
+    def rows_of(view: str) -> tuple[np.ndarray, np.ndarray]:
+        more = np.flatnonzero(given[view] >= 0)
+        return np.concatenate([known, more]), np.concatenate([truth[known], given[view][more]]).astype(float)
+
+    rows, y = rows_of("text")
+    lexicon = sample.holders.lexicon(rows, y, sample.size)
+    text = sample.text(lexicon)
+    weights = {"text": regression(text[rows], y)}
+    rows, y = rows_of("page")
+    weights["page"] = regression(sample.page[rows], y)
+    share = float(truth[known].mean()) if len(known) else 0.0
+    return {"lexicon": lexicon, "text": text, "weights": weights, "share": share}
+
+
+def calibrated(sample: Sample, views: dict, truth: np.ndarray, apart: np.ndarray) -> dict:
+    """A target's model for scoring: both views calibrated, and their combination."""
     held = np.flatnonzero(apart & (truth >= 0))
-    views = []
-    for x, w in ((text_x, text_w), (page_x, page_w)):
+    both_x, made = (views["text"], sample.page), []
+    for x, w in zip(both_x, views["weights"].values(), strict=True):
         z = apply(x, w)
-        views.append((w, regression(z[held][:, None] / 5, truth[held].astype(float), 0.1)))
-    both = np.stack([apply(apply(x, w)[:, None] / 5, c) for x, (w, c) in zip((text_x, page_x), views, strict=True)], axis=1)
+        made.append((w, regression(z[held][:, None] / 5, truth[held].astype(float), 0.1)))
+    both = np.stack([apply(apply(x, w)[:, None] / 5, c) for x, (w, c) in zip(both_x, made, strict=True)], axis=1)
     merged = regression(both[held] / 5, truth[held].astype(float), 0.1)
-    return {"lexicon": {**lexicon, "signs": np.flatnonzero(lexicon["signs"])}, "bins": bins, "views": views, "both": merged}
+    return {"lexicon": packed(views["lexicon"]), "bins": sample.bins, "views": made, "both": merged}
+
+
+def packed(lexicon: dict) -> dict:
+    return {**lexicon, "signs": np.flatnonzero(lexicon["signs"])}
+
+
+KINDS = [(target, view, label) for target in TARGETS for view in ("text", "page") for label in (1, 0)]
+
+
+def surest(docs: DataFrame, views: dict[str, dict], bins: Bins, taken: np.ndarray, gain: int = GAIN) -> DataFrame:
+    """kind (a place in ``KINDS``), doc_id, score: of all rows whose id is not null and
+    not among ``taken`` (sorted), the ``gain`` that each view is surest of for each
+    label, if it is sure. Of rows with equal scores the one with the least id counts."""
+    spark = docs.sparkSession
+    edges = {}
+    for target, model in views.items():
+        low = max((1 - SURE) * model["share"], 1e-9)
+        edges[target] = {1: np.log(SURE / (1 - SURE)), 0: -np.log(low / (1 - low))}
+    slim = {t: {"lexicon": packed(m["lexicon"]), "weights": m["weights"]} for t, m in views.items()}
+    sent = spark.sparkContext.broadcast((slim, bins, taken))
+
+    def best(score: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((ids, -score))
+        score, ids = score[order], ids[order]
+        first = np.r_[True, score[1:] != score[:-1]][: len(score)]
+        return score[first][:gain], ids[first][:gain]
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slim, bins, taken = sent.value
+        models = {t: unpacked(m) for t, m in slim.items()}
+        held = [(np.zeros(0), np.zeros(0, np.int64)) for _ in KINDS]
+        for batch in ta.slices(batches, limit=ta.SLICE // 2):
+            ids = batch.column(0).to_numpy().astype(np.int64)
+            free = charlm.find(taken, ids) < 0
+            column = batch.column(batch.schema.get_field_index("text"))
+            seen, page = streams(column), bins(page_view(batch))
+            for j, (target, view, label) in enumerate(KINDS):
+                if label:
+                    x = text_view(column, models[target]["lexicon"], seen) if view == "text" else page
+                    # rounded: copies are equal wherever they stand
+                    z = np.round(apply(x, models[target]["weights"][view]), 6)
+                score = z if label else -z
+                good = free & (score >= edges[target][label])
+                held[j] = best(np.concatenate([held[j][0], score[good]]), np.concatenate([held[j][1], ids[good]]))
+        for j, (score, ids) in enumerate(held):
+            if len(ids):
+                yield pa.record_batch([pa.array(np.full(len(ids), j, np.int32)), pa.array(ids), pa.array(score)], names=["kind", "doc_id", "score"])
+
+    found = docs.select(*COLUMNS).where(F.col("doc_id").isNotNull()).mapInArrow(ta.freed(draw), "kind int, doc_id bigint, score double")
+    found = found.groupBy("kind", "score").agg(F.min("doc_id").alias("doc_id"))
+    first = F.row_number().over(Window.partitionBy("kind").orderBy(F.col("score").desc()))
+    return found.withColumn("_place", first).where(F.col("_place") <= gain).drop("_place")
+
+
+def rows_with(docs: DataFrame, ids: list[int]) -> pa.Table:
+    """The rows of some ids, in their order; of rows that share an id the one whose
+    text has the least hash."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame([(i,) for i in ids], f"doc_id {kind}")
+    rows = docs.select(*COLUMNS).join(F.broadcast(wanted), "doc_id")  # at most 8 * GAIN ids
+    one = rows.groupBy("doc_id").agg(F.min_by(F.struct(*COLUMNS[1:]), F.xxhash64("text", "lang", "source", "n_chars")).alias("row"))
+    return one.select("doc_id", *[F.col(f"row.{c}").alias(c) for c in COLUMNS[1:]]).toArrow().sort_by("doc_id")
 
 
 def unpacked(model: dict) -> dict:
@@ -257,9 +331,14 @@ def unpacked(model: dict) -> dict:
     return {**model, "lexicon": {**model["lexicon"], "signs": signs}}
 
 
-def rate(model: dict, batch: pa.RecordBatch) -> np.ndarray:
-    """Chance of the target by the text view, the page view and both."""
-    parts = [text_view(batch.column(batch.schema.get_field_index("text")), model["lexicon"]), model["bins"](page_view(batch))]
+def rates(models: dict, batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Per target the chance by the text view, the page view and both."""
+    column = batch.column(batch.schema.get_field_index("text"))
+    seen, page = streams(column), page_view(batch)
+    return [combined(m, text_view(column, m["lexicon"], seen), m["bins"](page)) for m in models.values()]
+
+
+def combined(model: dict, *parts: np.ndarray) -> np.ndarray:
     z = [apply(apply(x, w)[:, None] / 5, c) for x, (w, c) in zip(parts, model["views"], strict=True)]
     return np.stack([chance(z[0]), chance(z[1]), chance(apply(np.stack(z, axis=1) / 5, model["both"]))], axis=1)
 
@@ -267,38 +346,59 @@ def rate(model: dict, batch: pa.RecordBatch) -> np.ndarray:
 COLUMNS = ("doc_id", "lang", "source", "n_chars", "text")
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> dict | None:
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, gain: int = GAIN) -> dict | None:
     """One model per target; None without labels."""
     labels = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull())
     labels = labels.groupBy("doc_id").agg(F.min("quality").alias("_quality"), F.max("toxic").alias("_toxic"))
-    n_labels, n_docs = labels.count(), docs.count()
+    n_labels = labels.count()
     if not n_labels:
         return None
-    draw = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 30)) / (1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1 << 30)) / (1 << 30)
     # about ``labelled`` rows: a bounded broadcast
-    some = F.broadcast(labels.where(draw(1) < labelled / n_labels))
+    some = F.broadcast(labels.where(draw < labelled / n_labels))
     rows = docs.select(*COLUMNS).where(F.col("doc_id").isNotNull())
-    with_labels = rows.join(some, "doc_id")
-    others = rows.where(draw(2) < pool / max(n_docs, 1)).join(some, "doc_id", "left_anti")
-    others = others.withColumns({"_quality": F.lit(None).cast("int"), "_toxic": F.lit(None).cast("int")})
-    sample = with_labels.select(*COLUMNS, "_quality", "_toxic").unionAll(others.select(*COLUMNS, "_quality", "_toxic")).toArrow()
-    if sample["_quality"].null_count == sample.num_rows:
+    sample = rows.join(some, "doc_id").select(*COLUMNS, "_quality", "_toxic").toArrow()
+    if not sample.num_rows:
         return None
     order = np.argsort(sample["doc_id"].to_numpy(), kind="stable")
     sample = sample.take(pa.array(order))
-    ids = sample["doc_id"].to_numpy().astype(np.uint64)
-    apart = (ta.mix(ids + ta.U(99)) >> ta.U(11)).astype(np.float64) * 2.0**-53 < APART
-    quality, toxic = (sample[c].to_pandas().astype("float64") for c in ("_quality", "_toxic"))
-    truths = {"low": np.where(quality.isna(), -1, quality == 0).astype(int), "toxic": np.where(toxic.isna(), -1, toxic > 0).astype(int)}
-    models = {name: co_train(sample.select(list(COLUMNS)), truths[name], apart) for name in TARGETS}
-    del sample
+    ids = sample["doc_id"].to_numpy().astype(np.int64)
+    apart = (ta.mix(ids.astype(np.uint64) + ta.U(99)) >> ta.U(11)).astype(np.float64) * 2.0**-53 < APART
+    truths = {"low": (sample["_quality"].to_numpy() == 0).astype(int), "toxic": (sample["_toxic"].to_numpy() > 0).astype(int)}
+    sample, bins = sample.select(list(COLUMNS)), None
+    given = {t: {v: np.full(len(ids), -1) for v in ("text", "page")} for t in TARGETS}
+    for step in range(rounds + 1):
+        held = Sample(sample, bins)
+        bins = held.bins
+        views = {t: fitted(held, truths[t], apart, given[t]) for t in TARGETS}
+        if step == rounds:
+            break
+        del held
+        ta.give_back()
+        drawn = surest(docs, views, bins, np.unique(ids), gain).collect()  # at most 8 * gain small rows
+        if not drawn:
+            held = Sample(sample, bins)
+            break
+        more = rows_with(docs, sorted({r["doc_id"] for r in drawn}))
+        fresh = more["doc_id"].to_numpy().astype(np.int64)
+        ids, apart = np.concatenate([ids, fresh]), np.concatenate([apart, np.zeros(len(fresh), bool)])
+        for t in TARGETS:
+            truths[t] = np.concatenate([truths[t], np.full(len(fresh), -1)])
+            given[t] = {v: np.concatenate([g, np.full(len(fresh), -1)]) for v, g in given[t].items()}
+        for r in drawn:
+            target, view, label = KINDS[r["kind"]]
+            given[target]["page" if view == "text" else "text"][len(ids) - len(fresh) + int(np.searchsorted(fresh, r["doc_id"]))] = label
+        sample = pa.concat_tables([sample, more.select(list(COLUMNS)).cast(sample.schema)])
+    models = {t: calibrated(held, views[t], truths[t], apart) for t in TARGETS}
+    del sample, held, views
     ta.give_back()
     return models
 
 
-def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """doc_id, p_low, p_toxic, p_low_text, p_low_page, p_toxic_text, p_toxic_page,
-    rejected for every row; rejected from a probability of ``LIMIT`` on.
+    rejected for every row; rejected from a probability of ``LIMIT`` on. ``doc_id`` is a
+    whole number.
 
     Reads doc_id, lang, source, n_chars and text of ``docs`` and doc_id, quality,
     toxic of ``labels``. Labels with a null count as none; of repeated labels the
@@ -309,7 +409,7 @@ def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     """
     spark = docs.sparkSession
     common.ship(spark)
-    model = fit(docs, labels, labelled, pool)
+    model = fit(docs, labels, labelled)
     sent = spark.sparkContext.broadcast(model)  # bounded by the sample
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["p_low", "p_toxic", "p_low_text", "p_low_page", "p_toxic_text", "p_toxic_page"]
@@ -317,7 +417,7 @@ def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = {name: unpacked(m) for name, m in sent.value.items()} if sent.value else None
         for batch in ta.slices(batches, limit=ta.SLICE // 2):
-            low, toxic = (rate(model[t], batch) if model else np.zeros((batch.num_rows, 3)) for t in TARGETS)
+            low, toxic = rates(model, batch) if model else [np.zeros((batch.num_rows, 3))] * 2
             p = [low[:, 2], toxic[:, 2], low[:, 0], low[:, 1], toxic[:, 0], toxic[:, 1]]
             rejected = (p[0] >= LIMIT) | (p[1] >= LIMIT)
             yield pa.record_batch([batch.column(0), *map(pa.array, p), pa.array(rejected)], names=["doc_id", *names, "rejected"])
@@ -325,12 +425,12 @@ def judge(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: in
     return docs.select(*COLUMNS).mapInArrow(ta.freed(score), f"doc_id {kind}, " + ", ".join(f"{n} double" for n in names) + ", rejected boolean")
 
 
-def kept(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
+def kept(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
     """The rows of ``docs``, all columns, that are not rejected. Scoring and choice
     are one scan; a column named rejected may be among the others."""
     spark = docs.sparkSession
     common.ship(spark)
-    model = fit(docs, labels, labelled, pool)
+    model = fit(docs, labels, labelled)
     if model is None:
         return docs
     sent = spark.sparkContext.broadcast(model)
@@ -338,7 +438,7 @@ def kept(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = {name: unpacked(m) for name, m in sent.value.items()}
         for batch in ta.slices(batches, limit=ta.SLICE // 2):
-            worst = np.maximum(*(rate(model[t], batch)[:, 2] for t in TARGETS))
+            worst = np.maximum(*(p[:, 2] for p in rates(model, batch)))
             yield batch.filter(pa.array(worst < LIMIT))
 
     return docs.mapInArrow(ta.freed(choose), docs.schema)

@@ -58,3 +58,46 @@ def test_regression_is_the_maximum():
     w = quality.regression(x, y, 0.5)
     p = quality.chance(quality.apply(x, w))
     assert np.allclose(x.T @ (p - y) + 0.5 * w[:3], 0, atol=1e-4)
+
+
+def test_a_round_draws_the_surest_of_all_rows(spark):
+    """``surest`` against the same scores over the whole table at once."""
+    import pyarrow as pa
+
+    folder = "/root/testdata/sf0.01"
+    docs = common.table(spark, folder, "documents")
+    docs = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1_000_000))  # copies score alike
+    table = docs.select(*quality.COLUMNS).toArrow().sort_by("doc_id").combine_chunks()
+    labels = common.table(spark, folder, "labels").toPandas().set_index("doc_id")
+    ids = table["doc_id"].to_numpy()
+    known = np.flatnonzero(np.isin(ids, labels.index))[:400]
+    sample = quality.Sample(table.take(pa.array(known)))
+    none = {v: np.full(len(known), -1) for v in ("text", "page")}
+    truths = {"low": (labels.quality.loc[ids[known]] == 0).to_numpy().astype(int), "toxic": labels.toxic.loc[ids[known]].to_numpy()}
+    views = {t: quality.fitted(sample, truths[t], np.zeros(len(known), bool), none) for t in quality.TARGETS}
+    gain = 15
+    found = quality.surest(docs.repartition(7), views, sample.bins, np.unique(ids[known]), gain).collect()
+    (batch,) = table.to_batches()
+    free = ~np.isin(ids, ids[known])
+    for kind, (target, view, label) in enumerate(quality.KINDS):
+        model = views[target]
+        x = quality.text_view(table["text"].chunk(0), model["lexicon"]) if view == "text" else sample.bins(quality.page_view(batch))
+        z = np.round(quality.apply(x, model["weights"][view]), 6)
+        p = quality.chance(z)
+        sure = p >= quality.SURE if label else p <= (1 - quality.SURE) * model["share"]
+        want, scores = [], set()
+        for i in sorted(np.flatnonzero(free & sure), key=lambda i: (-z[i] if label else z[i], ids[i])):
+            if z[i] not in scores and len(want) < gain:
+                scores.add(z[i])
+                want.append(int(ids[i]))
+        got = sorted((r for r in found if r["kind"] == kind), key=lambda r: -r["score"])
+        assert [r["doc_id"] for r in got] == want
+    # a copy is drawn only where its original was in the sample already
+    assert found and all(r["doc_id"] < 1_000_000 or r["doc_id"] - 1_000_000 in ids[known] for r in found)
+
+
+def test_rows_of_repeated_ids_are_drawn_once(docs):
+    some = docs(["a", "b", "b", None], [5, 6, 6, 7])
+    found = quality.rows_with(some, [5, 6, 7])
+    assert found["doc_id"].to_pylist() == [5, 6, 7]
+    assert found["text"].to_pylist() == ["a", "b", None]
