@@ -251,3 +251,24 @@ def test_positions_over_many_ranges(spark):
     ordered = sorted(((i % 7, i) for i in range(5000)), key=lambda p: (-p[0], p[1]))
     assert found == [(n, u, i) for n, (u, i) in enumerate(ordered, 1)]
     assert len(ranked.inputFiles()) > 1
+
+
+def test_pairs_are_counted_where_their_item_is(spark, large_joins):
+    """No pair is shuffled as a row: after the item's baskets arrive, only counting follows,
+    also in the wide form, and the tasks grow with the pairs."""
+    links = spark.range(4000).selectExpr("cast(id % 40 as int) as customer_id", "id % 97 as product_id").distinct()
+    pairs = affinity.pair_cosine(links)
+    wide = affinity.wide_blocks(affinity.mirrored(affinity.pair_cosine(links, both=True), links, both=True), "product_a", "product_b", "similarity")
+    for frame in (pairs, wide):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        head = plan[: plan.index("posexplode")]
+        assert "HashAggregate" in head and "Exchange" not in head
+    fewer = affinity.pairs.counting_tasks(links, "customer_id")
+    affinity.pairs.PARTNERS_A_TASK, before = 1 << 12, affinity.pairs.PARTNERS_A_TASK
+    try:
+        assert affinity.pairs.counting_tasks(links, "customer_id", both=True) > 2 * fewer
+    finally:
+        affinity.pairs.PARTNERS_A_TASK = before
+    every = affinity.mirrored(affinity.pair_cosine(links), links)
+    both = affinity.mirrored(affinity.pair_cosine(links, both=True), links, both=True)
+    assert sorted(rows(every)) == sorted(rows(both))
