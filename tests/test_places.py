@@ -1,6 +1,7 @@
 """Places of bad records, contents of a load, runs of unused keys, one scan for all keys."""
 
 import csv
+import hashlib
 import random
 import re
 
@@ -249,3 +250,24 @@ def test_keys_of_unlike_types_and_empty_tables(spark):
     )
     assert sorted(rows(found)) == [("a", 2, 2), ("b", 0, 0), ("c", 2, 2)]
     assert rows(quality.key_report({"e": (empty, "k")})) == [("e", 0, 0)]
+
+
+def test_numbers_have_one_text(spark):
+    shown = {"+007": "7", "-0": "0", "-0.00": "0", "0": "0", "000": "0", ".5": "0.5", "-.50": "-0.5", "5.": "5", "-12.340": "-12.34", "100": "100", None: None}
+    frame = spark.createDataFrame([(k, v) for k, v in shown.items()], "text string, wanted string")
+    found = frame.select("wanted", contents._plain_number(F.col("text")).alias("plain")).collect()
+    assert all(r["wanted"] == r["plain"] for r in found)
+
+
+def test_digests_are_added_up_by_column(spark):
+    """A row per hash within the task and sums of whole numbers; equal to exact sums."""
+    values = [None, "", *map(str, range(3000))]
+    schema = T.StructType([T.StructField("a", T.StringType())])
+    found = contents.digests(spark.createDataFrame([(v,) for v in values], schema), schema, is_text=True)
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    hashes = [md5("" if v is None else "=" + v) for v in values]
+    wanted = {"a": sum(int(h[:15], 16) for h in hashes), "*": sum(int(md5(h)[:15], 16) for h in hashes)}
+    assert {r["column_name"]: int(r["digest"]) for r in found.collect()} == wanted
+    assert "decimal" not in found._jdf.queryExecution().optimizedPlan().toString().lower().split("posexplode")[1].split("aggregate")[0]
+    empty = contents.digests(spark.createDataFrame([], schema), schema, is_text=True)
+    assert {tuple(r) for r in empty.collect()} == {("a", "0"), ("*", "0")}
