@@ -7,6 +7,7 @@ there are months, so a window per series stays small.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -20,6 +21,8 @@ from marketgrain.operators import calendar
 from marketgrain.operators.joins import checked_join, guard, members
 from marketgrain.operators.summary import one_row
 
+SERIES_A_TASK = 20_000
+
 
 @dataclass(frozen=True)
 class Horizon:
@@ -99,13 +102,19 @@ def monthly_units(
     keys = list(by)
     dated = sold.where(F.col("month").isNotNull())
     facts = dated.groupBy(*keys, "month").agg(F.sum("quantity").cast("bigint").alias("units"))
+    if keys and series is not None:
+        # Tasks by number of series: partitions sized by their bytes, as adaptive execution
+        # makes them, would hold many series, each of which becomes a row per month.
+        every = series.select(*keys).distinct()
+        tasks = max(every.sparkSession.sparkContext.defaultParallelism, math.ceil(every.count() / SERIES_A_TASK))
+        every, facts = series.select(*keys).repartition(tasks, *keys).distinct(), facts.repartition(tasks, *keys)
     # A series is at most one entry per month, so it fits a map in one row.
     # Filling it there keeps the rows partitioned by series for the windows
     # that follow; joining a calendar would shuffle every filled month again.
     entries = F.collect_list(F.struct("month", "units"))
     sparse = facts.groupBy(*keys).agg(F.map_from_entries(entries).alias("sold"))
     if keys and series is not None:
-        sparse = series.select(*keys).distinct().join(sparse, keys, "left")
+        sparse = every.join(sparse, keys, "left")
     calendar_months = F.sequence(
         F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month")
     )
