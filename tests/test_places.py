@@ -253,7 +253,7 @@ def test_keys_of_unlike_types_and_empty_tables(spark):
 
 
 def test_numbers_have_one_text(spark):
-    shown = {"+007": "7", "-0": "0", "-0.00": "0", "0": "0", "000": "0", ".5": "0.5", "-.50": "-0.5", "5.": "5", "-12.340": "-12.34", "100": "100", None: None}
+    shown = {"+007": "7", "-0": "0", "-0.00": "0", "0": "0", "000": "0", ".5": "0.5", "-.50": "-0.5", "5.": "5", "-12.340": "-12.34", "100": "100", None: ""}
     frame = spark.createDataFrame([(k, v) for k, v in shown.items()], "text string, wanted string")
     found = frame.select("wanted", contents._plain_number(F.col("text")).alias("plain")).collect()
     assert all(r["wanted"] == r["plain"] for r in found)
@@ -271,3 +271,28 @@ def test_digests_are_added_up_by_column(spark):
     assert "decimal" not in found._jdf.queryExecution().optimizedPlan().toString().lower().split("posexplode")[1].split("aggregate")[0]
     empty = contents.digests(spark.createDataFrame([], schema), schema, is_text=True)
     assert {tuple(r) for r in empty.collect()} == {("a", "0"), ("*", "0")}
+
+
+def test_records_are_put_together_from_short_runs(spark, tmp_path, monkeypatch):
+    """What is put in order at once is a few lines, however large a split is; records may
+    span the runs."""
+    monkeypatch.setattr(csv_files, "RUN_LINES", 3)
+    text = [f'a{i}\n"b""\n\n{i},"\nc' if i % 3 else f"plain {i}" for i in range(60)]
+    path = tmp_path / "t.csv"
+    with path.open("w", newline="") as out:
+        writer = csv.writer(out, lineterminator="\n")
+        writer.writerow(["k", "text"])
+        writer.writerows(enumerate(text))
+    (table,) = csv_files.inspect(spark, str(tmp_path))
+    found = {int(r["k"]): r["text"] for r in csv_files.read_text(spark, table).collect()}
+    assert found == dict(enumerate(text))
+    plan = csv_files._spanning_lines(spark, table.files)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"\[file#\d+, split#\d+L?, run#\d+L?\], \[place", plan)
+
+
+def test_columns_are_judged_by_compiled_code(spark):
+    from marketgrain.sources import inference
+
+    wide = spark.range(5).selectExpr(*[f"cast(id * {i} as string) as c{i}" for i in range(60)])
+    plan = inference.evidence(wide, wide.columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "posexplode" in plan

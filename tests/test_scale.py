@@ -272,3 +272,14 @@ def test_pairs_are_counted_where_their_item_is(spark, large_joins):
     every = affinity.mirrored(affinity.pair_cosine(links), links)
     both = affinity.mirrored(affinity.pair_cosine(links, both=True), links, both=True)
     assert sorted(rows(every)) == sorted(rows(both))
+
+
+def test_tasks_follow_the_number_of_series(spark, monkeypatch):
+    """Not the bytes of the sums, of which each becomes a row per month."""
+    monkeypatch.setattr(forecast, "SERIES_A_TASK", 10)
+    series = spark.range(400).selectExpr("cast(id as int) as product_id")
+    sold = series.selectExpr("product_id", "date'2026-01-01' as month", "1L as quantity")
+    first, last = F.lit("2025-01-01").cast("date"), F.lit("2026-03-01").cast("date")
+    months = forecast.monthly_units(sold, first, last, ["product_id"], series)
+    assert months.rdd.getNumPartitions() == 40
+    assert months.agg(F.count("*"), F.sum("units")).first()[:] == (400 * 15, 400)
