@@ -86,6 +86,57 @@ def test_pairs_within_a_template(docs, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in found} == brute(list(enumerate(texts)))
 
 
+def test_marks_bound_the_difference():
+    rng = np.random.default_rng(3)
+    base = rng.integers(1, 2**63, 6000).astype(np.uint64)
+    groups = [base[:0], base[:1], base[:30], base[:400], base[100:500], base[40:440], base[:410], base[:1500], base]
+    owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    marks = near.marks_of(owner, np.concatenate(groups), np.array([len(g) for g in groups]))
+    apart = {}
+    for i, a in enumerate(groups):
+        for j, b in enumerate(groups):
+            width = min(len(marks[i]), len(marks[j]))
+            apart[i, j] = (near.folded(marks[i], width) ^ near.folded(marks[j], width)).bit_count()
+            assert apart[i, j] <= len(np.setxor1d(a, b))
+    assert apart[3, 3] == 0 and apart[3, 4] > 2 * 400 * 0.2 / 1.8  # 300 of 500 in common
+
+
+def test_few_sets_are_sent(spark, docs):
+    rng = random.Random(12)
+    base = text(rng, 300)
+    halfway = lambda: " ".join(base.split()[:270]) + " " + text(rng, 60)
+    texts = [base] + [halfway() for _ in range(200)] + [edited(rng, base, 3) for _ in range(40)]
+    own = [sets(t) for t in texts]
+    assert all(0.5 < len(own[0] & s) / len(own[0] | s) < 0.8 for s in own[1:201])
+    found = near.shingle_sets(docs(texts).withColumnRenamed("doc_id", "node"))
+    pairs = spark.range(1, len(texts)).select(F.lit(0).cast("bigint").alias("a"), F.col("id").alias("b"))
+    assert near.sent(found, pairs).count() < 80  # one of the leader, 40 near it, few others
+    assert sorted(r["b"] for r in near.verified(found, pairs).collect()) == list(range(201, 241))
+
+
+def test_texts_by_list_and_without(spark, docs, monkeypatch):
+    texts = ["a b c d e f g", "A b c d e f g", "other words stand in here now", None, " ", "a b c d e f g"]
+    frame = docs(texts, [0, 1, None, 3, 4, 0])
+    prints = near.fingerprinted(frame.select("doc_id", "text")).where("print is not null").groupBy("print").agg(F.min("doc_id").alias("doc_id"))
+    asked = prints.withColumn("node", F.when(F.col("doc_id").isNull(), 7).otherwise(5).cast("bigint"))
+    want = [(5, texts[0]), (7, texts[2])]
+    lower = lambda d: sorted((r["node"], r["text"].lower()) for r in d.collect())
+    assert lower(near.texts_of(frame, asked)) == want
+    assert lower(near.texts_of(frame, asked.where("node = 7"))) == want[1:]
+    assert lower(near.texts_of(frame, asked.limit(0))) == []
+    monkeypatch.setattr(near.common, "SMALL_BYTES", 0)
+    assert lower(near.texts_of(frame, asked)) == want
+
+
+def test_same_classes_when_no_list_is_small(docs, monkeypatch):
+    monkeypatch.setattr(near.common, "SMALL_BYTES", 0)
+    rng = random.Random(6)
+    texts = [text(rng, 80) for _ in range(20)]
+    texts += [edited(rng, t, 1) for t in texts[:10]] + texts[:4] + templated(rng, 20, 5)
+    found = near.classes(docs(texts).repartition(3)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in found} == brute(list(enumerate(texts)))
+
+
 def test_odd_rows(odd, docs):
     found = near.classes(odd).collect()
     assert len(found) == odd.count()
