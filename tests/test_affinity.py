@@ -188,6 +188,16 @@ def test_few_pairs_are_counted_where_supports_differ(spark, monkeypatch):
     assert {tuple(r) for r in hot.select("product_id", "rank", "other_id", "common", "similarity").collect()} == _best([p for p in pairs if p[0] in (0, 1, 2) and p[1] < 200_300], 2)
 
 
+def test_share_of_pairs_far_apart(spark):
+    # supports: three products of 8 buyers, one of 2, three of 1
+    pairs = [(c, p) for c in range(8) for p in range(3)] + [(0, 3), (1, 3), (0, 4), (1, 5), (2, 6)]
+    baskets = affinity.pairs.Baskets.of(links(spark, pairs), "customer_id", "product_id")
+    level = {0: 3, 1: 3, 2: 3, 3: 1, 4: 0, 5: 0, 6: 0}
+    met = [abs(level[p] - level[q]) for c, p in pairs for d, q in pairs if c == d]
+    for least in (1, 2, 3, 4):
+        assert baskets.share_apart(least) == pytest.approx(sum(x >= least for x in met) / len(met))
+
+
 def test_most_similar_of_nothing(spark):
     assert affinity.most_similar(links(spark, []), 3).collect() == []
     assert affinity.most_similar(links(spark, [(1, 1), (2, 2)]), 3).collect() == []
