@@ -1,11 +1,13 @@
 import itertools
 import math
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketgrain.errors import AnalyticsError
+from marketgrain.operators import pairs as operators
 from marketgrain.plans import affinity, segments
 from tests.conftest import rows
 
@@ -201,3 +203,35 @@ def test_share_of_pairs_far_apart(spark):
 def test_most_similar_of_nothing(spark):
     assert affinity.most_similar(links(spark, []), 3).collect() == []
     assert affinity.most_similar(links(spark, [(1, 1), (2, 2)]), 3).collect() == []
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("arrays", [0, 1 << 40])
+def test_most_similar_leaves_nothing_shuffled_and_goes_in_rounds(spark, monkeypatch, arrays):
+    monkeypatch.setattr(operators, "SENT_AT_ONCE", 1)
+    monkeypatch.setattr(operators, "PARTNERS_FOR_ARRAYS", arrays)
+    rng = random.Random(5)
+    pairs = sorted({(rng.randrange(60), 1000 - rng.randrange(90) ** 2 // 90) for _ in range(2400)})
+    frame = links(spark, pairs).localCheckpoint()
+    assert operators.Load.of(frame, "customer_id").rounds() > 1
+    before = shuffle_files(spark)
+    found = affinity.most_similar(frame, 3)
+    time.sleep(1)  # files go in the background
+    assert not shuffle_files(spark) - before
+    want = {(p, r, o, c) for p, rows in brute_best(pairs, 3).items() for r, (o, c) in enumerate(rows, 1)}
+    assert {(r["product_id"], r["rank"], r["other_id"], r["common"]) for r in found.collect()} == want
+
+
+def brute_best(pairs, n):
+    owners = {}
+    for owner, item in pairs:
+        owners.setdefault(item, set()).add(owner)
+    best = {}
+    for a, of_a in owners.items():
+        common = [(b, len(of_a & of_b), len(of_a & of_b) / math.sqrt(float(len(of_a)) * float(len(of_b)))) for b, of_b in owners.items() if b != a]
+        best[a] = [(b, c) for b, c, s in sorted(common, key=lambda x: (-x[2], x[0])) if c][:n]
+    return best
