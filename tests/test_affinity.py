@@ -235,3 +235,25 @@ def brute_best(pairs, n):
         common = [(b, len(of_a & of_b), len(of_a & of_b) / math.sqrt(float(len(of_a)) * float(len(of_b)))) for b, of_b in owners.items() if b != a]
         best[a] = [(b, c) for b, c, s in sorted(common, key=lambda x: (-x[2], x[0])) if c][:n]
     return best
+
+
+def test_pairs_are_sent_as_one_number_and_counted_in_arrays(spark, monkeypatch):
+    monkeypatch.setattr(operators, "PARTNERS_FOR_ARRAYS", 0)
+    pairs = sorted({(i % 40, -5 + (i * 7) % 50) for i in range(1500)})
+    found = affinity.pair_cosine(links(spark, pairs))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(item_a") == 1 and plan.count("Exchange") == 1
+    assert "item_b" not in "".join(line for line in plan.splitlines() if "Aggregate" in line)
+    want = {(*pair, common) for pair, (common, _) in brute(pairs).items()}
+    assert {tuple(r)[:3] for r in found.collect()} == want
+
+
+def test_wide_ids_and_large_baskets_count_alike(spark, monkeypatch):
+    monkeypatch.setattr(operators, "PARTNERS_FOR_ARRAYS", 0)
+    pairs = sorted({(i % 30, (i * 11) % 37) for i in range(900)})
+    far = [(o, i * 2**50 - 2**54) for o, i in pairs]  # codes beyond what a double tells apart
+    want = {(*pair, common) for pair, (common, _) in brute(pairs).items()}
+    told = {((r["product_a"] + 2**54) >> 50, (r["product_b"] + 2**54) >> 50, r["common"]) for r in affinity.pair_cosine(spark.createDataFrame(far, "customer_id int, product_id bigint")).collect()}
+    assert told == want
+    monkeypatch.setattr(operators, "PARTNERS_IN_ARRAY", 1)
+    assert {(r["product_a"], r["product_b"], r["common"]) for r in affinity.pair_cosine(links(spark, pairs)).collect()} == want
